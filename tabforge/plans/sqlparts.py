@@ -93,3 +93,34 @@ USERS = """users AS (
 def r6(expr: str) -> str:
     """Oracle-side rounding matching ``functions.exprs.r6``."""
     return f"(round(CAST({expr} AS DOUBLE), 6) + 0.0)"
+
+DOCS_CLEAN_CHAIN = (
+    DOCS,
+    """docs_m AS (SELECT quantile_cont(n_chars, 0.5) AS m1, quantile_cont(n_lines, 0.5) AS m2,
+         quantile_cont(n_digits, 0.5) AS m3,
+    (SELECT lang FROM docs WHERE lang IS NOT NULL GROUP BY lang ORDER BY count(*) DESC, lang LIMIT 1) AS m_lang,
+    (SELECT source FROM docs WHERE source IS NOT NULL GROUP BY source ORDER BY count(*) DESC, source LIMIT 1) AS m_source,
+    (SELECT toxic FROM docs WHERE toxic IS NOT NULL GROUP BY toxic ORDER BY count(*) DESC, toxic LIMIT 1) AS m_toxic
+  FROM docs)""",
+    """docs_clean AS (
+  SELECT doc_id, coalesce(n_chars, m1) AS n_chars, coalesce(n_lines, m2) AS n_lines,
+         coalesce(n_digits, m3) AS n_digits, coalesce(lang, m_lang) AS lang,
+         coalesce(source, m_source) AS source, coalesce(toxic, m_toxic) AS toxic,
+         CAST(quality > 0 AS INTEGER) AS quality
+  FROM docs CROSS JOIN docs_m WHERE quality IS NOT NULL)""",
+)
+DOCS_Q = """docs_b AS (SELECT
+    q1[1] - 1.5 * (q1[2] - q1[1]) AS l1, q1[2] + 1.5 * (q1[2] - q1[1]) AS h1,
+    q2[1] - 1.5 * (q2[2] - q2[1]) AS l2, q2[2] + 1.5 * (q2[2] - q2[1]) AS h2,
+    q3[1] - 1.5 * (q3[2] - q3[1]) AS l3, q3[2] + 1.5 * (q3[2] - q3[1]) AS h3
+  FROM (SELECT quantile_cont(n_chars, [0.25, 0.75]) AS q1, quantile_cont(n_lines, [0.25, 0.75]) AS q2,
+               quantile_cont(n_digits, [0.25, 0.75]) AS q3 FROM docs_clean))"""
+DOCS_CAP = """docs_cap AS (
+  SELECT doc_id, least(greatest(n_chars, l1), h1) AS n_chars, least(greatest(n_lines, l2), h2) AS n_lines,
+         least(greatest(n_digits, l3), h3) AS n_digits, lang, source, toxic, quality
+  FROM docs_clean CROSS JOIN docs_b)"""
+DOCS_CAP_CHAIN = DOCS_CLEAN_CHAIN + (DOCS_Q, DOCS_CAP)
+
+
+def union_all(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
