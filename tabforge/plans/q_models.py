@@ -1 +1,378 @@
-"""Queries: q_models."""
+"""ML queries (rows-only: iterative fits have no SQL form) and the SQL-checkable
+cluster-agreement queries (K5, K7, K8).
+
+F1, F2, F7-F9, X1-X5, M2-M9, K2-K4, K6, H2-H4, R1-R7, Z1, Z8, ST1, S1-S10.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import aggregate as G
+from ..operators import classify as M
+from ..operators import clean as C
+from ..operators import cluster as K
+from ..operators import metrics as V
+from ..operators import pca as X
+from ..operators import score as Z
+from ..operators import select as SEL
+from ..operators import split as S
+from ..operators import tune as H
+from ..operators.registry import ModelRegistry
+from ..session import scratch_path
+from ..sources import files as IO
+from ..sources.tables import orderlines, read_table, vectors
+from ..streaming.scoring import score_stream
+from .catalog import query
+from .q_clean import OL_NUM, cleaned_orderlines
+from .q_score import ORDERLINE_LABELS, ORDERLINE_REQUEST_RULES, ORDERLINE_RULES
+from .sqlparts import OL_CLEAN_CHAIN, r6, union_all, with_
+
+OL_CAT = ["l_returnflag", "l_linestatus", "l_linenumber"]
+OL_FEATS = OL_NUM + OL_CAT
+# Fixed parameters of the registered ML queries (tree depth bounded: random
+# data grows depth-30 trees otherwise).
+TREE_DEPTH = 5
+FOREST_TREES = 20
+
+
+def ml_frame(spark, sf_dir, persist: bool = True) -> tuple[DataFrame, object]:
+    """Cleaned, encoded orderlines with split, folds, assembled features, label."""
+    cl, spec = cleaned_orderlines(spark, sf_dir)
+    enc, _ = C.encode(cl, spec)
+    df = S.add_folds(S.add_split(enc, spec), spec)
+    df = M.assemble(df, OL_FEATS).withColumn("label", F.col(spec.target).cast("double"))
+    return (df.persist() if persist else df), spec
+
+
+def _test_metrics(name: str, model, test: DataFrame) -> DataFrame:
+    p = M.predictions(model, test)
+    bm = V.binary_metrics(p, "y", "pred")
+    au = V.auc_ap(p, "y", "s")
+    k = F.lit(1).alias("_k")
+    return bm.select("*", k).join(au.select("*", k), "_k").drop("_k").select(F.lit(name).alias("model"), "*")
+
+
+def _model_query(name: str, **params):
+    def run(spark, sf_dir):
+        df, spec = ml_frame(spark, sf_dir)
+        train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
+        t = M.fit_model(name, train, list(spec.key), **params)
+        return _test_metrics(name, t.model, test)
+    return run
+
+
+query("logreg")(_model_query("logistic_regression"))
+query("dtree")(_model_query("decision_tree", max_depth=TREE_DEPTH))
+query("rforest")(_model_query("random_forest", n_estimators=FOREST_TREES, max_depth=TREE_DEPTH))
+query("svm")(_model_query("svm", kernel="rbf", n_landmarks=100, max_iter=50))
+
+
+@query("svm_linear")
+def q_svm_linear(spark, sf_dir):
+    df, spec = ml_frame(spark, sf_dir)
+    train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
+    return _test_metrics("svm_linear", M.fit_model("svm", train, list(spec.key), kernel="linear").model, test)
+
+
+@query("cv_models")
+def q_cv_models(spark, sf_dir):
+    """M7/V9: 5-fold CV of every model; per-fold metrics from one grouped pass per model."""
+    df, spec = ml_frame(spark, sf_dir)
+    out = None
+    for name, params in [("logistic_regression", {}), ("decision_tree", {"max_depth": TREE_DEPTH}),
+                         ("random_forest", {"n_estimators": 10, "max_depth": TREE_DEPTH}),
+                         ("svm", {"kernel": "linear", "max_iter": 50})]:
+        cv = M.cross_validate(df, name, list(spec.key), **params).select(F.lit(name).alias("model"), "*")
+        out = cv if out is None else out.unionByName(cv)
+    return out
+
+
+@query("model_summary")
+def q_model_summary(spark, sf_dir):
+    """M6 + M8: train all four models with defaults, summary table (4-dp strings)."""
+    df, spec = ml_frame(spark, sf_dir)
+    train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
+    models = M.train_all(train, list(spec.key), params={
+        "decision_tree": {"max_depth": TREE_DEPTH},
+        "random_forest": {"n_estimators": FOREST_TREES, "max_depth": TREE_DEPTH},
+        "svm": {"kernel": "linear", "max_iter": 50}})
+    t = None
+    for name, tr in models.items():
+        m = _test_metrics(name, tr.model, test)
+        t = m if t is None else t.unionByName(m)
+    return t.select("model", *[F.format_string("%.4f", c).alias(c)
+                               for c in ("accuracy", "precision", "recall", "f1", "roc_auc")])
+
+
+@query("rf_importance")
+def q_rf_importance(spark, sf_dir):
+    df, spec = ml_frame(spark, sf_dir)
+    return SEL.rf_importance(df, OL_FEATS, "label", n_trees=FOREST_TREES, max_depth=TREE_DEPTH)
+
+
+@query("rfe")
+def q_rfe(spark, sf_dir):
+    df, spec = ml_frame(spark, sf_dir)
+    return SEL.rfe(df, OL_FEATS, "label")[0]
+
+
+@query("compare_selectors")
+def q_compare_selectors(spark, sf_dir):
+    df, spec = ml_frame(spark, sf_dir)
+    sel, comp = SEL.compare_selectors(df, OL_NUM, OL_CAT, "label", k=4)
+    best = SEL.best_method(comp)
+    return comp.withColumn("is_best", F.col("method") == F.lit(best))
+
+
+@query("impact")
+def q_impact(spark, sf_dir):
+    """Impact levels of the trained forest's importances (last pipeline stage)."""
+    df, spec = ml_frame(spark, sf_dir)
+    t = M.fit_model("random_forest", df.filter("split = 'train'"), list(spec.key),
+                    n_estimators=FOREST_TREES, max_depth=TREE_DEPTH)
+    imp = M.importances(t.model, OL_FEATS)
+    return Z.feature_impact(spark, [n for n, _ in imp], [v for _, v in imp], top=8)
+
+
+# PCA -----------------------------------------------------------------------
+@query("pca_variance")
+def q_pca_variance(spark, sf_dir):
+    """Variance table with components-needed per threshold attached."""
+    df, spec = vectors(spark, sf_dir)
+    r = X.fit_pca(df, list(spec.numeric))
+    th = {t: r.n_for(t) for t in X.THRESHOLDS}
+    vt = X.variance_table(spark, r)
+    return vt.select("*", *[F.lit(v).cast("int").alias(f"n_for_{int(t * 100)}") for t, v in th.items()])
+
+
+@query("pca_loadings")
+def q_pca_loadings(spark, sf_dir):
+    df, spec = vectors(spark, sf_dir)
+    return X.top_loadings(spark, X.fit_pca(df, list(spec.numeric)), n=5)
+
+
+@query("pca_table")
+def q_pca_table(spark, sf_dir):
+    """X4 + S10: PC1..PC10 (+ key, label) for every row."""
+    df, spec = vectors(spark, sf_dir)
+    r = X.fit_pca(df, list(spec.numeric))
+    return X.pca_columns(df, r, m=10, keep=["vec_id", "label"])
+
+
+# Clustering ----------------------------------------------------------------
+def _vec_frame(spark, sf_dir):
+    df, spec = vectors(spark, sf_dir)
+    st = C.fit_scaler(df, list(spec.numeric))
+    z = M.assemble(C.scale(df, list(spec.numeric), st), list(spec.numeric)).persist()
+    return z, spec
+
+
+@query("kmeans_sweep")
+def q_kmeans_sweep(spark, sf_dir):
+    """K2/K3/K6: inertia + silhouette per k, elbow (reference rule) and best-silhouette flags."""
+    z, spec = _vec_frame(spark, sf_dir)
+    sweep, _ = K.kmeans_sweep(z, ks=range(2, 11), n_init=3)
+    rows = sweep.orderBy("k").collect()
+    ek = K.elbow_k([r["k"] for r in rows], [r["inertia"] for r in rows])
+    sk = K.best_silhouette_k(sweep)
+    return sweep.select("*", (F.col("k") == ek).alias("elbow"), (F.col("k") == sk).alias("best_silhouette"))
+
+
+@query("kmeans_assign")
+def q_kmeans_assign(spark, sf_dir):
+    """K11 + J1 + G11 + K7 + K8: best-silhouette k, labels joined on the row
+    key, cluster sizes, purity and ARI against the true label."""
+    z, spec = _vec_frame(spark, sf_dir)
+    sweep, models = K.kmeans_sweep(z, ks=range(2, 6), n_init=2)
+    k = K.best_silhouette_k(sweep)
+    lab = models[k].transform(z).select("vec_id", "cluster")
+    joined = z.select("vec_id", "label").join(lab, "vec_id")     # J1: equi-join on key
+    pur = K.purity(joined, "cluster", "label")
+    a = K.ari(joined, "cluster", "label").first()["ari"]
+    return pur.withColumn("k", F.lit(k)).withColumn("ari", F.lit(a))
+
+
+@query("ward")
+def q_ward(spark, sf_dir):
+    """Ward clustering (exact up to 1000 rows, micro-clustered beyond),
+    cluster sizes, ARI vs label and the last merges of the dendrogram."""
+    z, spec = _vec_frame(spark, sf_dir)
+    w = K.ward(z, ["vec_id"], n_clusters=10)
+    a = K.ari(w.labels, "cluster", "label").first()["ari"]
+    sizes = G.group_sizes(w.labels, "cluster")
+    return sizes.withColumn("ari", F.lit(a)).withColumn("micro_clusters", F.lit(w.micro))
+
+
+@query("dendrogram")
+def q_dendrogram(spark, sf_dir):
+    z, spec = _vec_frame(spark, sf_dir)
+    w = K.ward(z, ["vec_id"], n_clusters=10)
+    return K.dendrogram(spark, w.linkage, last=30)
+
+
+# SQL-checkable cluster agreement ----------------------------------------------
+_DIMS = [f"e{i:02d}" for i in range(64)]
+_EMB = "emb AS (SELECT vec_id, label, " + ", ".join(
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(_DIMS)) + " FROM embeddings)"
+
+
+@query("inertia", with_(_EMB) + f"""SELECT label AS cluster, count(*) AS size,
+  {r6('(' + ' + '.join(f'coalesce(var_pop({c}), 0)' for c in _DIMS) + ') * count(*)')} AS inertia
+FROM emb GROUP BY label""")
+def q_inertia(spark, sf_dir):
+    """K5: within-group sum of squares of the embeddings per true label."""
+    df, spec = vectors(spark, sf_dir)
+    return K.inertia(df, list(spec.numeric), "label")
+
+
+@query("ari", with_(*OL_CLEAN_CHAIN,
+                    "cells AS (SELECT l_returnflag AS a, l_linestatus AS b, CAST(count(*) AS DOUBLE) AS n FROM ol_clean GROUP BY 1, 2)",
+                    "sa AS (SELECT sum(n * (n - 1) / 2) AS sa FROM (SELECT sum(n) AS n FROM cells GROUP BY a))",
+                    "sb AS (SELECT sum(n * (n - 1) / 2) AS sb FROM (SELECT sum(n) AS n FROM cells GROUP BY b))",
+                    "sij AS (SELECT sum(n * (n - 1) / 2) AS sij, sum(n) AS tot FROM cells)") +
+       f"SELECT {r6('(sij - sa * sb / (tot * (tot - 1) / 2)) / ((sa + sb) / 2 - sa * sb / (tot * (tot - 1) / 2))')} AS ari "
+       "FROM sij CROSS JOIN sa CROSS JOIN sb")
+def q_ari(spark, sf_dir):
+    """K7: agreement of two labelings (return flag vs line status)."""
+    cl, _ = cleaned_orderlines(spark, sf_dir)
+    return K.ari(cl, "l_returnflag", "l_linestatus")
+
+
+@query("purity", with_(*OL_CLEAN_CHAIN,
+                       "cells AS (SELECT l_returnflag AS cluster, severity AS lab, count(*) AS n FROM ol_clean GROUP BY 1, 2)",
+                       "r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, lab) AS rn, "
+                       "sum(n) OVER (PARTITION BY cluster) AS size FROM cells)") +
+       f"SELECT cluster, lab AS dominant_label, {r6('n / size')} AS purity, size FROM r WHERE rn = 1")
+def q_purity(spark, sf_dir):
+    """K8: dominant class per group (return flag as the grouping)."""
+    cl, spec = cleaned_orderlines(spark, sf_dir)
+    return K.purity(cl, "l_returnflag", spec.target)
+
+
+# Tuning --------------------------------------------------------------------
+@query("random_search")
+def q_random_search(spark, sf_dir):
+    """H2/H4: random search (3 draws, 5 folds) per model; report rows."""
+    df, spec = ml_frame(spark, sf_dir)
+    train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
+    res = H.search_all(train, test, n_iter=3, names=["logistic_regression", "decision_tree"])
+    return H.report(spark, res)
+
+
+@query("grid_search")
+def q_grid_search(spark, sf_dir):
+    """H3: full grid search of the linear SVM's C values."""
+    df, spec = ml_frame(spark, sf_dir)
+    train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
+    res = H.search_all(train, test, n_iter=None, names=["svm"])
+    return H.report(spark, res)
+
+
+# Registry + scoring ----------------------------------------------------------
+def _train_pipeline(spark, sf_dir, max_iter: int = 100):
+    """Fitted PipelineModel: string indexing (alphabetical, as T6) -> assembler
+    -> logistic regression, so it scores cleaned rows with raw categories."""
+    cl, spec = cleaned_orderlines(spark, sf_dir)
+    df = S.add_split(cl, spec).withColumn("label", F.col(spec.target).cast("double"))
+    train = df.filter("split = 'train'")
+    n = train.count()
+    idx = StringIndexer(inputCols=["l_returnflag", "l_linestatus"], outputCols=["rf_idx", "ls_idx"],
+                        stringOrderType="alphabetAsc", handleInvalid="keep")
+    feats = OL_NUM + ["rf_idx", "ls_idx", "l_linenumber"]
+    pipe = Pipeline(stages=[idx, M.assembler(feats), M.logistic_regression(n, max_iter=max_iter)])
+    return pipe.fit(train), df
+
+
+@query("registry_roundtrip")
+def q_registry_roundtrip(spark, sf_dir):
+    """R1-R7 + J4: save two versions, list, validate, promote, load latest, export;
+    the version history joined to the evaluation summary by model name."""
+    root = scratch_path(spark, f"registry-{uuid.uuid4().hex[:8]}")
+    reg = ModelRegistry(spark, root)
+    model, df = _train_pipeline(spark, sf_dir, max_iter=20)
+    test = df.filter("split = 'test'")
+    acc = H.test_accuracy(model, test)
+    reg.save("logistic_regression", model, {"accuracy": acc}, {"maxIter": 20})
+    model2, _ = _train_pipeline(spark, sf_dir, max_iter=100)
+    acc2 = H.test_accuracy(model2, test)
+    v2 = reg.save("logistic_regression", model2, {"accuracy": acc2}, {"maxIter": 100})
+    assert reg.latest("logistic_regression") == v2
+    checks = reg.validate("logistic_regression", v2, test=test, probe=test)
+    ok = all(r["ok"] for r in checks.collect())
+    reg.promote_best("accuracy")
+    reg.load("logistic_regression")
+    reg.export("logistic_regression", v2, f"{root}/export")
+    summary = spark.createDataFrame([("logistic_regression", ok)], "model_name string, validated boolean")
+    return (reg.versions().join(summary, "model_name")
+               .select("model_name", "version", "model_type", "n_stages", "size_bytes", "sha256",
+                       F.col("metrics")["accuracy"].alias("accuracy"), "validated"))
+
+
+@query("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Score every row with a trained pipeline and interpret it."""
+    model, df = _train_pipeline(spark, sf_dir)
+    out = Z.predict(model, df)
+    pred = F.col("prediction").cast("int")
+    return out.select("l_orderkey", "l_linenumber", pred.alias("prediction"), "confidence",
+                      Z.confidence_band(F.col("confidence")).alias("confidence_level"),
+                      Z.risk_category(pred).alias("risk_category"),
+                      F.array_join(Z.RL.factors(ORDERLINE_RULES.risk), "; ").alias("risk_factors"))
+
+
+class _CleanThenScore:
+    """Stateless per-row cleaning with batch-fitted medians, then the pipeline."""
+
+    def __init__(self, model, spec, medians):
+        self.model, self.spec, self.medians = model, spec, medians
+
+    def transform(self, df):
+        return self.model.transform(C.impute_median(C.coerce_numeric(df, self.spec), self.spec,
+                                                    medians=self.medians))
+
+
+@query("stream_score")
+def q_stream_score(spark, sf_dir):
+    """ST1: lineitem file as a stream -> validate -> score -> interpret -> append
+    to a parquet history with a checkpoint (availableNow trigger)."""
+    model, _ = _train_pipeline(spark, sf_dir)
+    raw, spec = orderlines(spark, sf_dir)
+    # cleaning statistics are fitted in batch; the stream applies them row by row
+    medians = C.fit_medians(C.coerce_numeric(raw, spec), OL_NUM)
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex[:8]}")
+    li_schema = read_table(spark, sf_dir, "lineitem").schema
+    prep = _CleanThenScore(model, spec, medians)
+    q = score_stream(spark, sf_dir, li_schema, prep, f"{run}/history", ORDERLINE_RULES,
+                     checkpoint=f"{run}/checkpoint", request_rules=ORDERLINE_REQUEST_RULES,
+                     labels=ORDERLINE_LABELS, glob="lineitem.parquet")
+    q.awaitTermination()
+    hist = spark.read.parquet(f"{run}/history")
+    return hist.select("l_orderkey", "l_linenumber", F.col("prediction").cast("int").alias("prediction"),
+                       "confidence", "confidence_level", "risk_category",
+                       F.array_join("risk_factors", "; ").alias("risk_factors"), "error")
+
+
+@query("io_roundtrip")
+def q_io_roundtrip(spark, sf_dir):
+    """Write the cleaned table as CSV, reload it with the
+    exact-header check and numeric coercion; write rankings partitioned by method."""
+    from ..operators import stats as ST
+    run = scratch_path(spark, f"io-{uuid.uuid4().hex[:8]}")
+    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "severity"]
+    IO.save(cl.select(*cols), f"{run}/cleaned_csv", fmt="csv")
+    back = IO.load_csv_checked(spark, f"{run}/cleaned_csv", cols, target="severity")
+    IO.save_rankings({"univariate": ST.anova_f(cl, OL_NUM, spec.target, 2),
+                      "chi_square": ST.chi2_scores(cl, OL_NUM, spec.target, 2)}, f"{run}/rankings")
+    IO.save_json(V.binary_metrics(cl.withColumn("pred", F.lit(1)), spec.target, "pred"), f"{run}/eval_json")
+    return back
+
+
+_ = (vector_to_array, orderlines, union_all)
