@@ -43,7 +43,7 @@ def coerce_numeric(df: DataFrame, spec: FeatureSpec) -> DataFrame:
         c = f.name
         if c in spec.features and c not in spec.key:
             x = sentinel_to_null(df, spec, c)
-            if c in spec.numeric:
+            if c in spec.numeric or (spec.numeric_codes and c in spec.categorical):
                 x = x.try_cast("double") if is_string(df, c) else x.cast("double")
                 x = F.when(F.isnan(x), F.lit(None)).otherwise(x)
             out.append(x.alias(c))

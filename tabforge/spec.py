@@ -23,6 +23,8 @@ class FeatureSpec:
     ranges: dict = field(default_factory=dict)
     # raw tokens that mean "missing": {col: (token, ...)}; "*" applies to all
     missing_tokens: dict = field(default_factory=dict)
+    # categorical columns hold numeric codes (coerced to double like numerics)
+    numeric_codes: bool = False
 
     @property
     def features(self) -> list[str]:
@@ -64,4 +66,5 @@ HEART = FeatureSpec(
     target="target",
     ranges=HEART_RANGES,
     missing_tokens={"*": ("?",)},
+    numeric_codes=True,
 )
