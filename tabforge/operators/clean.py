@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import FeatureSpec
-from .common import column_moments, column_quantiles, is_numeric, is_string
+from .common import WIDE_COLUMNS, column_moments, column_quantiles, is_numeric, is_string, quantile_aggs
 
 
 # T1 ------------------------------------------------------------------------
@@ -94,10 +94,31 @@ def binarize_target(df: DataFrame, spec: FeatureSpec, threshold: float = 0) -> D
 
 
 # T5 ------------------------------------------------------------------------
+def fit_fill_values(df: DataFrame, spec: FeatureSpec, exact: bool = True) -> tuple[dict, dict]:
+    """Medians of the numeric columns and modes of the categorical ones in ONE
+    aggregate (one scan, one job); result bounded by the column count."""
+    num = [c for c in spec.numeric if c in df.columns]
+    cat = [c for c in spec.categorical if c in df.columns and c not in spec.numeric]
+    if len(num) > WIDE_COLUMNS:
+        return fit_medians(df, num, exact), fit_modes(df, cat)
+    aggs = quantile_aggs(num, [0.5], exact, prefix="q") + [F.mode(c, True).alias(f"m{i}") for i, c in enumerate(cat)]
+    if not aggs:
+        return {}, {}
+    r = df.agg(*aggs).first()
+    med = {c: r[f"q{i}"][0] for i, c in enumerate(num) if r[f"q{i}"] is not None and r[f"q{i}"][0] is not None}
+    modes = {}
+    for i, c in enumerate(cat):
+        v = r[f"m{i}"]
+        modes[c] = v if v is not None else (0 if is_numeric(df, c) else "0")
+    return med, modes
+
+
 def clean(df: DataFrame, spec: FeatureSpec, exact: bool = True, binarize: bool = True) -> DataFrame:
+    """T1 -> T2 -> T3 -> T4 with one fit aggregate and one lazy projection."""
     out = coerce_numeric(df, spec)
-    out = impute_median(out, spec, exact=exact)
-    out = impute_mode(out, spec)
+    med, modes = fit_fill_values(out, spec, exact)
+    out = impute_median(out, spec, medians=med)
+    out = impute_mode(out, spec, modes=modes)
     return binarize_target(out, spec) if binarize else out
 
 

@@ -52,6 +52,10 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     """
     if not cols:
         return {}
+    r = df.agg(*quantile_aggs(cols, probs, exact, accuracy)).first() if len(cols) <= WIDE_COLUMNS else None
+    if r is not None:
+        return {c: (list(r[f"q{i}"]) if r[f"q{i}"] is not None else [None] * len(probs))
+                for i, c in enumerate(cols)}
     long = long_values(df, cols)
     agg = (F.percentile("value", F.array(*[F.lit(float(p)) for p in probs])) if exact
            else F.percentile_approx("value", [float(p) for p in probs], accuracy))
@@ -62,6 +66,22 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     return out
 
 
+# Up to this many columns, quantiles come from one wide aggregate (one final
+# task merges every column's value map); beyond it, unpivot + groupBy(column)
+# gives each column's merge its own task so memory does not add up.
+WIDE_COLUMNS = 4
+
+
+def quantile_aggs(cols: list[str], probs: list[float], exact: bool = True, accuracy: int = 10000,
+                  prefix: str = "q") -> list:
+    ps = [float(p) for p in probs]
+    if exact:
+        return [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in ps])).alias(f"{prefix}{i}")
+                for i, c in enumerate(cols)]
+    return [F.percentile_approx(F.col(c).cast("double"), ps, accuracy).alias(f"{prefix}{i}")
+            for i, c in enumerate(cols)]
+
+
 def column_moments(df: DataFrame, cols: list[str]) -> dict[str, dict]:
     """mean, population std, sample variance, min, max, count per column in one pass."""
     if not cols:

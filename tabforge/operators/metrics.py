@@ -63,6 +63,9 @@ def running_totals(g: DataFrame, group: list[str] | None = None, buckets: int |
     group = list(group or [])
     spark = g.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # g (distinct scores) feeds the bucket-bound sketch and the final pass:
+    # keep it instead of recomputing the scoring pipeline twice.
+    g = g.persist()
     probs = [i / buckets for i in range(1, buckets)]
     cuts = g.agg(F.percentile_approx("s", probs, 10000).alias("q")).first()["q"] if probs else []
     splits = sorted(set(float(c) for c in (cuts or []) if c is not None))

@@ -118,3 +118,47 @@ def q_corr_filter(spark, sf_dir):
 
 
 _ = (C, orderlines)
+
+
+# Votes across the three univariate selectors -------------------
+VOTES_BASE = with_(
+    f"anova AS ({ANOVA_SQL})", f"chi AS ({CHI2_SQL})", f"mi AS ({MI_SQL})",
+    "sel AS (SELECT 'univariate' AS method, feature FROM anova WHERE selected UNION ALL "
+    "SELECT 'chi_square', feature FROM chi WHERE selected UNION ALL "
+    "SELECT 'mutual_information', feature FROM mi WHERE selected)",
+    "fr AS (SELECT feature, count(*) AS votes FROM sel GROUP BY feature)",
+    "rk AS (SELECT feature, votes, CAST(row_number() OVER (ORDER BY votes DESC, feature) AS INTEGER) AS rank FROM fr)")
+
+
+def selections(spark, sf_dir):
+    """(method, feature) for the top-K features of each univariate selector."""
+    from pyspark.sql import functions as F
+    cl, spec = cleaned_orderlines(spark, sf_dir)
+    runs = {"univariate": ST.anova_f(cl, OL_NUM, spec.target, k=K_SELECT),
+            "chi_square": ST.chi2_scores(cl, OL_NUM, spec.target, k=K_SELECT),
+            "mutual_information": ST.mutual_info(cl, OL_NUM, ["l_linenumber", "l_returnflag"], spec.target,
+                                                 k=K_SELECT)}
+    out = None
+    for m, t in runs.items():
+        s = t.filter("selected").select(F.lit(m).alias("method"), "feature")
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@query("vote_ensemble", VOTES_BASE + "SELECT feature, votes, rank FROM rk "
+       "WHERE votes >= 2 OR ((SELECT max(votes) FROM rk) < 2 AND rank <= 8)")
+def q_vote_ensemble(spark, sf_dir):
+    from ..operators import select as SEL
+    return SEL.vote_ensemble(selections(spark, sf_dir))
+
+
+@query("vote_intersection", VOTES_BASE + "SELECT feature FROM rk WHERE votes = (SELECT count(DISTINCT method) FROM sel)")
+def q_vote_intersection(spark, sf_dir):
+    from ..operators import select as SEL
+    return SEL.vote_intersection(selections(spark, sf_dir))
+
+
+@query("vote_union", VOTES_BASE + "SELECT feature, votes, rank FROM rk")
+def q_vote_union(spark, sf_dir):
+    from ..operators import select as SEL
+    return SEL.vote_union(selections(spark, sf_dir))
