@@ -69,9 +69,12 @@ def running_totals(g: DataFrame, group: list[str] | None = None, buckets: int |
     probs = [i / buckets for i in range(1, buckets)]
     cuts = g.agg(F.percentile_approx("s", probs, 10000).alias("q")).first()["q"] if probs else []
     splits = sorted(set(float(c) for c in (cuts or []) if c is not None))
-    splits = [float("-inf")] + splits + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="s", outputCol="_b", handleInvalid="keep").transform(g) \
-        .withColumn("_b", F.col("_b").cast("int"))
+    if splits:
+        splits = [float("-inf")] + splits + [float("inf")]
+        b = Bucketizer(splits=splits, inputCol="s", outputCol="_b", handleInvalid="keep").transform(g) \
+            .withColumn("_b", F.col("_b").cast("int"))
+    else:  # one bucket (a single distinct score, or buckets=1)
+        b = g.withColumn("_b", F.lit(0))
     # per (group, bucket) totals and the bucket's highest-score row -- tiny
     tot = b.groupBy(*group, "_b").agg(F.sum("p").alias("_bp"), F.sum("n").alias("_bn"),
                                       F.max_by("p", "s").alias("_fp"), F.max_by("n", "s").alias("_fn"))
