@@ -100,6 +100,12 @@ HEART_REQUEST_RULES = {
     "age": ("range", 20, 100), "sex": ("options", (0, 1)), "cp": ("options", (1, 2, 3, 4)),
     "trestbps": ("range", 80, 200), "chol": ("range", 100, 600), "fbs": ("options", (0, 1)),
     "restecg": ("options", (0, 1, 2)), "thalach": ("range", 60, 220), "exang": ("options", (0, 1)),
-    "oldpeak": ("range", 0, 6), "slope": ("options", (1, 2, 3)), "ca": ("options", (0, 1, 2, 3)),
+    "oldpeak": ("range", 0.0, 6.0), "slope": ("options", (1, 2, 3)), "ca": ("options", (0, 1, 2, 3)),
     "thal": ("options", (3, 6, 7)),
 }
+HEART_LABELS = {
+    "age": "Age", "sex": "Sex", "cp": "Chest Pain Type", "trestbps": "Resting Blood Pressure",
+    "chol": "Serum Cholesterol", "fbs": "Fasting Blood Sugar", "restecg": "Resting ECG",
+    "thalach": "Maximum Heart Rate", "exang": "Exercise Induced Angina", "oldpeak": "ST Depression",
+    "slope": "ST Slope", "ca": "Major Vessels", "thal": "Thalassemia",
+}

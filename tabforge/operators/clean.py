@@ -221,6 +221,32 @@ def outlier_report(df: DataFrame, bounds: dict) -> DataFrame:
             .filter("outliers > 0"))
 
 
+# P1 ------------------------------------------------------------------------
+def split_xy(df: DataFrame, spec: FeatureSpec) -> tuple[DataFrame, DataFrame]:
+    """Feature columns (with the key) and target column (with the key); error if the target is absent."""
+    if not spec.target or spec.target not in df.columns:
+        raise ValueError(f"target column {spec.target!r} not found")
+    key = [k for k in spec.key if k in df.columns]
+    feats = [c for c in df.columns if c != spec.target]
+    return df.select(*feats), df.select(*key, spec.target)
+
+
+# P2 ------------------------------------------------------------------------
+def role_pipeline(spec: FeatureSpec, scaling: str = "standard", out: str = "features"):
+    """Column-role routing as an ML Pipeline: numeric columns assembled and
+    scaled, categorical columns passed through unscaled, everything else
+    dropped by the final assembler.  (Spark's StandardScaler uses the sample
+    std; :func:`scale` is the population-std variant.)"""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
+    num = VectorAssembler(inputCols=list(spec.numeric), outputCol="_num", handleInvalid="keep")
+    sc = (StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True)
+          if scaling == "standard" else MinMaxScaler(inputCol="_num", outputCol="_num_s"))
+    cats = [c for c in spec.categorical if c not in spec.numeric]
+    final = VectorAssembler(inputCols=["_num_s", *cats], outputCol=out, handleInvalid="keep")
+    return Pipeline(stages=[num, sc, final])
+
+
 # T12 -----------------------------------------------------------------------
 @dataclass
 class Preprocessed:

@@ -167,6 +167,45 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     return per.unionByName(summary)
 
 
+# V11 / V12 / V13 -----------------------------------------------------------
+# Use cases, insight thresholds and texts of the model report.
+USE_CASES = (("high_precision_needed", "precision"), ("high_recall_needed", "recall"),
+             ("balanced_performance", "f1"), ("probability_ranking", "roc_auc"))
+ACCURACY_INSIGHTS = ((0.85, "Excellent overall model performance (>85% accuracy)"),
+                     (0.75, "Good overall model performance (>75% accuracy)"))
+ACCURACY_FLOOR = "Model performance needs improvement (<75% accuracy)"
+IMBALANCE_GAP = 0.1
+IMBALANCE_TEXT = "Significant precision-recall imbalance detected - consider class balancing techniques"
+SUGGEST_BELOW = 0.9
+SUGGESTIONS = ("Consider hyperparameter tuning for better performance",
+               "Explore feature engineering and selection techniques",
+               "Try ensemble methods to combine model strengths")
+
+
+def model_insights(table: DataFrame, order: str = "ord") -> DataFrame:
+    """Report rows (kind, name, text) from a per-model metrics table with
+    accuracy/precision/recall/f1/roc_auc and an insertion-order column:
+    overall best by the weighted score, best model per use case (ties -> first
+    model), accuracy insight, precision/recall imbalance, suggestions."""
+    overall = sum(F.col(m) * w for m, w in OVERALL_WEIGHTS.items())
+    t = table.withColumn("_overall", overall)
+    best = [F.max_by("model", F.struct(F.col("_overall"), -F.col(order))).alias("overall_best")]
+    best += [F.max_by("model", F.struct(F.col(m), -F.col(order))).alias(k) for k, m in USE_CASES]
+    avg_acc = F.avg("accuracy")
+    acc_text = F.when(avg_acc > ACCURACY_INSIGHTS[0][0], F.lit(ACCURACY_INSIGHTS[0][1])) \
+        .when(avg_acc > ACCURACY_INSIGHTS[1][0], F.lit(ACCURACY_INSIGHTS[1][1])).otherwise(F.lit(ACCURACY_FLOOR))
+    one = t.agg(*best, acc_text.alias("acc_text"),
+                (F.abs(F.avg("precision") - F.avg("recall")) > IMBALANCE_GAP).alias("imbalanced"),
+                (avg_acc < SUGGEST_BELOW).alias("suggest"))
+    items = [("'best'", "'overall'", "overall_best")] + [("'use_case'", f"'{k}'", k) for k, _ in USE_CASES]
+    items += [("'insight'", "'accuracy'", "acc_text"),
+              ("'insight'", "'imbalance'", f"if(imbalanced, '{IMBALANCE_TEXT}', cast(null as string))")]
+    items += [("'suggestion'", f"'{i}'", f"if(suggest, '{s}', cast(null as string))")
+              for i, s in enumerate(SUGGESTIONS)]
+    stack = ", ".join(f"{a}, {b}, {c}" for a, b, c in items)
+    return one.selectExpr(f"stack({len(items)}, {stack}) as (kind, name, text)").filter("text is not null")
+
+
 # V8 ------------------------------------------------------------------------
 def weighted_metrics(df: DataFrame, label: str, pred: str, score: str | None = None) -> DataFrame:
     """accuracy, precision/recall/F1 weighted by class support[, roc_auc] -- one row."""

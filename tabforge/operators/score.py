@@ -160,6 +160,26 @@ def feature_impact(spark, names: list[str], importances: list[float], top: int =
 
 
 # Z9 ------------------------------------------------------------------------
+HISTORY_SCHEMA = "timestamp timestamp, input_data map<string,string>, prediction int, confidence double"
+
+
+def append_history(df: DataFrame, path: str, inputs: list[str], pred: str = "prediction",
+                   conf: str = "confidence") -> None:
+    """Append scored rows as history records (append-only parquet; no rewrite)."""
+    df.select(F.current_timestamp().alias("timestamp"), request_map(inputs).alias("input_data"),
+              F.col(pred).cast("int").alias("prediction"), F.col(conf).cast("double").alias("confidence")) \
+      .write.mode("append").parquet(path)
+
+
+def history_view(spark, path: str, n: int = 10) -> DataFrame:
+    """Latest n records with display labels and 1-dp percentages."""
+    h = spark.read.schema(HISTORY_SCHEMA).parquet(path)
+    return recent(h, "timestamp", n).select(
+        E.format_ts(F.col("timestamp")).alias("time"), risk_category(F.col("prediction")).alias("result"),
+        F.format_string("%.1f%%", F.col("confidence") * 100).alias("confidence"), "input_data")
+
+
+
 def recent(df: DataFrame, ts: str, n: int = 10, tiebreak: str | None = None) -> DataFrame:
     """Latest n rows (top-k: TakeOrderedAndProject, no full sort)."""
     order = [F.desc(ts)] + ([F.desc(tiebreak)] if tiebreak else [])

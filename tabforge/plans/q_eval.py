@@ -169,7 +169,38 @@ def compare_table(sc: DataFrame) -> DataFrame:
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "avg_precision", "overall_score"]
 
 
-@query("best_models", with_(*OL_CLEAN_CHAIN, SC, *CUM,
+def _insights_sql() -> str:
+    best = lambda m: f"arg_max(model, struct_pack(v := {m}, o := -ord))"
+    items = [("best", "overall", best("overall_score"))] + \
+        [("use_case", k, best(m)) for k, m in V.USE_CASES]
+    acc = ("CASE WHEN avg(accuracy) > {0} THEN '{1}' WHEN avg(accuracy) > {2} THEN '{3}' ELSE '{4}' END"
+           .format(V.ACCURACY_INSIGHTS[0][0], V.ACCURACY_INSIGHTS[0][1], V.ACCURACY_INSIGHTS[1][0],
+                   V.ACCURACY_INSIGHTS[1][1], V.ACCURACY_FLOOR))
+    items += [("insight", "accuracy", acc),
+              ("insight", "imbalance",
+               f"CASE WHEN abs(avg(precision) - avg(recall)) > {V.IMBALANCE_GAP} THEN '{V.IMBALANCE_TEXT}' END")]
+    items += [("suggestion", str(i), f"CASE WHEN avg(accuracy) < {V.SUGGEST_BELOW} THEN '{s}' END")
+              for i, s in enumerate(V.SUGGESTIONS)]
+    rows = union_all(f"SELECT '{k}' AS kind, '{n}' AS name, {e} AS text FROM t" for k, n, e in items)
+    return f"SELECT * FROM ({rows}) WHERE text IS NOT NULL"
+
+
+@query("model_insights", with_(*OL_CLEAN_CHAIN, SC, *CUM,
+                               f"cm AS (SELECT model, {CM_COLS} FROM sc GROUP BY model)",
+                               f"bm AS (SELECT model, {BIN_RAW} FROM cm)",
+                               "au AS (SELECT model, sum(n * (cp - p / 2)) / (max(tpt) * max(tnt)) AS roc_auc "
+                               "FROM c GROUP BY model)",
+                               f"t AS (SELECT bm.*, au.roc_auc, {_OVERALL} AS overall_score, o.ord "
+                               f"FROM bm JOIN au ON bm.model = au.model JOIN (VALUES {_ORDER}) o(model, ord) "
+                               "ON bm.model = o.model)") + _insights_sql())
+def q_model_insights(spark, sf_dir):
+    """Best model overall and per use case, insights and suggestions."""
+    t = compare_table(scored(spark, sf_dir))
+    order = F.create_map(*[x for i, m in enumerate(RULE_MODELS) for x in (F.lit(m), F.lit(i))])
+    return V.model_insights(t.withColumn("ord", order[F.col("model")]))
+
+
+@query("best_models",with_(*OL_CLEAN_CHAIN, SC, *CUM,
                             f"cm AS (SELECT model, {CM_COLS} FROM sc GROUP BY model)",
                             f"bm AS (SELECT model, {BIN_RAW} FROM cm)",
                             "au AS (SELECT model, sum(n * (cp - p / 2)) / (max(tpt) * max(tnt)) AS roc_auc, "
