@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import metrics as V
+from .common import parallel_map
 from .split import hash_bucket
 
 MODEL_NAMES = ("logistic_regression", "decision_tree", "random_forest", "svm")
@@ -44,13 +45,13 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
 
 # M2 ------------------------------------------------------------------------
 def logistic_regression(n_train: int, C: float = 1.0, penalty: str = "l2", max_iter: int = 1000,
-                        label: str = "label", features: str = "features") -> LogisticRegression:
+                        label: str = "label", features: str = "features", tol: float = 1e-6) -> LogisticRegression:
     if penalty not in ("l1", "l2", "none", None):
         raise ValueError(f"unsupported penalty {penalty!r}")
     reg = 0.0 if penalty in ("none", None) else 1.0 / (C * n_train)
     return LogisticRegression(featuresCol=features, labelCol=label, regParam=reg,
                               elasticNetParam=1.0 if penalty == "l1" else 0.0,
-                              standardization=False, maxIter=max_iter, tol=1e-10)
+                              standardization=False, maxIter=max_iter, tol=tol)
 
 
 # M3 ------------------------------------------------------------------------
@@ -216,16 +217,21 @@ def predictions(model, df: DataFrame, label: str = "label") -> DataFrame:
 
 # M7 / V9 -------------------------------------------------------------------
 def cross_validate(df: DataFrame, name: str, key: list[str], label: str = "label", k: int = 5,
-                   seed: int = 42, fold_col: str = "fold", **params) -> DataFrame:
-    """k-fold CV: fit on k-1 folds, predict the held-out fold; all fold
-    predictions are unioned and every metric is computed per fold in ONE
-    grouped pass.  Returns (fold, accuracy, precision, recall, f1, roc_auc)."""
-    preds = []
-    for f in range(k):
+                   seed: int = 42, fold_col: str = "fold", parallelism: int = 4, **params) -> DataFrame:
+    """k-fold CV: fit on k-1 folds (``parallelism`` fits at a time), predict
+    the held-out fold; all fold predictions are unioned and every metric is
+    computed per fold in ONE grouped pass.
+    Returns (fold, accuracy, precision, recall, f1, roc_auc)."""
+    sizes = {r[0]: r[1] for r in df.groupBy(fold_col).count().collect()}   # k rows
+    n = sum(sizes.values())
+
+    def fit_fold(f):
         tr = df.filter(F.col(fold_col) != f)
-        te = df.filter(F.col(fold_col) == f)
-        m = fit_model(name, tr, key, label, **params).model
-        preds.append(predictions(m, te, label).withColumn("fold", F.lit(f)))
+        return fit_model(name, tr, key, label, n_train=n - sizes.get(f, 0), **params).model
+
+    models = parallel_map(fit_fold, range(k), parallelism)
+    preds = [predictions(m, df.filter(F.col(fold_col) == f), label).withColumn("fold", F.lit(f))
+             for f, m in enumerate(models)]
     allp = preds[0]
     for p in preds[1:]:
         allp = allp.unionByName(p)

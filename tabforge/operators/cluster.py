@@ -22,26 +22,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import parallel_map
 from .split import hash_bucket
 
 
 # K2 ------------------------------------------------------------------------
 def kmeans_sweep(df: DataFrame, ks=range(2, 11), n_init: int = 3, seed: int = 42,
-                 features: str = "features", max_iter: int = 300) -> tuple[DataFrame, dict]:
-    """(k, inertia, silhouette) per k, best of ``n_init`` seeds by inertia; also the fitted models."""
+                 features: str = "features", max_iter: int = 300,
+                 parallelism: int = 4) -> tuple[DataFrame, dict]:
+    """(k, inertia, silhouette) per k, best of ``n_init`` seeds by inertia; also
+    the fitted models.  The k x seed fits are independent jobs run
+    ``parallelism`` at a time on the (cached) input."""
     spark = df.sparkSession
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
-    rows, models = [], {}
-    for k in ks:
-        best = None
-        for s in range(n_init):
-            m = KMeans(k=k, seed=seed + s, featuresCol=features, predictionCol="cluster",
-                       maxIter=max_iter, tol=1e-6).fit(df)
-            if best is None or m.summary.trainingCost < best.summary.trainingCost:
-                best = m
-        sil = ev.evaluate(best.transform(df))
-        rows.append((int(k), float(best.summary.trainingCost), float(sil)))
-        models[k] = best
+    grid = [(k, s) for k in ks for s in range(n_init)]
+
+    def fit(ks_):
+        k, s = ks_
+        return KMeans(k=k, seed=seed + s, featuresCol=features, predictionCol="cluster",
+                      maxIter=max_iter, tol=1e-6).fit(df)
+
+    fitted = parallel_map(fit, grid, parallelism)
+    models = {}
+    for (k, _), m in zip(grid, fitted):
+        if k not in models or m.summary.trainingCost < models[k].summary.trainingCost:
+            models[k] = m
+    sils = parallel_map(lambda k: ev.evaluate(models[k].transform(df)), list(models), parallelism)
+    rows = [(int(k), float(models[k].summary.trainingCost), float(s)) for k, s in zip(models, sils)]
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double"), models
 
 

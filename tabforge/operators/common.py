@@ -82,6 +82,17 @@ def quantile_aggs(cols: list[str], probs: list[float], exact: bool = True, accur
             for i, c in enumerate(cols)]
 
 
+def parallel_map(fn, items, parallelism: int = 4) -> list:
+    """Run independent Spark jobs (model fits) concurrently from driver threads,
+    as ``CrossValidator(parallelism=...)`` does; results keep item order."""
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as ex:
+        return list(ex.map(fn, items))
+
+
 def column_moments(df: DataFrame, cols: list[str]) -> dict[str, dict]:
     """mean, population std, sample variance, min, max, count per column in one pass."""
     if not cols:
