@@ -100,20 +100,30 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30, group: str | None
 
 
 # G7 / G9 ---------------------------------------------------------------------
-def boxplot(df: DataFrame, cols: list[str], group: str | None = None, k: float = 1.5) -> DataFrame:
+def boxplot(df: DataFrame, cols: list[str], group: str | None = None, k: float = 1.5,
+            max_cells: int = 10000) -> DataFrame:
     """q1, median, q3, whiskers (furthest points within k*IQR), outlier count per (column, grp)."""
     ids = [F.col(group).cast("string").alias("grp")] if group else [F.lit(None).cast("string").alias("grp")]
     base = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols])
     long = base.unpivot(["grp"], cols, "column", "value").filter(F.col("value").isNotNull())
+    # pass 1: quartiles per (grp, column) -- one row per group and column
     q = (long.groupBy("grp", "column")
              .agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-             .select("grp", "column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                     F.col("q")[2].alias("q3")))
-    lo = F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))
-    hi = F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1"))
+             .limit(max_cells + 1).collect())
+    if len(q) > max_cells:
+        raise ValueError(f"box plot over more than {max_cells} (group, column) cells; group by a "
+                         "lower-cardinality column")
+    # pass 2: the quartiles travel as literals (bounded, checked above), so the
+    # whisker/outlier aggregate is one partially-aggregated pass with no join
+    # and no shuffle of the data rows.
+    key = F.concat_ws("\u0001", F.coalesce(F.col("grp"), F.lit("\u0000")), F.col("column"))
+    lit_map = lambda i: F.create_map(*[x for r in q for x in (
+        F.lit(f"{r['grp'] if r['grp'] is not None else chr(0)}\u0001{r['column']}"), F.lit(float(r["q"][i])))])
+    q1, med, q3 = (lit_map(i)[key] for i in range(3)) if q else (F.lit(None),) * 3
+    lo = q1 - F.lit(k) * (q3 - q1)
+    hi = q3 + F.lit(k) * (q3 - q1)
     v = F.col("value")
-    # q has #groups x #columns rows: the join is broadcast by size at runtime (AQE).
-    return (long.join(q, ["grp", "column"], "inner")
+    return (long.withColumns({"q1": q1, "median": med, "q3": q3})
                 .groupBy("column", "grp", "q1", "median", "q3")
                 .agg(F.min(F.when(v >= lo, v)).alias("whisker_lo"),
                      F.max(F.when(v <= hi, v)).alias("whisker_hi"),

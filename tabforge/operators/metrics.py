@@ -138,10 +138,17 @@ def pr_curve(df: DataFrame, label: str, score: str, group: list[str] | None = No
 
 
 # V7 ------------------------------------------------------------------------
-def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
+def class_report(df: DataFrame, label: str, pred: str, max_cells: int = 1_000_000) -> DataFrame:
     """Per class precision/recall/f1/support, plus accuracy, macro and weighted averages."""
     y, p = F.col(label), F.col(pred)
-    cells = df.groupBy(y.alias("y"), p.alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    # the confusion cells (classes^2 rows, checked) are the only thing read
+    # from the data: one scan, then everything below works on those rows
+    rows = df.groupBy(y.alias("y"), p.alias("p")).agg(F.count(F.lit(1)).alias("c")) \
+        .limit(max_cells + 1).collect()
+    if len(rows) > max_cells:
+        raise ValueError(f"more than {max_cells} confusion cells")
+    schema = df.select(y.alias("y"), p.alias("p")).schema.add("c", "bigint")
+    cells = df.sparkSession.createDataFrame(rows, schema)
     per_y = cells.groupBy(F.col("y").alias("cls")).agg(F.sum("c").alias("support"),
                                                       F.sum(F.when(F.col("y") == F.col("p"), F.col("c"))).alias("tp"))
     per_p = cells.groupBy(F.col("p").alias("cls")).agg(F.sum("c").alias("predicted"))
