@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Overall-score weights and rule thresholds of the model report.
 OVERALL_WEIGHTS = {"accuracy": 0.25, "precision": 0.25, "recall": 0.25, "f1": 0.25}
@@ -147,7 +148,7 @@ def class_report(df: DataFrame, label: str, pred: str, max_cells: int = 1_000_00
         .limit(max_cells + 1).collect()
     if len(rows) > max_cells:
         raise ValueError(f"more than {max_cells} confusion cells")
-    schema = df.select(y.alias("y"), p.alias("p")).schema.add("c", "bigint")
+    schema = df.select(y.alias("y"), p.alias("p")).schema.add("c", T.LongType())
     cells = df.sparkSession.createDataFrame(rows, schema)
     per_y = cells.groupBy(F.col("y").alias("cls")).agg(F.sum("c").alias("support"),
                                                       F.sum(F.when(F.col("y") == F.col("p"), F.col("c"))).alias("tp"))
