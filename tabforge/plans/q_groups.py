@@ -107,7 +107,20 @@ def q_dist_by_target(spark, sf_dir):
     return G.describe(cl, OL_NUM, group=spec.target)
 
 
-@query("kpis", with_(*OL_CLEAN_CHAIN) + f"""SELECT count(*) AS rows, CAST(7 AS BIGINT) AS features,
+@query("class_balance", with_(*OL_CLEAN_CHAIN) + f"""SELECT count(*) FILTER (WHERE severity = 0) AS n_negative,
+  count(*) FILTER (WHERE severity = 1) AS n_positive,
+  {r6('CAST(count(*) FILTER (WHERE severity = 1) AS DOUBLE) / count(*) FILTER (WHERE severity = 0)')} AS balance_ratio
+FROM ol_clean""")
+def q_class_balance(spark, sf_dir):
+    """M1: class counts and balance ratio n1 / n0 of the prepared table."""
+    from pyspark.sql import functions as F
+    cl, spec = cleaned_orderlines(spark, sf_dir)
+    t = F.col(spec.target)
+    return cl.agg(F.count_if(t == 0).alias("n_negative"), F.count_if(t == 1).alias("n_positive")) \
+        .withColumn("balance_ratio", F.col("n_positive").cast("double") / F.col("n_negative"))
+
+
+@query("kpis",with_(*OL_CLEAN_CHAIN) + f"""SELECT count(*) AS rows, CAST(7 AS BIGINT) AS features,
   CAST(sum(severity) AS BIGINT) AS positives, {r6('avg(CAST(severity AS DOUBLE)) * 100')} AS positive_rate FROM ol_clean""")
 def q_kpis(spark, sf_dir):
     cl, spec = cleaned_orderlines(spark, sf_dir)

@@ -210,6 +210,25 @@ def q_ward(spark, sf_dir):
     return sizes.withColumn("ari", F.lit(a)).withColumn("micro_clusters", F.lit(w.micro))
 
 
+@query("compare_clusterings")
+def q_compare_clusterings(spark, sf_dir):
+    """K9: K-means vs Ward, on the original (standardised) features and on the
+    first 10 principal components: silhouette and ARI against the label."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    z, spec = _vec_frame(spark, sf_dir)
+    r = X.fit_pca(z.drop("features"), list(spec.numeric))
+    pcs = M.assemble(X.pca_columns(z.drop("features"), r, m=10, keep=["vec_id", "label"]),
+                     [f"PC{j + 1}" for j in range(10)]).persist()
+    ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
+    rows = []
+    for space, frame in (("original", z), ("pca10", pcs)):
+        km = K.kmeans_sweep(frame, ks=[10], n_init=2)[1][10].transform(frame)
+        wd = K.ward(frame, ["vec_id"], n_clusters=10).labels
+        for method, lab in (("kmeans", km), ("ward", wd)):
+            rows.append((space, method, float(ev.evaluate(lab)), float(K.ari(lab, "cluster", "label").first()[0])))
+    return spark.createDataFrame(rows, "space string, method string, silhouette double, ari double")
+
+
 @query("dendrogram")
 def q_dendrogram(spark, sf_dir):
     z, spec = _vec_frame(spark, sf_dir)
