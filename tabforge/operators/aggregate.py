@@ -130,14 +130,16 @@ def boxplot(df: DataFrame, cols: list[str], group: str | None = None, k: float =
                      F.count_if((v < lo) | (v > hi)).alias("n_outliers")))
 
 
-def describe(df: DataFrame, cols: list[str], group: str | None = None) -> DataFrame:
-    """Count, mean, std (sample), min, 25/50/75 % (linear), max per (column[, grp])."""
+def describe(df: DataFrame, cols: list[str], group: str | None = None, exact: bool = True) -> DataFrame:
+    """Count, mean, std (sample), min, 25/50/75 % (linear), max per (column[, grp]).
+    ``exact=False`` takes the quartiles from the bounded-memory quantile sketch."""
     ids = [F.col(group).cast("string").alias("grp")] if group else []
     base = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols])
     keys = ["grp"] if group else []
     long = base.unpivot(keys, cols, "column", "value")
     x = F.col("value")
-    q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
+         else F.percentile_approx(x, [0.25, 0.5, 0.75], 10000))
     return (long.groupBy("column", *keys)
                 .agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                      F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"))

@@ -127,26 +127,34 @@ def validation_report(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 # D7 / D10 ------------------------------------------------------------------
-def feature_summary(df: DataFrame, cols: list[str]) -> DataFrame:
-    """dtype, non-null, null, n_unique (NULLs excluded), min/max/mean/std/median."""
+def _n_unique(x, exact: bool):
+    # exact distinct counting shuffles every distinct (column, value); the HLL
+    # sketch keeps a fixed-size register per column instead
+    return F.count_distinct(x) if exact else F.approx_count_distinct(x, 0.01)
+
+
+def feature_summary(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
+    """dtype, non-null, null, n_unique (NULLs excluded), min/max/mean/std/median.
+    ``exact=False``: HLL distinct counts and the quantile sketch for the median."""
     dtypes = dict(df.dtypes)
     long = long_values(df, cols)
     x = F.col("value")
+    med = F.percentile(x, 0.5) if exact else F.percentile_approx(x, 0.5, 10000)
     stats = long.groupBy("column").agg(
         F.count(x).alias("non_null"), F.count_if(x.isNull()).alias("nulls"),
-        F.count_distinct(x).alias("n_unique"), F.min(x).alias("min"), F.max(x).alias("max"),
-        F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.percentile(x, 0.5).alias("median"))
+        _n_unique(x, exact).alias("n_unique"), F.min(x).alias("min"), F.max(x).alias("max"),
+        F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), med.cast("double").alias("median"))
     types = df.sparkSession.createDataFrame([(c, dtypes[c]) for c in cols], "column string, dtype string")
     return types.join(stats, "column")
 
 
-def column_types(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def column_types(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
     """(column, dtype, non_null, n_unique) for every column (any type)."""
     cols = cols or df.columns
     dtypes = dict(df.dtypes)
     long = long_values(df, cols, cast="string")
     x = F.col("value")
-    stats = long.groupBy("column").agg(F.count(x).alias("non_null"), F.count_distinct(x).alias("n_unique"))
+    stats = long.groupBy("column").agg(F.count(x).alias("non_null"), _n_unique(x, exact).alias("n_unique"))
     types = df.sparkSession.createDataFrame([(c, dtypes[c]) for c in cols], "column string, dtype string")
     return types.join(stats, "column")
 
