@@ -164,7 +164,11 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column, value, cnt, share) for low-cardinality columns, NULLs excluded."""
     long = long_values(df, cols, cast="string").filter(F.col("value").isNotNull())
     c = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    return c.withColumn("share", F.col("cnt") / F.sum("cnt").over(Window.partitionBy("column")))
+    # per-column totals (one row per column) joined back -- not a window per
+    # column, which would put a high-cardinality column's values in one task
+    tot = c.groupBy("column").agg(F.sum("cnt").alias("_tot"))
+    return c.join(F.broadcast(tot), "column").select(
+        "column", "value", "cnt", (F.col("cnt") / F.col("_tot")).alias("share"))
 
 
 # D9 ------------------------------------------------------------------------
