@@ -1,5 +1,6 @@
-"""Golden values published by the reference, reproduced from its committed
-data files (read-only).  Skipped when the files are absent."""
+"""Golden values published with the clinical data set, reproduced from the
+data files they were computed from (paths given by the TABFORGE_* variables
+described in conftest.py; skipped when absent)."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,9 +16,9 @@ from tabforge.operators.aggregate import risk_by_band
 from tabforge.sources import files as IO
 from tabforge.spec import HEART, HEART_COLUMNS
 
-from .conftest import HEART_CLEANED, HEART_CSV, REF, needs_reference_data
+from .conftest import golden, needs
 
-pytestmark = needs_reference_data
+pytestmark = needs("RAW_CSV")
 FEATS = list(HEART_COLUMNS[:-1])
 # 0-based positions of the recovered hold-out rows (FIXTURES.md 2a).
 HOLDOUT = [3, 6, 21, 23, 33, 34, 62, 64, 66, 67, 76, 87, 89, 92, 94, 100, 101, 104, 113, 115, 131, 134, 137,
@@ -28,15 +29,16 @@ ENSEMBLE = ["cp", "exang", "oldpeak", "slope", "ca", "thal", "sex", "thalach"]
 
 @pytest.fixture(scope="module")
 def cleaned(spark):
-    raw = IO.load_spec_csv(spark, HEART_CSV, HEART, list(HEART_COLUMNS))
+    raw = IO.load_spec_csv(spark, golden("RAW_CSV"), HEART, list(HEART_COLUMNS))
     cl = C.clean(C.coerce_numeric(raw, HEART), HEART)
     enc, _ = C.encode(cl, HEART)
     out = C.cap_iqr(enc, HEART)
     return out.withColumn("rid", F.monotonically_increasing_id()).cache()
 
 
+@needs("CLEANED_CSV")
 def test_cleaning_matches_published_table(spark, cleaned):
-    ref = spark.read.option("header", True).csv(HEART_CLEANED)
+    ref = spark.read.option("header", True).csv(golden("CLEANED_CSV"))
     a = cleaned.select([F.col(c).cast("double").alias(c) for c in HEART_COLUMNS])
     b = ref.select([F.col(c).cast("double").alias(c) for c in HEART_COLUMNS])
     assert a.count() == 303
@@ -99,9 +101,9 @@ def test_holdout_logistic(spark, cleaned, features, cm, auc):
     assert V.auc_ap(p, "y", "s").first()["roc_auc"] == pytest.approx(auc, abs=1e-12)
 
 
+@needs("ASSIGNMENTS_CSV")
 def test_ari_from_published_assignments(spark):
-    df = spark.read.option("header", True).option("inferSchema", True).csv(
-        f"{REF}/results/clustering/cluster_assignments.csv")
+    df = spark.read.option("header", True).option("inferSchema", True).csv(golden("ASSIGNMENTS_CSV"))
     assert K.ari(df, "kmeans_cluster", "true_label").first()[0] == pytest.approx(0.07246874193453086, abs=1e-12)
     assert K.ari(df, "hierarchical_cluster", "true_label").first()[0] == pytest.approx(0.09329122318060278,
                                                                                       abs=1e-12)

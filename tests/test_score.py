@@ -11,7 +11,7 @@ from tabforge.functions import exprs as E
 from tabforge.functions import rules as RL
 from tabforge.operators import score as Z
 
-from .conftest import REF
+from .conftest import golden, needs
 
 INPUTS = ("age", "sex", "cp", "trestbps", "chol", "fbs", "restecg", "thalach", "exang", "oldpeak")
 SCHEMA = ", ".join(f"{c} double" for c in INPUTS)
@@ -77,10 +77,10 @@ def test_normal_percentile_and_scalars(spark):
     assert tuple(r) == ("Logistic Regression", -1.0, "85.25%", "abcde...")
 
 
-@pytest.mark.skipif(not os.path.exists(f"{REF}/prediction_history.json"), reason="reference file absent")
+@needs("HISTORY_JSON")
 def test_history_records_validate(spark):
     """Every stored request of the published history passes the request rules."""
-    recs = json.load(open(f"{REF}/prediction_history.json"))
+    recs = json.load(open(golden("HISTORY_JSON")))
     df = spark.createDataFrame([(json.dumps({k: str(v) for k, v in r["input_data"].items()}),) for r in recs],
                                "j string").select(F.from_json("j", "map<string,string>").alias("req"))
     errs = [r["error"] for r in Z.validate_requests(df, "req", RL.HEART_REQUEST_RULES, RL.HEART_LABELS).collect()]
