@@ -18,12 +18,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -264,5 +263,3 @@ def importances(model, names: list[str]) -> list[tuple[str, float]]:
 def pipeline(features: list[str], estimator) -> Pipeline:
     return Pipeline(stages=[assembler(features), estimator])
 
-
-_unused = (PipelineModel, Vectors)

@@ -10,7 +10,6 @@ import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +31,7 @@ from ..streaming.scoring import score_stream
 from .catalog import query
 from .q_clean import OL_NUM, cleaned_orderlines
 from .q_score import ORDERLINE_LABELS, ORDERLINE_REQUEST_RULES, ORDERLINE_RULES
-from .sqlparts import OL_CLEAN_CHAIN, r6, union_all, with_
+from .sqlparts import OL_CLEAN_CHAIN, r6, with_
 
 OL_CAT = ["l_returnflag", "l_linestatus", "l_linenumber"]
 OL_FEATS = OL_NUM + OL_CAT
@@ -398,5 +397,3 @@ def q_io_roundtrip(spark, sf_dir):
     IO.save_json(V.binary_metrics(cl.withColumn("pred", F.lit(1)), spec.target, "pred"), f"{run}/eval_json")
     return back
 
-
-_ = (vector_to_array, orderlines, union_all)

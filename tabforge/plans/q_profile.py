@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import aggregate as G
 from ..operators import clean as C
 from ..operators import profile as D
@@ -95,8 +93,6 @@ def q_validation_report(spark, sf_dir):
 
 # D6 ------------------------------------------------------------------------
 def _describe_sql(src: str, cols: list[str], group: str | None = None) -> str:
-    g_sel = f"CAST({group} AS VARCHAR) AS grp, " if group else ""
-    g_by = ", grp" if group else ""
     parts = []
     for c in cols:
         parts.append(
@@ -105,7 +101,6 @@ def _describe_sql(src: str, cols: list[str], group: str | None = None) -> str:
             f"{r6(f'min({c})')} AS min, {r6(f'quantile_cont({c}, 0.25)')} AS q25, "
             f"{r6(f'quantile_cont({c}, 0.5)')} AS q50, {r6(f'quantile_cont({c}, 0.75)')} AS q75, "
             f"{r6(f'max({c})')} AS max FROM {src}" + (f" GROUP BY {group}" if group else ""))
-    del g_sel, g_by
     return union_all(parts)
 
 
@@ -220,5 +215,3 @@ def q_corr_target(spark, sf_dir):
     df, spec = docs(spark, sf_dir)
     return ST.corr_target(C.clean(df, spec), DOC_NUM + ["toxic"], "quality")
 
-
-_ = F

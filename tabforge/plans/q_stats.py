@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from ..operators import clean as C
 from ..operators import stats as ST
-from ..sources.tables import USERS, orderlines, users
+from ..sources.tables import USERS, users
 from .catalog import query
 from .q_clean import OL_NUM, cleaned_orderlines
 from .sqlparts import OL_CLEAN_CHAIN, USERS as USERS_CTE, r6, union_all, with_
@@ -117,8 +116,6 @@ def q_corr_filter(spark, sf_dir):
     return ST.corr_filter(df, USER_NUM, threshold=CORR_THRESHOLD)
 
 
-_ = (C, orderlines)
-
 
 # Votes across the three univariate selectors -------------------
 VOTES_BASE = with_(

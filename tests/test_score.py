@@ -2,7 +2,6 @@
 
 import json
 import math
-import os
 
 import pytest
 from pyspark.sql import functions as F
