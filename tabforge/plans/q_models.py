@@ -77,7 +77,8 @@ query("svm")(_model_query("svm", kernel="rbf", n_landmarks=100, max_iter=50))
 def q_svm_linear(spark, sf_dir):
     df, spec = ml_frame(spark, sf_dir)
     train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
-    return _test_metrics("svm_linear", M.fit_model("svm", train, list(spec.key), kernel="linear").model, test)
+    return _test_metrics("svm_linear", M.fit_model("svm", train, list(spec.key), kernel="linear",
+                                                   max_iter=50).model, test)
 
 
 @query("cv_models")
