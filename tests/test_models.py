@@ -78,3 +78,31 @@ def test_stream_scores_every_row(spark):
     n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     assert out.count() == n
     assert out.filter(F.col("confidence").isNull()).count() == 0
+
+
+def test_helpers_p1_p2_f14_h5_h6(spark, frame, tmp_path):
+    from tabforge.operators import clean as C
+    from tabforge.operators import select as SEL
+    from tabforge.spec import FeatureSpec
+    df, spec = frame
+    x, y = C.split_xy(df, spec)
+    assert spec.target not in x.columns and y.columns == list(spec.key) + [spec.target]
+    with pytest.raises(ValueError):
+        C.split_xy(df.drop(spec.target), spec)
+    rp = C.role_pipeline(FeatureSpec(numeric=("l_quantity", "l_tax"), categorical=("l_linenumber",)))
+    out = rp.fit(df.drop("features")).transform(df.drop("features"))
+    assert len(out.select("features").first()[0]) == 3
+    feats, perf = SEL.select_features(df, ["l_quantity", "l_discount"], ["l_linenumber"], "label",
+                                      strategy="union", k=2)
+    assert feats and 0 <= perf["cv_mean"] <= 1
+    with pytest.raises(ValueError):
+        SEL.select_features(df, ["l_quantity"], [], "label", strategy="nope")
+    train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
+    res = H.search_all(train, test, n_iter=2, names=["decision_tree"])
+    accs = H.cv_tuned(train, H.estimators(100)["decision_tree"], res[0]["best_params"])
+    assert len(accs) == 5 and all(0 <= a <= 1 for a in accs)
+    reg = ModelRegistry(spark, str(tmp_path / "reg2"))
+    saved = H.save_best(reg, res, ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+                                   "l_linestatus", "l_linenumber"])
+    assert set(saved) == {"decision_tree"}
+    assert reg.load("decision_tree").transform(test.drop("features")).count() == test.count()
