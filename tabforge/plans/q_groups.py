@@ -6,7 +6,8 @@ from ..operators import aggregate as G
 from .catalog import query
 from .q_clean import OL_NUM, capped_orderlines, cleaned_orderlines
 from .q_profile import coerced
-from .sqlparts import OL, OL_CAP_CHAIN, OL_CLEAN_CHAIN, r6, union_all, with_
+from ..sources.tables import customers
+from .sqlparts import CUST, OL, OL_CAP_CHAIN, OL_CLEAN_CHAIN, r6, union_all, with_
 
 # Display labels of the return-flag codes.
 RETURNFLAG_LABELS = {"A": "accepted", "N": "none", "R": "returned"}
@@ -107,7 +108,19 @@ def q_dist_by_target(spark, sf_dir):
     return G.describe(cl, OL_NUM, group=spec.target)
 
 
-@query("class_balance", with_(*OL_CLEAN_CHAIN) + f"""SELECT count(*) FILTER (WHERE severity = 0) AS n_negative,
+@query("segment_risk", with_(CUST) + f"""SELECT c_mktsegment AS code, n_name AS label, count(*) AS total,
+  CAST(sum(in_debt) AS BIGINT) AS positives, {r6('avg(CAST(in_debt AS DOUBLE)) * 100')} AS risk_rate
+FROM cust GROUP BY c_mktsegment, n_name""")
+def q_segment_risk(spark, sf_dir):
+    """G1 on customers ⋈ nation: share of indebted accounts per (segment, nation)."""
+    from pyspark.sql import functions as F
+    df, spec = customers(spark, sf_dir)
+    return (df.groupBy(F.col("c_mktsegment").alias("code"), F.col("n_name").alias("label"))
+              .agg(F.count(F.lit(1)).alias("total"), F.sum(F.col(spec.target).cast("bigint")).alias("positives"),
+                   (F.avg(F.col(spec.target).cast("double")) * 100).alias("risk_rate")))
+
+
+@query("class_balance",with_(*OL_CLEAN_CHAIN) + f"""SELECT count(*) FILTER (WHERE severity = 0) AS n_negative,
   count(*) FILTER (WHERE severity = 1) AS n_positive,
   {r6('CAST(count(*) FILTER (WHERE severity = 1) AS DOUBLE) / count(*) FILTER (WHERE severity = 0)')} AS balance_ratio
 FROM ol_clean""")

@@ -152,6 +152,15 @@ def q_pca_variance(spark, sf_dir):
     return vt.select("*", *[F.lit(v).cast("int").alias(f"n_for_{int(t * 100)}") for t, v in th.items()])
 
 
+@query("pca_report")
+def q_pca_report(spark, sf_dir):
+    """The report's recommendation rules applied to the fitted components."""
+    df, spec = vectors(spark, sf_dir)
+    r = X.fit_pca(df, list(spec.numeric))
+    rows = X.recommendations(r) or [("none", "no recommendation rule applies")]
+    return spark.createDataFrame(rows, "rule string, text string")
+
+
 @query("pca_loadings")
 def q_pca_loadings(spark, sf_dir):
     df, spec = vectors(spark, sf_dir)
