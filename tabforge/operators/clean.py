@@ -113,6 +113,38 @@ def fit_fill_values(df: DataFrame, spec: FeatureSpec, exact: bool = True) -> tup
     return med, modes
 
 
+def clean_with_levels(df: DataFrame, spec: FeatureSpec, exact: bool = True,
+                      max_levels: int = 10000) -> tuple[DataFrame, dict]:
+    """T5 + the T6 encoding levels from the SAME aggregate (one data pass).
+
+    Imputation never adds a level (the mode is an observed value), so the
+    sorted distinct values of the labelled rows before imputation are the
+    levels of the cleaned table; an all-NULL column gets its fill value."""
+    out = coerce_numeric(df, spec)
+    num = [c for c in spec.numeric if c in out.columns]
+    fill_cat = [c for c in spec.categorical if c in out.columns and c not in spec.numeric]
+    cats = [c for c in spec.categorical if c in out.columns]
+    labelled = F.col(spec.target).isNotNull() if spec.target in out.columns else F.lit(True)
+    aggs = (quantile_aggs(num, [0.5], exact, prefix="q")
+            + [F.mode(c, True).alias(f"m{i}") for i, c in enumerate(fill_cat)]
+            + [F.sort_array(F.collect_set(F.when(labelled, F.col(c)))).alias(f"v{i}") for i, c in enumerate(cats)])
+    r = out.agg(*aggs).first()
+    med = {c: r[f"q{i}"][0] for i, c in enumerate(num) if r[f"q{i}"] is not None and r[f"q{i}"][0] is not None}
+    modes = {}
+    for i, c in enumerate(fill_cat):
+        v = r[f"m{i}"]
+        modes[c] = v if v is not None else (0 if is_numeric(out, c) else "0")
+    info = {}
+    for i, c in enumerate(cats):
+        vals = list(r[f"v{i}"]) or [modes.get(c, 0)]
+        if len(vals) > max_levels:
+            raise ValueError(f"{c}: {len(vals)} levels exceed max_levels={max_levels}")
+        kind = "binary" if c in spec.binary else "ordinal" if c in spec.ordinal else "categorical"
+        info[c] = (kind, vals)
+    cleaned = binarize_target(impute_mode(impute_median(out, spec, medians=med), spec, modes=modes), spec)
+    return cleaned, info
+
+
 def clean(df: DataFrame, spec: FeatureSpec, exact: bool = True, binarize: bool = True) -> DataFrame:
     """T1 -> T2 -> T3 -> T4 with one fit aggregate and one lazy projection."""
     out = coerce_numeric(df, spec)
@@ -271,8 +303,8 @@ def preprocess(df: DataFrame, spec: FeatureSpec, test_size: float = 0.2, seed: i
     from .split import add_split
     if scaling not in ("standard", "minmax"):
         raise ValueError(f"unknown scaling method {scaling!r}")
-    cleaned = clean(df, spec, exact=exact)
-    encoded, info = encode(cleaned, spec)
+    cleaned, info = clean_with_levels(df, spec, exact=exact)   # one pass: fills + levels
+    encoded, info = encode(cleaned, spec, info)
     split = add_split(encoded, spec, test_size=test_size, seed=seed)
     fit_rows = split if cap_fit_on == "all" else split.filter(F.col("split") == "train")
     bounds = fit_iqr_bounds(fit_rows, list(spec.numeric), exact=exact)

@@ -100,8 +100,9 @@ def q_clean(spark, sf_dir):
        rf.i AS l_returnflag, ls.i AS l_linestatus, severity
 FROM ol_clean JOIN rf ON ol_clean.l_returnflag = rf.v JOIN ls ON ol_clean.l_linestatus = ls.v""")
 def q_encode(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
-    return C.encode(cl, spec)[0]
+    df, spec = orderlines(spark, sf_dir)
+    cl, levels = C.clean_with_levels(df, spec)      # fills and levels from one pass
+    return C.encode(cl, spec, levels)[0]
 
 
 def _scaled_sql(method: str) -> str:

@@ -43,8 +43,9 @@ FOREST_TREES = 20
 
 def ml_frame(spark, sf_dir, persist: bool = True) -> tuple[DataFrame, object]:
     """Cleaned, encoded orderlines with split, folds, assembled features, label."""
-    cl, spec = cleaned_orderlines(spark, sf_dir)
-    enc, _ = C.encode(cl, spec)
+    raw, spec = orderlines(spark, sf_dir)
+    cl, levels = C.clean_with_levels(raw, spec)
+    enc, _ = C.encode(cl, spec, levels)
     df = S.add_folds(S.add_split(enc, spec), spec)
     df = M.assemble(df, OL_FEATS).withColumn("label", F.col(spec.target).cast("double"))
     return (df.persist() if persist else df), spec

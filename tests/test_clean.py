@@ -116,6 +116,22 @@ def test_scaling(spark):
         C.scale(df, ["age"], st, "robust")
 
 
+def test_clean_with_levels_equals_two_pass(spark):
+    rows = [list(r) for r in SAMPLE]
+    rows[2][2] = "?"
+    rows[4][11] = "?"
+    rows[1][13] = None      # NULL target row is dropped; its levels must not appear
+    rows[1][12] = "9"
+    df = raw_df(spark, rows)
+    one, lv = C.clean_with_levels(df, HEART)
+    two = C.clean(df, HEART)
+    info = C.fit_encoding(two, HEART)
+    assert {c: v[1] for c, v in lv.items()} == {c: v[1] for c, v in info.items()}
+    a = C.encode(one, HEART, lv)[0]
+    b = C.encode(two, HEART, info)[0]
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_encode_string_categories(spark):
     from tabforge.spec import FeatureSpec
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "g string")
