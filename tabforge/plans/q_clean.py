@@ -39,8 +39,17 @@ def capped_orderlines(spark, sf_dir):
 
 
 def risk_by_band_df(spark, sf_dir):
-    capped, spec = capped_orderlines(spark, sf_dir)
-    return G.risk_by_band(capped, "l_quantity", BAND_EDGES, BAND_LABELS, spec.target)
+    """Flagship: clean -> cap -> risk by quantity band.  Projected to the
+    columns the result uses before any fit, so the fill and IQR fits compute
+    only the band column's statistics (the other columns' fills and caps
+    cannot change this output)."""
+    df, spec = orderlines(spark, sf_dir)
+    band = "l_quantity"
+    sub = spec.with_(numeric=(band,), categorical=(), ordinal=(), binary=(),
+                     ranges={k: v for k, v in spec.ranges.items() if k in (band, spec.target)})
+    df = df.select(*spec.key, band, spec.target)
+    capped = C.cap_iqr(C.clean(df, sub), sub)
+    return G.risk_by_band(capped, band, BAND_EDGES, BAND_LABELS, spec.target)
 
 
 _BAND_CASE = " ".join(
