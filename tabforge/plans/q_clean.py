@@ -28,14 +28,25 @@ BAND_EDGES = [0, 10, 20, 30, 40, 50]
 BAND_LABELS = ["<10", "10-19", "20-29", "30-39", "40-49"]
 
 
-def cleaned_orderlines(spark, sf_dir):
+def cleaned_orderlines(spark, sf_dir, numeric=None, categorical=None):
+    """Cleaned orderlines.  With ``numeric`` / ``categorical`` the table is
+    projected to those columns (plus key and target) BEFORE the fit, so the
+    fit aggregate computes only statistics the query's output can use; the
+    returned spec is the full one (feature counts stay as declared)."""
     df, spec = orderlines(spark, sf_dir)
-    return C.clean(df, spec), spec
-
-
-def capped_orderlines(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
-    return C.cap_iqr(cl, spec), spec
+    if numeric is None and categorical is None:
+        return C.clean(df, spec), spec
+    num, cat = tuple(numeric or ()), tuple(categorical or ())
+    sub = spec.with_(numeric=num, categorical=cat, ordinal=tuple(c for c in spec.ordinal if c in cat),
+                     binary=tuple(c for c in spec.binary if c in cat))
+    cols = list(dict.fromkeys([*spec.key, *num, *cat, spec.target]))
+    return C.clean(df.select(*cols), sub), spec
+
+
+def capped_orderlines(spark, sf_dir, numeric=None, categorical=None):
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric, categorical)
+    cols = [c for c in spec.numeric if numeric is None or c in numeric]
+    return C.cap_iqr(cl, spec, cols=cols), spec
 
 
 def risk_by_band_df(spark, sf_dir):

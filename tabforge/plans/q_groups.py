@@ -21,7 +21,7 @@ PAIR_BINS = 10
   count(*) AS total, CAST(sum(severity) AS BIGINT) AS positives, {r6('avg(CAST(severity AS DOUBLE)) * 100')} AS risk_rate
 FROM ol_cap GROUP BY l_returnflag""")
 def q_risk_by_code(spark, sf_dir):
-    capped, spec = capped_orderlines(spark, sf_dir)
+    capped, spec = capped_orderlines(spark, sf_dir, numeric=(), categorical=("l_returnflag",))
     return G.risk_by_code(capped, "l_returnflag", spec.target, RETURNFLAG_LABELS)
 
 
@@ -34,7 +34,7 @@ _CT = "ct AS (" + union_all(
 @query("crosstab_norm", with_(*OL_CLEAN_CHAIN, _CT) +
        f"SELECT feature, value, by_value, cnt, {r6('cnt / sum(cnt) OVER (PARTITION BY feature, value)')} AS share FROM ct")
 def q_crosstab_norm(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=(), categorical=_CT_FEATS)
     return G.crosstab(cl, _CT_FEATS, spec.target, normalize=True)
 
 
@@ -42,7 +42,7 @@ def q_crosstab_norm(spark, sf_dir):
        "SELECT 'l_returnflag' AS feature, l_returnflag AS value, l_linestatus AS by_value, count(*) AS cnt "
        "FROM ol_clean GROUP BY l_returnflag, l_linestatus")
 def q_crosstab(spark, sf_dir):
-    cl, _ = cleaned_orderlines(spark, sf_dir)
+    cl, _ = cleaned_orderlines(spark, sf_dir, numeric=(), categorical=("l_returnflag", "l_linestatus"))
     return G.crosstab(cl, ["l_returnflag"], "l_linestatus")
 
 
@@ -127,7 +127,7 @@ FROM ol_clean""")
 def q_class_balance(spark, sf_dir):
     """M1: class counts and balance ratio n1 / n0 of the prepared table."""
     from pyspark.sql import functions as F
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=(), categorical=())
     t = F.col(spec.target)
     return cl.agg(F.count_if(t == 0).alias("n_negative"), F.count_if(t == 1).alias("n_positive")) \
         .withColumn("balance_ratio", F.col("n_positive").cast("double") / F.col("n_negative"))
@@ -136,7 +136,7 @@ def q_class_balance(spark, sf_dir):
 @query("kpis",with_(*OL_CLEAN_CHAIN) + f"""SELECT count(*) AS rows, CAST(7 AS BIGINT) AS features,
   CAST(sum(severity) AS BIGINT) AS positives, {r6('avg(CAST(severity AS DOUBLE)) * 100')} AS positive_rate FROM ol_clean""")
 def q_kpis(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=(), categorical=())
     return G.kpis(cl, spec)
 
 
