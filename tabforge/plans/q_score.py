@@ -42,8 +42,12 @@ ORDERLINE_RULES = RL.RuleSet(
 PRICE_SCALE = 105000.0
 
 
-def _scored_lines(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+RULE_NUM = ("l_extendedprice", "l_discount", "l_quantity", "l_tax")
+RULE_CAT = ("l_returnflag", "l_linestatus")
+
+
+def _scored_lines(spark, sf_dir, numeric=("l_extendedprice",), categorical=()):
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=numeric, categorical=categorical)
     s = F.col("l_extendedprice") / F.lit(PRICE_SCALE)
     return cl.select("*", s.alias("s"), (s >= 0.5).cast("int").alias("pred"),
                      F.greatest(s, F.lit(1.0) - s).alias("confidence"))
@@ -138,7 +142,7 @@ def q_risk_category(spark, sf_dir):
 @query("risk_factors", with_(*OL_CLEAN_CHAIN) +
        f"SELECT l_orderkey, l_linenumber, {RL.factors_sql(ORDERLINE_RULES.risk)} AS risk_factors FROM ol_clean")
 def q_risk_factors(spark, sf_dir):
-    cl, _ = cleaned_orderlines(spark, sf_dir)
+    cl, _ = cleaned_orderlines(spark, sf_dir, numeric=RULE_NUM[1:], categorical=RULE_CAT[:1])
     return cl.select("l_orderkey", "l_linenumber",
                      F.array_join(RL.factors(ORDERLINE_RULES.risk), "; ").alias("risk_factors"))
 
@@ -146,7 +150,7 @@ def q_risk_factors(spark, sf_dir):
 @query("protective_factors", with_(*OL_CLEAN_CHAIN) +
        f"SELECT l_orderkey, l_linenumber, {RL.factors_sql(ORDERLINE_RULES.protective)} AS protective_factors FROM ol_clean")
 def q_protective_factors(spark, sf_dir):
-    cl, _ = cleaned_orderlines(spark, sf_dir)
+    cl, _ = cleaned_orderlines(spark, sf_dir, numeric=("l_discount",), categorical=("l_linestatus",))
     return cl.select("l_orderkey", "l_linenumber",
                      F.array_join(RL.factors(ORDERLINE_RULES.protective), "; ").alias("protective_factors"))
 
@@ -176,7 +180,7 @@ def _explanation_sql(rules) -> str:
 @query("explanation", with_(*OL_CLEAN_CHAIN, SCORED_SQL) +
        f"SELECT l_orderkey, l_linenumber, {_explanation_sql(ORDERLINE_RULES)} AS explanation FROM sl")
 def q_explanation(spark, sf_dir):
-    sc = _scored_lines(spark, sf_dir)
+    sc = _scored_lines(spark, sf_dir, RULE_NUM, RULE_CAT)
     return sc.select("l_orderkey", "l_linenumber",
                      Z.explanation(F.col("pred"), F.col("confidence"), ORDERLINE_RULES).alias("explanation"))
 
@@ -210,7 +214,7 @@ _PCT_COLS = ["l_quantity", "l_extendedprice"]
         f"{r6(_pct_sql(c))} AS {c}_pctl, {r6(_step_sql(c))} AS {c}_step" for c in _PCT_COLS) +
     " FROM ol_clean CROSS JOIN st")
 def q_norm_percentile(spark, sf_dir):
-    cl, _ = cleaned_orderlines(spark, sf_dir)
+    cl, _ = cleaned_orderlines(spark, sf_dir, numeric=tuple(_PCT_COLS), categorical=())
     stats = Z.population_stats(cl, _PCT_COLS)
     out = [F.col("l_orderkey"), F.col("l_linenumber")]
     for c in _PCT_COLS:
