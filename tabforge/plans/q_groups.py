@@ -62,14 +62,14 @@ def _hist_sql(src: str, cols: list[str], bins: int, group: str | None) -> str:
 
 @query("histogram", with_(*OL_CLEAN_CHAIN).rstrip() + ",\n" + _hist_sql("ol_clean", OL_NUM, HIST_BINS, None))
 def q_histogram(spark, sf_dir):
-    cl, _ = cleaned_orderlines(spark, sf_dir)
+    cl, _ = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=())
     return G.histogram(cl, OL_NUM, bins=HIST_BINS)
 
 
 @query("histogram_by_target", with_(*OL_CLEAN_CHAIN).rstrip() + ",\n" +
        _hist_sql("ol_clean", OL_NUM, GROUP_BINS, "severity"))
 def q_histogram_by_target(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=())
     return G.histogram(cl, OL_NUM, bins=GROUP_BINS, group=spec.target)
 
 
@@ -87,7 +87,7 @@ def _box_sql(src: str, cols: list[str], group: str) -> str:
 
 @query("boxplot", with_(*OL_CLEAN_CHAIN).rstrip() + ",\n" + _box_sql("ol_clean", OL_NUM, "severity"))
 def q_boxplot(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=())
     return G.boxplot(cl, OL_NUM, group=spec.target)
 
 
@@ -104,7 +104,7 @@ def q_target_balance(spark, sf_dir):
     f"{r6(f'quantile_cont({c}, 0.5)')} AS q50, {r6(f'quantile_cont({c}, 0.75)')} AS q75, {r6(f'max({c})')} AS max "
     f"FROM ol_clean GROUP BY severity" for c in OL_NUM))
 def q_dist_by_target(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=())
     return G.describe(cl, OL_NUM, group=spec.target)
 
 
@@ -156,5 +156,5 @@ def _pair_sql(src: str, cols: list[str], bins: int, target: str) -> str:
 
 @query("pair_bins", with_(*OL_CLEAN_CHAIN).rstrip() + ",\n" + _pair_sql("ol_clean", OL_NUM, PAIR_BINS, "severity"))
 def q_pair_bins(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=())
     return G.pair_bins(cl, OL_NUM, spec.target, bins=PAIR_BINS)

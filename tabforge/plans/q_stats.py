@@ -10,6 +10,7 @@ from .sqlparts import OL_CLEAN_CHAIN, USERS as USERS_CTE, r6, union_all, with_
 
 K_SELECT = 2
 USER_NUM = list(USERS.numeric)
+MI_DISCRETE = ("l_linenumber", "l_returnflag")   # discrete features of the MI score
 
 
 def _long(src: str, cols: list[str], y: str, expr: str = "{c}") -> str:
@@ -35,14 +36,14 @@ ANOVA_SQL = with_(*OL_CLEAN_CHAIN,
 
 @query("anova_f", ANOVA_SQL)
 def q_anova_f(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=MI_DISCRETE)
     return ST.anova_f(cl, OL_NUM, spec.target, k=K_SELECT)
 
 
 @query("anova_pvalues")
 def q_anova_pvalues(spark, sf_dir):
     """F5 with p-values (regularized incomplete beta on the per-feature rows)."""
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=MI_DISCRETE)
     return ST.anova_f(cl, OL_NUM, spec.target, k=K_SELECT, p_values=True)
 
 
@@ -60,14 +61,14 @@ CHI2_SQL = with_(*OL_CLEAN_CHAIN,
 
 @query("chi2_scores", CHI2_SQL)
 def q_chi2_scores(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=MI_DISCRETE)
     return ST.chi2_scores(cl, OL_NUM, spec.target, k=K_SELECT)
 
 
 @query("chi2_pvalues")
 def q_chi2_pvalues(spark, sf_dir):
     """F3 with p-values (regularized upper incomplete gamma)."""
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=MI_DISCRETE)
     return ST.chi2_scores(cl, OL_NUM, spec.target, k=K_SELECT, p_values=True)
 
 
@@ -93,7 +94,7 @@ MI_SQL = with_(*OL_CLEAN_CHAIN,
 
 @query("mutual_info", MI_SQL)
 def q_mutual_info(spark, sf_dir):
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=MI_DISCRETE)
     return ST.mutual_info(cl, OL_NUM, ["l_linenumber", "l_returnflag"], spec.target, k=K_SELECT)
 
 
@@ -130,7 +131,7 @@ VOTES_BASE = with_(
 def selections(spark, sf_dir):
     """(method, feature) for the top-K features of each univariate selector."""
     from pyspark.sql import functions as F
-    cl, spec = cleaned_orderlines(spark, sf_dir)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=MI_DISCRETE)
     runs = {"univariate": ST.anova_f(cl, OL_NUM, spec.target, k=K_SELECT),
             "chi_square": ST.chi2_scores(cl, OL_NUM, spec.target, k=K_SELECT),
             "mutual_information": ST.mutual_info(cl, OL_NUM, ["l_linenumber", "l_returnflag"], spec.target,
