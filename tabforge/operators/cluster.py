@@ -179,11 +179,13 @@ def ari(df: DataFrame, a: str, b: str) -> DataFrame:
     """Adjusted Rand index from the contingency table (one row)."""
     cells = df.groupBy(a, b).agg(F.count(F.lit(1)).cast("double").alias("n"))
     comb = lambda x: x * (x - 1) / 2
-    ra = cells.groupBy(a).agg(F.sum("n").alias("n")).agg(F.sum(comb(F.col("n"))).alias("sa"))
-    rb = cells.groupBy(b).agg(F.sum("n").alias("n")).agg(F.sum(comb(F.col("n"))).alias("sb"))
-    rij = cells.agg(F.sum(comb(F.col("n"))).alias("sij"), F.sum("n").alias("tot"))
-    k = F.lit(1).alias("_k")
-    t = rij.select("*", k).join(ra.select("*", k), "_k").join(rb.select("*", k), "_k")
+    # cell, row and column counts tagged and stacked, then ONE aggregate (no joins)
+    parts = cells.select(F.lit("ij").alias("kind"), "n").unionByName(
+        cells.groupBy(a).agg(F.sum("n").alias("n")).select(F.lit("a").alias("kind"), "n")).unionByName(
+        cells.groupBy(b).agg(F.sum("n").alias("n")).select(F.lit("b").alias("kind"), "n"))
+    t = parts.agg(*[F.sum(F.when(F.col("kind") == kd, comb(F.col("n")))).alias(nm)
+                    for kd, nm in (("ij", "sij"), ("a", "sa"), ("b", "sb"))],
+                  F.sum(F.when(F.col("kind") == "ij", F.col("n"))).alias("tot"))
     e = F.col("sa") * F.col("sb") / comb(F.col("tot"))
     return t.select(((F.col("sij") - e) / ((F.col("sa") + F.col("sb")) / 2 - e)).alias("ari"))
 

@@ -223,9 +223,11 @@ def weighted_metrics(df: DataFrame, label: str, pred: str, score: str | None = N
         F.max(F.when(F.col("label") == "accuracy", F.col("f1"))).alias("accuracy"),
         F.max(F.when(F.col("label") == "weighted avg", F.col("precision"))).alias("precision_weighted"),
         F.max(F.when(F.col("label") == "weighted avg", F.col("recall"))).alias("recall_weighted"),
-        F.max(F.when(F.col("label") == "weighted avg", F.col("f1"))).alias("f1_weighted"),
-        F.lit(1).alias("_k"))
+        F.max(F.when(F.col("label") == "weighted avg", F.col("f1"))).alias("f1_weighted"))
     if score is None:
-        return one.drop("_k")
-    auc = auc_ap(df, label, score).select("roc_auc", F.lit(1).alias("_k"))
-    return one.join(auc, "_k").drop("_k")
+        return one
+    # two one-row frames combined by stacking and one aggregate (no join)
+    auc = auc_ap(df, label, score).select("roc_auc")
+    both = one.unionByName(auc, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in
+                      ("accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "roc_auc")])

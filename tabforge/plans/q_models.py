@@ -55,8 +55,9 @@ def _test_metrics(name: str, model, test: DataFrame) -> DataFrame:
     p = M.predictions(model, test)
     bm = V.binary_metrics(p, "y", "pred")
     au = V.auc_ap(p, "y", "s")
-    k = F.lit(1).alias("_k")
-    return bm.select("*", k).join(au.select("*", k), "_k").drop("_k").select(F.lit(name).alias("model"), "*")
+    both = bm.unionByName(au, allowMissingColumns=True)      # two one-row frames, no join
+    return both.agg(*[F.max(c).alias(c) for c in bm.columns + au.columns]).select(
+        F.lit(name).alias("model"), "*")
 
 
 def _model_query(name: str, **params):
