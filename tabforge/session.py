@@ -47,11 +47,14 @@ def get_spark(master: str | None = None, app: str = "tabforge",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared folder and is only read here.
-    Only when it is unset (local tests) a fresh scratch folder is created.
+    On a cluster this setting names a shared folder and is only read here;
+    there it must be set.  Only in local mode, where driver and executors are
+    one process, a fresh scratch folder stands in for it.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tabforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
