@@ -30,6 +30,20 @@ def doc_input(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def doc_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text and ``rest``, a struct of all other columns, so that no
+    name of theirs can clash with an operator's own."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       F.struct(*rest).alias("rest") if rest else F.lit(None).cast("struct<none:string>").alias("rest"))
+
+
+def like_input(rows: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``rows`` (doc_id, text, rest) with the columns of ``docs`` in their order."""
+    own = {id_col: "doc_id", text_col: "text"}
+    return rows.select(*[F.col(own[c] if c in own else f"rest.`{c}`").cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import packing, toxicity
+from . import exact_dedup, licenses, line_dedup, packing, pii, sentencepieces, simhash, topk, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,13 +25,21 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def held_out() -> Column:
+    """Rows whose labels are kept for evaluation."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def learnable() -> Column:
+    return ~held_out()
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
-    fitted = toxicity.train(docs, labels.where(~held_out))
+    fitted = toxicity.train(docs, labels.where(learnable()))
     return (toxicity.score(docs, fitted)
-            .select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+            .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
                     "lang_threshold", "flagged"))
 
 
@@ -39,3 +47,93 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.tokenize(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), with_ids=False)
     return packing.pack(pieces)
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE["op2_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, UNNEST(string_split(COALESCE(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(COALESCE(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines),
+judged AS (
+  SELECT *, (length(k) >= 10 AND doc_id > MIN(doc_id) OVER (PARTITION BY k)) AS gone FROM keyed)
+SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(COALESCE(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@query
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op7_exact_dedup"] = """
+SELECT doc_id, MAX(doc_id) OVER w AS keep_id, COUNT(*) OVER w AS group_size,
+       doc_id = MAX(doc_id) OVER w AS kept, sha256(COALESCE(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY COALESCE(text, ''))
+"""
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
+    spans = F.col("spans")
+    counts = [F.size(pii.of_kinds(spans, [k])).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    base = pii.digest(pii.of_kinds(spans, pii.BASE))
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), pii.digest(spans).alias("spans"))
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents")
+    return sentencepieces.round_trip(docs, model).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.array_sort(F.array_distinct("places.label"))
+    every = F.array_sort(F.array_distinct(F.concat("places.label", "spans.label")))
+    cover = F.coalesce(F.array_max("spans.cover"), F.lit(0.0))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min("places.start").alias("first_word"),
+        F.array_max("places.start").alias("last_word"), F.array_join(base, ",").alias("base_labels"), F.array_join(every, ",").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(cover).alias("score"))
+
+
+@query
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op8_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

@@ -371,3 +371,24 @@ def score(docs: DataFrame, fitted: Toxicity, *, id_col: str = "doc_id", text_col
 
     out = rows.mapInArrow(run, "doc_id long, score double, lang_threshold double")
     return out.withColumn("flagged", F.col("score") >= F.col("lang_threshold"))
+
+
+def reject(docs: DataFrame, fitted: Toxicity, *, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
+    """``docs``, all columns, without the documents whose score reaches the
+    threshold of their language."""
+    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
+    at = docs.columns.index(text_col)
+    model = docs.sparkSession.sparkContext.broadcast(fitted.model)   # fixed size: BUCKETS x DIM floats
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        cache: dict = {}
+        for b in batches:
+            s = score_texts(model.value, [t or "" for t in b.column(at).to_pylist()], cache)
+            limit = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
+            keep = pa.array(np.asarray(s < limit, bool))
+            yield b.filter(keep).select(list(range(b.num_columns - 1)))
+
+    return docs.select("*", fitted.threshold(lang).alias("__threshold")).mapInArrow(run, docs.schema)
