@@ -120,7 +120,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     ``rest``: a struct of all other columns.  A text that loses nothing stays
     as it is, null included."""
     gone = dropped_lines(docs, id_col=id_col, text_col=text_col, min_chars=min_chars, batches=batches, fanout=fanout)
-    rows = (doc_rows(docs, id_col, text_col).join(gone, F.col("doc_id") == F.col("doc"), "left")
+    # a merge join at every size: the texts are dealt out once, whatever the number of dropped lines
+    rows = (doc_rows(docs, id_col, text_col).join(gone.hint("merge"), F.col("doc_id") == F.col("doc"), "left")
             .withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1)))
     # the stretches between dropped lines, one after the other
     d = F.col("gone")
