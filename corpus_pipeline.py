@@ -46,7 +46,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs)
     gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "near-duplicates")
-    return docs.join(gone, docs.doc_id == gone.gone_id, "left_anti")
+    # a merge join at every size, as in line dedup
+    return docs.join(gone.hint("merge"), docs.doc_id == gone.gone_id, "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
