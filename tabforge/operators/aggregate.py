@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..spec import FeatureSpec
 from .common import column_moments, long_values
+from .quantiles import quantiles
 
 
 # G2 ------------------------------------------------------------------------
@@ -100,58 +101,54 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30, group: str | None
 
 
 # G7 / G9 ---------------------------------------------------------------------
-def boxplot(df: DataFrame, cols: list[str], group: str | None = None, k: float = 1.5,
-            max_cells: int = 10000) -> DataFrame:
-    """q1, median, q3, whiskers (furthest points within k*IQR), outlier count per (column, grp)."""
-    ids = [F.col(group).cast("string").alias("grp")] if group else [F.lit(None).cast("string").alias("grp")]
-    base = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols])
-    long = base.unpivot(["grp"], cols, "column", "value").filter(F.col("value").isNotNull())
-    # pass 1: quartiles per (grp, column) -- one row per group and column
-    q = (long.groupBy("grp", "column")
-             .agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-             .limit(max_cells + 1).collect())
-    if len(q) > max_cells:
-        raise ValueError(f"box plot over more than {max_cells} (group, column) cells; group by a "
-                         "lower-cardinality column")
-    # pass 2: the quartiles travel as literals (bounded, checked above), so the
-    # whisker/outlier aggregate is one partially-aggregated pass with no join
-    # and no shuffle of the data rows.
-    key = F.concat_ws("\u0001", F.coalesce(F.col("grp"), F.lit("\u0000")), F.col("column"))
-    lit_map = lambda i: F.create_map(*[x for r in q for x in (
-        F.lit(f"{r['grp'] if r['grp'] is not None else chr(0)}\u0001{r['column']}"), F.lit(float(r["q"][i])))])
-    q1, med, q3 = (lit_map(i)[key] for i in range(3)) if q else (F.lit(None),) * 3
-    lo = q1 - F.lit(k) * (q3 - q1)
-    hi = q3 + F.lit(k) * (q3 - q1)
+def _long_by_group(df: DataFrame, cols: list[str], group: str | None) -> DataFrame:
+    grp = F.col(group).cast("string") if group else F.lit(None).cast("string")
+    base = df.select(grp.alias("grp"), *[F.col(c).cast("double").alias(c) for c in cols])
+    return base.unpivot(["grp"], cols, "column", "value")
+
+
+def boxplot(df: DataFrame, cols: list[str], group: str | None = None, k: float = 1.5) -> DataFrame:
+    """q1, median, q3, whiskers (furthest points within k*IQR), outlier count per (column, grp).
+
+    Quartiles and whiskers both come from the table of distinct values, joined
+    to its own quartiles; the data are read once to make it."""
+    counts = (_long_by_group(df, cols, group).filter(F.col("value").isNotNull())
+              .groupBy("column", "grp", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    q = quantiles(counts, ["column", "grp"], [0.25, 0.5, 0.75]).select(
+        F.col("column").alias("q_column"), F.col("grp").alias("q_grp"), F.col("q")[0].alias("q1"),
+        F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    on = (F.col("column") == F.col("q_column")) & F.col("grp").eqNullSafe(F.col("q_grp"))
+    lo = F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))
+    hi = F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1"))
     v = F.col("value")
-    return (long.withColumns({"q1": q1, "median": med, "q3": q3})
-                .groupBy("column", "grp", "q1", "median", "q3")
-                .agg(F.min(F.when(v >= lo, v)).alias("whisker_lo"),
-                     F.max(F.when(v <= hi, v)).alias("whisker_hi"),
-                     F.count_if((v < lo) | (v > hi)).alias("n_outliers")))
+    return (counts.join(q, on).groupBy("column", "grp", "q1", "median", "q3")
+            .agg(F.min(F.when(v >= lo, v)).alias("whisker_lo"), F.max(F.when(v <= hi, v)).alias("whisker_hi"),
+                 F.coalesce(F.sum(F.when((v < lo) | (v > hi), F.col("cnt"))), F.lit(0)).cast("bigint").alias("n_outliers")))
 
 
 def describe(df: DataFrame, cols: list[str], group: str | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, std (sample), min, 25/50/75 % (linear), max per (column[, grp]).
     ``exact=False`` takes the quartiles from the bounded-memory quantile sketch."""
-    ids = [F.col(group).cast("string").alias("grp")] if group else []
-    base = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols])
-    keys = ["grp"] if group else []
-    long = base.unpivot(keys, cols, "column", "value")
+    long = _long_by_group(df, cols, group)
     x = F.col("value")
-    q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-         else F.percentile_approx(x, [0.25, 0.5, 0.75], 10000))
-    return (long.groupBy("column", *keys)
-                .agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                     F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"))
-                .select("column", *keys, "count", "mean", "std", "min",
-                        F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
-                        F.col("q")[2].alias("q75"), "max"))
+    moments = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+               F.min(x).alias("min"), F.max(x).alias("max")]
+    if exact:
+        counts = long.groupBy("column", "grp", "value").agg(F.count(F.lit(1)).alias("cnt"))
+        q = quantiles(counts, ["column", "grp"], [0.25, 0.5, 0.75]).select(
+            F.col("column").alias("q_column"), F.col("grp").alias("q_grp"), "q")
+        on = (F.col("column") == F.col("q_column")) & F.col("grp").eqNullSafe(F.col("q_grp"))
+        out = long.groupBy("column", "grp").agg(*moments).join(q, on, "left")
+    else:
+        out = long.groupBy("column", "grp").agg(*moments, F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias("q"))
+    return out.select("column", *(["grp"] if group else []), "count", "mean", "std", "min", F.col("q")[0].alias("q25"),
+                      F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 
 # G8 ------------------------------------------------------------------------
 def target_balance(df: DataFrame, target: str) -> DataFrame:
     c = df.groupBy(F.col(target).alias("target_value")).agg(F.count(F.lit(1)).alias("cnt"))
-    return c.withColumn("pct", F.col("cnt") * 100.0 / F.sum("cnt").over(Window.partitionBy()))
+    return c.withColumn("pct", F.col("cnt") * 100.0 / F.lit(df.count()))
 
 
 # G10 -----------------------------------------------------------------------

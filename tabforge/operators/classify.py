@@ -18,11 +18,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, Transformer
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,23 +79,34 @@ def random_forest(n_estimators: int = 100, max_features: str = "sqrt", max_depth
 
 
 # M5 ------------------------------------------------------------------------
-class NystroemMap(Transformer):
+class NystroemMap(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """features -> Nystroem kernel features (rbf or poly) via one Arrow-batched pandas UDF.
 
-    The landmark matrix (m x d) and the m x m projection are broadcast with
-    the UDF closure; both are bounded by ``m`` (not by the data).
+    The landmark matrix (m x d) and the m x m projection are parameters, so the
+    stage can be saved; both are bounded by ``m`` (not by the data).
     """
 
-    def __init__(self, landmarks: np.ndarray, proj: np.ndarray, kernel: str, gamma: float,
-                 degree: int = 3, coef0: float = 1.0, inputCol: str = "features", outputCol: str = "kfeatures"):
-        super().__init__()
-        self.landmarks, self.proj = landmarks, proj
-        self.kernel, self.gamma, self.degree, self.coef0 = kernel, gamma, degree, coef0
-        self.inputCol, self.outputCol = inputCol, outputCol
+    landmarks = Param(Params._dummy(), "landmarks", "landmark rows, flattened", TypeConverters.toListFloat)
+    proj = Param(Params._dummy(), "proj", "m x m projection, flattened", TypeConverters.toListFloat)
+    kernel = Param(Params._dummy(), "kernel", "rbf or poly", TypeConverters.toString)
+    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
+    degree = Param(Params._dummy(), "degree", "degree of the poly kernel", TypeConverters.toInt)
+    coef0 = Param(Params._dummy(), "coef0", "constant of the poly kernel", TypeConverters.toFloat)
+    inputCol = Param(Params._dummy(), "inputCol", "features", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "kernel features", TypeConverters.toString)
+
+    @classmethod
+    def of(cls, landmarks: np.ndarray, proj: np.ndarray, kernel: str, gamma: float, degree: int = 3,
+           coef0: float = 1.0, inputCol: str = "features", outputCol: str = "kfeatures") -> NystroemMap:
+        return cls()._set(landmarks=landmarks.ravel().tolist(), proj=proj.ravel().tolist(), kernel=kernel, gamma=gamma,
+                          degree=degree, coef0=coef0, inputCol=inputCol, outputCol=outputCol)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        L, P = self.landmarks, self.proj
-        kernel, gamma, degree, coef0 = self.kernel, self.gamma, self.degree, self.coef0
+        get = self.getOrDefault
+        flat = np.array(get(self.proj))
+        m = int(round(len(flat) ** 0.5))
+        P, L = flat.reshape(m, m), np.array(get(self.landmarks)).reshape(m, -1)
+        kernel, gamma, degree, coef0 = (get(x) for x in (self.kernel, self.gamma, self.degree, self.coef0))
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
         def kmap(x: pd.Series) -> pd.Series:
@@ -101,7 +114,7 @@ class NystroemMap(Transformer):
             K = kernel_matrix(X, L, kernel, gamma, degree, coef0)
             return pd.Series(list(K @ P))
 
-        return df.withColumn(self.outputCol, array_to_vector(kmap(vector_to_array(self.inputCol))))
+        return df.withColumn(get(self.outputCol), array_to_vector(kmap(vector_to_array(get(self.inputCol)))))
 
 
 def kernel_matrix(X: np.ndarray, L: np.ndarray, kernel: str, gamma: float, degree: int = 3,
@@ -132,48 +145,26 @@ def fit_nystroem(df: DataFrame, key: list[str], kernel: str = "rbf", gamma="scal
     w, U = np.linalg.eigh(K)
     w = np.maximum(w, 1e-12)
     proj = U @ np.diag(1.0 / np.sqrt(w)) @ U.T
-    return NystroemMap(L, proj, kernel, float(gamma), degree, inputCol=features)
-
-
-@dataclass
-class SVMModel:
-    """Kernel map (optional) + LinearSVC + Platt scaling, usable like a fitted model."""
-    kmap: NystroemMap | None
-    svc: object
-    platt: object
-    features: str = "features"
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        """prediction = sign of the SVM margin; probability = Platt-scaled margin."""
-        x = self.kmap.transform(df) if self.kmap else df
-        out = self.svc.transform(x).withColumn("_margin", vector_to_array("rawPrediction")[1])
-        out = self.platt.transform(assemble(out, ["_margin"], "_m"))
-        drop = ["_margin", "_m", "platt_raw", "platt_prediction"] + ([self.kmap.outputCol] if self.kmap else [])
-        return out.drop(*drop)
-
-    @property
-    def stages(self):
-        return [s for s in (self.kmap, self.svc, self.platt) if s is not None]
+    return NystroemMap.of(L, proj, kernel, float(gamma), degree, inputCol=features)
 
 
 def train_svm(df: DataFrame, key: list[str], label: str = "label", kernel: str = "rbf", C: float = 1.0,
               gamma="scale", degree: int = 3, n_landmarks: int = 300, max_iter: int = 200,
-              seed: int = 42, features: str = "features", n_train: int | None = None) -> SVMModel:
+              seed: int = 42, features: str = "features", n_train: int | None = None) -> PipelineModel:
+    """Kernel map (unless linear) -> LinearSVC -> margin -> Platt scaling.
+
+    ``prediction`` is the sign of the SVM margin, ``probability`` the
+    Platt-scaled margin.  All stages can be saved."""
     n = n_train or df.count()
-    kmap = None
-    feats = features
-    x = df
+    stages, feats, x = [], features, df
     if kernel != "linear":
-        kmap = fit_nystroem(df, key, kernel, gamma, degree, n_landmarks, seed, features)
-        x = kmap.transform(df)
-        feats = kmap.outputCol
+        stages.append(fit_nystroem(df, key, kernel, gamma, degree, n_landmarks, seed, features))
+        x, feats = stages[0].transform(df), "kfeatures"
     svc = LinearSVC(featuresCol=feats, labelCol=label, regParam=1.0 / (C * n), maxIter=max_iter).fit(x)
-    scored = svc.transform(x).withColumn("_margin", vector_to_array("rawPrediction")[1])
-    scored = assemble(scored, ["_margin"], "_m")
-    platt = LogisticRegression(featuresCol="_m", labelCol=label, regParam=0.0,
-                               probabilityCol="probability", predictionCol="platt_prediction",
-                               rawPredictionCol="platt_raw").fit(scored)
-    return SVMModel(kmap, svc, platt, features)
+    margin = VectorSlicer(inputCol="rawPrediction", outputCol="margin", indices=[1])
+    platt = LogisticRegression(featuresCol="margin", labelCol=label, regParam=0.0, probabilityCol="probability",
+                               predictionCol="platt_prediction", rawPredictionCol="platt_raw").fit(margin.transform(svc.transform(x)))
+    return PipelineModel(stages=[*stages, svc, margin, platt])
 
 
 # M6 ------------------------------------------------------------------------

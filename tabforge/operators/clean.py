@@ -11,9 +11,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import materialize
 from ..spec import FeatureSpec
-from .common import WIDE_COLUMNS, column_moments, column_quantiles, is_numeric, is_string, quantile_aggs
+from .common import column_moments, column_quantiles, is_numeric, is_string
+from .quantiles import modes as modes_of, value_counts_of
 
 
 # T1 ------------------------------------------------------------------------
@@ -66,15 +69,25 @@ def impute_median(df: DataFrame, spec: FeatureSpec, exact: bool = True,
 
 
 # T3 ------------------------------------------------------------------------
+def _by_type(df: DataFrame, cols: list[str]) -> list[tuple[list[str], str]]:
+    """Columns that can share one table of counts, and its value type."""
+    text = [c for c in cols if is_string(df, c)]
+    other = [c for c in cols if c not in text]
+    return [(cs, t) for cs, t in ((other, "double"), (text, "string")) if cs]
+
+
+def _as_stored(df: DataFrame, c: str, v):
+    """A counted value in the column's own type."""
+    return int(v) if isinstance(df.schema[c].dataType, T.IntegralType) else v
+
+
 def fit_modes(df: DataFrame, cols: list[str]) -> dict:
     """Most frequent value per column; ties -> smallest; all-NULL -> 0."""
-    if not cols:
-        return {}
-    r = df.agg(*[F.mode(c, True).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    out = {}
-    for i, c in enumerate(cols):
-        v = r[f"m{i}"]
-        out[c] = v if v is not None else (0 if is_numeric(df, c) else "0")
+    out = {c: (0 if is_numeric(df, c) else "0") for c in cols}
+    for cs, kind in _by_type(df, cols):
+        for r in modes_of(value_counts_of(df, cs, cast=kind), ["column"]).collect():      # one row per column
+            if r["mode"] is not None:
+                out[r["column"]] = _as_stored(df, r["column"], r["mode"])
     return out
 
 
@@ -95,59 +108,30 @@ def binarize_target(df: DataFrame, spec: FeatureSpec, threshold: float = 0) -> D
 
 # T5 ------------------------------------------------------------------------
 def fit_fill_values(df: DataFrame, spec: FeatureSpec, exact: bool = True) -> tuple[dict, dict]:
-    """Medians of the numeric columns and modes of the categorical ones in ONE
-    aggregate (one scan, one job); result bounded by the column count."""
+    """Medians of the numeric columns and modes of the categorical ones."""
     num = [c for c in spec.numeric if c in df.columns]
     cat = [c for c in spec.categorical if c in df.columns and c not in spec.numeric]
-    if len(num) > WIDE_COLUMNS:
-        return fit_medians(df, num, exact), fit_modes(df, cat)
-    aggs = quantile_aggs(num, [0.5], exact, prefix="q") + [F.mode(c, True).alias(f"m{i}") for i, c in enumerate(cat)]
-    if not aggs:
-        return {}, {}
-    r = df.agg(*aggs).first()
-    med = {c: r[f"q{i}"][0] for i, c in enumerate(num) if r[f"q{i}"] is not None and r[f"q{i}"][0] is not None}
-    modes = {}
-    for i, c in enumerate(cat):
-        v = r[f"m{i}"]
-        modes[c] = v if v is not None else (0 if is_numeric(df, c) else "0")
-    return med, modes
-
-
-def clean_with_levels(df: DataFrame, spec: FeatureSpec, exact: bool = True,
-                      max_levels: int = 10000) -> tuple[DataFrame, dict]:
-    """T5 + the T6 encoding levels from the SAME aggregate (one data pass).
+    return fit_medians(df, num, exact), fit_modes(df, cat)
+
+
+def clean_with_levels(df: DataFrame, spec: FeatureSpec, exact: bool = True) -> tuple[DataFrame, dict]:
+    """T5 + the T6 encoding levels.
 
     Imputation never adds a level (the mode is an observed value), so the
     sorted distinct values of the labelled rows before imputation are the
     levels of the cleaned table; an all-NULL column gets its fill value."""
-    out = coerce_numeric(df, spec)
-    num = [c for c in spec.numeric if c in out.columns]
-    fill_cat = [c for c in spec.categorical if c in out.columns and c not in spec.numeric]
-    cats = [c for c in spec.categorical if c in out.columns]
-    labelled = F.col(spec.target).isNotNull() if spec.target in out.columns else F.lit(True)
-    aggs = (quantile_aggs(num, [0.5], exact, prefix="q")
-            + [F.mode(c, True).alias(f"m{i}") for i, c in enumerate(fill_cat)]
-            + [F.sort_array(F.collect_set(F.when(labelled, F.col(c)))).alias(f"v{i}") for i, c in enumerate(cats)])
-    r = out.agg(*aggs).first()
-    med = {c: r[f"q{i}"][0] for i, c in enumerate(num) if r[f"q{i}"] is not None and r[f"q{i}"][0] is not None}
-    modes = {}
-    for i, c in enumerate(fill_cat):
-        v = r[f"m{i}"]
-        modes[c] = v if v is not None else (0 if is_numeric(out, c) else "0")
-    info = {}
-    for i, c in enumerate(cats):
-        vals = list(r[f"v{i}"]) or [modes.get(c, 0)]
-        if len(vals) > max_levels:
-            raise ValueError(f"{c}: {len(vals)} levels exceed max_levels={max_levels}")
-        kind = "binary" if c in spec.binary else "ordinal" if c in spec.ordinal else "categorical"
-        info[c] = (kind, vals)
+    out = materialize(coerce_numeric(df, spec), "coerced")      # the input's joins run once
+    med, modes = fit_fill_values(out, spec, exact)
+    labelled = out.filter(F.col(spec.target).isNotNull()) if spec.target in out.columns else out
+    info = {c: (kind, vals or [modes.get(c, 0)]) for c, (kind, vals) in fit_encoding(labelled, spec).items()}
     cleaned = binarize_target(impute_mode(impute_median(out, spec, medians=med), spec, modes=modes), spec)
     return cleaned, info
 
 
 def clean(df: DataFrame, spec: FeatureSpec, exact: bool = True, binarize: bool = True) -> DataFrame:
-    """T1 -> T2 -> T3 -> T4 with one fit aggregate and one lazy projection."""
-    out = coerce_numeric(df, spec)
+    """T1 -> T2 -> T3 -> T4.  The coerced table is written once; the fits and the
+    lazy projection of the result read it."""
+    out = materialize(coerce_numeric(df, spec), "coerced")
     med, modes = fit_fill_values(out, spec, exact)
     out = impute_median(out, spec, medians=med)
     out = impute_mode(out, spec, modes=modes)
@@ -155,24 +139,19 @@ def clean(df: DataFrame, spec: FeatureSpec, exact: bool = True, binarize: bool =
 
 
 # T6 ------------------------------------------------------------------------
-def fit_encoding(df: DataFrame, spec: FeatureSpec, max_levels: int = 10000) -> dict:
+def fit_encoding(df: DataFrame, spec: FeatureSpec) -> dict:
     """Sorted distinct values per categorical column: {col: (kind, [values])}.
 
-    Bounded by the declared categorical cardinality (checked against
-    ``max_levels``); the distinct values come from one aggregate.
+    The distinct (column, value) pairs come from a distributed aggregate; only
+    they, the levels of the declared categories, reach the driver.
     """
     cats = [c for c in spec.categorical if c in df.columns]
-    if not cats:
-        return {}
-    r = df.agg(*[F.sort_array(F.collect_set(c)).alias(f"v{i}") for i, c in enumerate(cats)]).first()
-    info = {}
-    for i, c in enumerate(cats):
-        vals = list(r[f"v{i}"])
-        if len(vals) > max_levels:
-            raise ValueError(f"{c}: {len(vals)} levels exceed max_levels={max_levels}")
-        kind = "binary" if c in spec.binary else "ordinal" if c in spec.ordinal else "categorical"
-        info[c] = (kind, vals)
-    return info
+    levels: dict = {c: [] for c in cats}
+    for cs, kind in _by_type(df, cats):
+        for r in value_counts_of(df, cs, cast=kind).filter(F.col("value").isNotNull()).select("column", "value").toLocalIterator():
+            levels[r["column"]].append(_as_stored(df, r["column"], r["value"]))
+    return {c: ("binary" if c in spec.binary else "ordinal" if c in spec.ordinal else "categorical", sorted(v))
+            for c, v in levels.items()}
 
 
 def encode(df: DataFrame, spec: FeatureSpec, info: dict | None = None) -> tuple[DataFrame, dict]:
@@ -264,19 +243,31 @@ def split_xy(df: DataFrame, spec: FeatureSpec) -> tuple[DataFrame, DataFrame]:
 
 
 # P2 ------------------------------------------------------------------------
-def role_pipeline(spec: FeatureSpec, scaling: str = "standard", out: str = "features"):
+def role_pipeline(spec: FeatureSpec, rows: int | None = None, scaling: str = "standard", out: str = "features"):
     """Column-role routing as an ML Pipeline: numeric columns assembled and
     scaled, categorical columns passed through unscaled, everything else
-    dropped by the final assembler.  (Spark's StandardScaler uses the sample
-    std; :func:`scale` is the population-std variant.)"""
+    dropped by the final assembler.
+
+    Spark's StandardScaler divides by the sample std; with the number of
+    ``rows`` it is fitted on, the result is brought to the population std of
+    :func:`scale` by the constant sqrt(rows / (rows - 1)).
+    """
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
+    from pyspark.ml.feature import ElementwiseProduct, MinMaxScaler, StandardScaler, VectorAssembler
+    from pyspark.ml.linalg import Vectors
     num = VectorAssembler(inputCols=list(spec.numeric), outputCol="_num", handleInvalid="keep")
-    sc = (StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True)
-          if scaling == "standard" else MinMaxScaler(inputCol="_num", outputCol="_num_s"))
+    stages, scaled = [num], "_num_s"
+    if scaling == "standard":
+        stages.append(StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True))
+        if rows and rows > 1:
+            factor = [(rows / (rows - 1)) ** 0.5] * len(spec.numeric)
+            stages.append(ElementwiseProduct(scalingVec=Vectors.dense(factor), inputCol="_num_s", outputCol="_num_p"))
+            scaled = "_num_p"
+    else:
+        stages.append(MinMaxScaler(inputCol="_num", outputCol="_num_s"))
     cats = [c for c in spec.categorical if c not in spec.numeric]
-    final = VectorAssembler(inputCols=["_num_s", *cats], outputCol=out, handleInvalid="keep")
-    return Pipeline(stages=[num, sc, final])
+    stages.append(VectorAssembler(inputCols=[scaled, *cats], outputCol=out, handleInvalid="keep"))
+    return Pipeline(stages=stages)
 
 
 # T12 -----------------------------------------------------------------------
@@ -298,14 +289,14 @@ class Preprocessed:
 
 
 def preprocess(df: DataFrame, spec: FeatureSpec, test_size: float = 0.2, seed: int = 42,
-               scaling: str = "standard", cap_fit_on: str = "all", exact: bool = True) -> Preprocessed:
+               scaling: str = "standard", cap_fit_on: str = "train", exact: bool = True) -> Preprocessed:
     """clean -> encode -> cap (bounds fitted on all rows or train) -> split -> scale (fit on train)."""
     from .split import add_split
     if scaling not in ("standard", "minmax"):
         raise ValueError(f"unknown scaling method {scaling!r}")
     cleaned, info = clean_with_levels(df, spec, exact=exact)   # one pass: fills + levels
     encoded, info = encode(cleaned, spec, info)
-    split = add_split(encoded, spec, test_size=test_size, seed=seed)
+    split = add_split(materialize(encoded, "encoded"), spec, test_size=test_size, seed=seed)
     fit_rows = split if cap_fit_on == "all" else split.filter(F.col("split") == "train")
     bounds = fit_iqr_bounds(fit_rows, list(spec.numeric), exact=exact)
     capped = cap_iqr(split, spec, bounds)

@@ -3,10 +3,10 @@
 * K-means sweep: ``pyspark.ml.clustering.KMeans`` per k and seed on one
   cached vector column; inertia = ``summary.trainingCost``; silhouette by
   ``ClusteringEvaluator`` (squared-Euclidean form, linear in rows).
-* Ward agglomeration: distributed K-means micro-clusters (K' <= 1000,
-  bounded), then size-weighted Ward (Lance-Williams) on the K' centroids on
-  the driver, and a broadcast-sized join of micro-cluster -> cluster labels.
-  Exact when n <= K' (every row is its own micro-cluster).
+* Agglomeration: distributed K-means micro-clusters (``n_micro`` of them at
+  every table size), then a size-weighted linkage (Lance-Williams) of the
+  ``n_micro`` centroids on the driver, and a map from micro-cluster to cluster
+  with ``n_micro`` entries.
 * Inertia, ARI and purity are aggregates over (cluster, label) counts.
 """
 
@@ -17,17 +17,14 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import parallel_map
-from .split import hash_bucket
 
 
 # K2 ------------------------------------------------------------------------
-def kmeans_sweep(df: DataFrame, ks=range(2, 11), n_init: int = 3, seed: int = 42,
+def kmeans_sweep(df: DataFrame, ks=range(2, 11), n_init: int = 10, seed: int = 42,
                  features: str = "features", max_iter: int = 300,
                  parallelism: int = 4) -> tuple[DataFrame, dict]:
     """(k, inertia, silhouette) per k, best of ``n_init`` seeds by inertia; also
@@ -69,37 +66,48 @@ def best_silhouette_k(sweep: DataFrame) -> int:
 
 
 # K4 ------------------------------------------------------------------------
-def ward_linkage(centroids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Size-weighted Ward linkage (scipy layout: a, b, distance, size)."""
+LINKAGES = ("ward", "complete", "average", "single")
+
+
+def agglomerate(centroids: np.ndarray, sizes: np.ndarray, linkage: str = "ward") -> np.ndarray:
+    """Size-weighted linkage of weighted points (rows: a, b, distance, size).
+
+    ``ward`` works on squared distances scaled by the cluster sizes, the others
+    on Euclidean distances; all are updated by their Lance-Williams rule."""
+    if linkage not in LINKAGES:
+        raise ValueError(f"linkage must be one of {LINKAGES}")
     n = len(sizes)
     size = sizes.astype(float).copy()
-    diff = centroids[:, None, :] - centroids[None, :, :]
-    d2 = (diff ** 2).sum(-1) * (2 * size[:, None] * size[None, :] / (size[:, None] + size[None, :]))
-    np.fill_diagonal(d2, np.inf)
+    norm = (centroids ** 2).sum(1)
+    d = np.maximum(norm[:, None] + norm[None, :] - 2 * centroids @ centroids.T, 0.0)
+    d = d * (2 * size[:, None] * size[None, :] / (size[:, None] + size[None, :])) if linkage == "ward" else np.sqrt(d)
+    np.fill_diagonal(d, np.inf)
     ids = np.arange(n)
-    active = np.ones(n, dtype=bool)
     out = np.zeros((max(n - 1, 0), 4))
     for step in range(n - 1):
-        flat = np.argmin(d2)
-        i, j = divmod(int(flat), n)
-        if i > j:
-            i, j = j, i
-        dij = d2[i, j]
-        ni, nj = size[i], size[j]
-        out[step] = (min(ids[i], ids[j]), max(ids[i], ids[j]), np.sqrt(max(dij, 0.0)), ni + nj)
-        nk = size
-        new = ((ni + nk) * d2[i] + (nj + nk) * d2[j] - nk * dij) / (ni + nj + nk)
-        d2[i, :] = new
-        d2[:, i] = new
-        d2[i, i] = np.inf
-        d2[j, :] = np.inf
-        d2[:, j] = np.inf
-        active[j] = False
+        i, j = sorted(divmod(int(np.argmin(d)), n))
+        dij, ni, nj = d[i, j], size[i], size[j]
+        out[step] = (min(ids[i], ids[j]), max(ids[i], ids[j]), np.sqrt(max(dij, 0.0)) if linkage == "ward" else dij, ni + nj)
+        if linkage == "ward":
+            new = ((ni + size) * d[i] + (nj + size) * d[j] - size * dij) / (ni + nj + size)
+        elif linkage == "average":
+            new = (ni * d[i] + nj * d[j]) / (ni + nj)
+        else:
+            new = np.maximum(d[i], d[j]) if linkage == "complete" else np.minimum(d[i], d[j])
+        gone = np.isinf(d[i]) | np.isinf(d[j])
+        new[gone] = np.inf
+        d[i, :] = d[:, i] = new
+        d[i, i] = np.inf
+        d[j, :] = d[:, j] = np.inf
         size[i] = ni + nj
         ids[i] = n + step
     return out
 
 
+def ward_linkage(centroids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return agglomerate(centroids, sizes, "ward")
+
+
 def cut_linkage(linkage: np.ndarray, n: int, n_clusters: int) -> np.ndarray:
     """Labels 0..n_clusters-1 for the n leaves after n - n_clusters merges
     (label order = order of each cluster's smallest leaf)."""
@@ -129,31 +137,20 @@ class WardResult:
     micro: int
 
 
-def ward(df: DataFrame, key: list[str], n_clusters: int = 2, max_micro: int = 1000, seed: int = 42,
-         features: str = "features") -> WardResult:
+def ward(df: DataFrame, key: list[str], n_clusters: int = 2, n_micro: int = 256, seed: int = 42,
+         features: str = "features", linkage: str = "ward") -> WardResult:
+    """Agglomerative clustering through ``n_micro`` micro-clusters, the same way
+    at every size; ``n_micro`` bounds what the driver holds (n_micro^2 distances)."""
     spark = df.sparkSession
-    n = df.count()
-    arr = vector_to_array(features)
-    if n <= max_micro:
-        # exact: every row is a leaf (n <= max_micro rows, bounded)
-        pts = df.select(*key, arr.alias("x")).orderBy(*key).collect()
-        X = np.array([r["x"] for r in pts], dtype=float)
-        link = ward_linkage(X, np.ones(len(X)))
-        lab = cut_linkage(link, len(X), n_clusters)
-        rows = [tuple(r[k] for k in key) + (int(c),) for r, c in zip(pts, lab)]
-        labels = spark.createDataFrame(rows, df.select(*key).schema.add("cluster", T.IntegerType()))
-        return WardResult(df.join(labels, key), link, len(X))
-    km = KMeans(k=max_micro, seed=seed, featuresCol=features, predictionCol="micro", maxIter=50).fit(df)
+    km = KMeans(k=n_micro, seed=seed, featuresCol=features, predictionCol="micro", maxIter=50).fit(df)
     assigned = km.transform(df)
-    sizes = assigned.groupBy("micro").count().collect()
-    size_map = {r["micro"]: r["count"] for r in sizes}
-    ids = sorted(size_map)
-    C = np.array([km.clusterCenters()[i] for i in ids])
-    S = np.array([size_map[i] for i in ids], dtype=float)
-    link = ward_linkage(C, S)
+    sizes = {r["micro"]: r["count"] for r in assigned.groupBy("micro").count().collect()}     # <= n_micro rows
+    ids = sorted(sizes)
+    centres = km.clusterCenters()
+    link = agglomerate(np.array([centres[i] for i in ids]), np.array([sizes[i] for i in ids], dtype=float), linkage)
     lab = cut_linkage(link, len(ids), n_clusters)
     m = spark.createDataFrame([(int(i), int(c)) for i, c in zip(ids, lab)], "micro int, cluster int")
-    # m has <= max_micro rows: a bounded broadcast
+    # m has <= n_micro rows: a bounded broadcast
     return WardResult(assigned.join(F.broadcast(m), "micro").drop("micro"), link, len(ids))
 
 
@@ -200,8 +197,3 @@ def purity(df: DataFrame, cluster: str, label: str) -> DataFrame:
     return (top.filter("_r = 1").join(size, cluster)
                .select(F.col(cluster).alias("cluster"), F.col(label).alias("dominant_label"),
                        (F.col("n") / F.col("size")).alias("purity"), "size"))
-
-
-def hash_sample(df: DataFrame, key: list[str], fraction: float, seed: int = 42) -> DataFrame:
-    """Reproducible sample for the k sweep (winner is refit on all rows)."""
-    return df.filter(hash_bucket(key, f"{seed}/sample") < int(fraction * 10000))

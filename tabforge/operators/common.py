@@ -44,42 +44,22 @@ def long_values(df: DataFrame, cols: list[str], ids: list[str] | None = None,
 
 def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                      exact: bool = True, accuracy: int = 10000) -> dict[str, list]:
-    """Linear-interpolated quantiles per column, NULLs ignored.
+    """Linear-interpolated quantiles per column, NULLs ignored; the result has
+    one row per column.  ``exact=False`` takes them from a sketch instead."""
+    from .quantiles import quantiles, value_counts_of
 
-    One job: unpivot -> groupBy(column) so each column's value map merges in
-    its own reducer task.  ``exact=False`` switches to the bounded-memory
-    ``percentile_approx`` sketch for very high-cardinality columns.
-    """
-    if not cols:
-        return {}
-    r = df.agg(*quantile_aggs(cols, probs, exact, accuracy)).first() if len(cols) <= WIDE_COLUMNS else None
-    if r is not None:
-        return {c: (list(r[f"q{i}"]) if r[f"q{i}"] is not None else [None] * len(probs))
-                for i, c in enumerate(cols)}
-    long = long_values(df, cols)
-    agg = (F.percentile("value", F.array(*[F.lit(float(p)) for p in probs])) if exact
-           else F.percentile_approx("value", [float(p) for p in probs], accuracy))
-    rows = long.groupBy("column").agg(agg.alias("q")).collect()
     out = {c: [None] * len(probs) for c in cols}
-    for r in rows:
-        out[r["column"]] = list(r["q"]) if r["q"] is not None else [None] * len(probs)
-    return out
-
-
-# Up to this many columns, quantiles come from one wide aggregate (one final
-# task merges every column's value map); beyond it, unpivot + groupBy(column)
-# gives each column's merge its own task so memory does not add up.
-WIDE_COLUMNS = 4
-
-
-def quantile_aggs(cols: list[str], probs: list[float], exact: bool = True, accuracy: int = 10000,
-                  prefix: str = "q") -> list:
-    ps = [float(p) for p in probs]
+    if not cols:
+        return out
     if exact:
-        return [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in ps])).alias(f"{prefix}{i}")
-                for i, c in enumerate(cols)]
-    return [F.percentile_approx(F.col(c).cast("double"), ps, accuracy).alias(f"{prefix}{i}")
-            for i, c in enumerate(cols)]
+        rows = quantiles(value_counts_of(df, cols), ["column"], probs)
+    else:
+        rows = long_values(df, cols).groupBy("column").agg(
+            F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("q"))
+    for r in rows.collect():
+        if r["q"] is not None:
+            out[r["column"]] = list(r["q"])
+    return out
 
 
 def parallel_map(fn, items, parallelism: int = 4) -> list:

@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..session import materialize
 
 # Overall-score weights and rule thresholds of the model report.
 OVERALL_WEIGHTS = {"accuracy": 0.25, "precision": 0.25, "recall": 0.25, "f1": 0.25}
@@ -65,8 +66,8 @@ def running_totals(g: DataFrame, group: list[str] | None = None, buckets: int |
     spark = g.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # g (distinct scores) feeds the bucket-bound sketch and the final pass:
-    # keep it instead of recomputing the scoring pipeline twice.
-    g = g.persist()
+    # written once instead of recomputing the scoring pipeline twice.
+    g = materialize(g, "scores")
     probs = [i / buckets for i in range(1, buckets)]
     cuts = g.agg(F.percentile_approx("s", probs, 10000).alias("q")).first()["q"] if probs else []
     splits = sorted(set(float(c) for c in (cuts or []) if c is not None))
@@ -114,6 +115,7 @@ def roc_curve(df: DataFrame, label: str, score: str, group: list[str] | None = N
     points on a straight segment (the increments equal the next point's)."""
     group = list(group or [])
     c = running_totals(score_table(df, label, score, group), group)
+    first_rows = c.filter((F.col("cp") == F.col("p")) & (F.col("cn") == F.col("n")))
     if drop_intermediate:
         first = F.col("cp") == F.col("p")
         first = first & (F.col("cn") == F.col("n"))
@@ -122,7 +124,8 @@ def roc_curve(df: DataFrame, label: str, score: str, group: list[str] | None = N
         c = c.filter(keep)
     pts = c.select(*group, F.col("s").alias("threshold"),
                    _div(F.col("cn"), F.col("tn_tot")).alias("fpr"), _div(F.col("cp"), F.col("tp_tot")).alias("tpr"))
-    start = df.select(*group).distinct().select(*group, F.lit(None).cast("double").alias("threshold"),
+    # a group's start point stands beside its highest score
+    start = first_rows.select(*group, F.lit(None).cast("double").alias("threshold"),
                                                 F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")) \
         if group else df.sparkSession.createDataFrame([(None, 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return pts.unionByName(start)
@@ -139,17 +142,11 @@ def pr_curve(df: DataFrame, label: str, score: str, group: list[str] | None = No
 
 
 # V7 ------------------------------------------------------------------------
-def class_report(df: DataFrame, label: str, pred: str, max_cells: int = 1_000_000) -> DataFrame:
+def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Per class precision/recall/f1/support, plus accuracy, macro and weighted averages."""
     y, p = F.col(label), F.col(pred)
-    # the confusion cells (classes^2 rows, checked) are the only thing read
-    # from the data: one scan, then everything below works on those rows
-    rows = df.groupBy(y.alias("y"), p.alias("p")).agg(F.count(F.lit(1)).alias("c")) \
-        .limit(max_cells + 1).collect()
-    if len(rows) > max_cells:
-        raise ValueError(f"more than {max_cells} confusion cells")
-    schema = df.select(y.alias("y"), p.alias("p")).schema.add("c", T.LongType())
-    cells = df.sparkSession.createDataFrame(rows, schema)
+    # the confusion cells, one scan; the steps below share its exchange
+    cells = df.groupBy(y.alias("y"), p.alias("p")).agg(F.count(F.lit(1)).alias("c"))
     per_y = cells.groupBy(F.col("y").alias("cls")).agg(F.sum("c").alias("support"),
                                                       F.sum(F.when(F.col("y") == F.col("p"), F.col("c"))).alias("tp"))
     per_p = cells.groupBy(F.col("p").alias("cls")).agg(F.sum("c").alias("predicted"))
@@ -161,14 +158,11 @@ def class_report(df: DataFrame, label: str, pred: str, max_cells: int = 1_000_00
                      _div(F.col("tp"), F.col("predicted")).alias("precision"),
                      _div(F.col("tp"), F.col("support")).alias("recall"))
     cls = cls.withColumn("f1", _div(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
-    tot = F.sum("support").over(Window.partitionBy())  # over the few class rows
-    cls = cls.withColumn("_w", F.col("support") / tot).withColumn("_acc", F.sum("tp").over(Window.partitionBy()) / tot) \
-             .withColumn("_n", tot)
     per = cls.select("label", "precision", "recall", "f1", F.col("support").cast("bigint").alias("support"))
-    avg = cls.agg(F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-                  F.sum(F.col("precision") * F.col("_w")).alias("wp"), F.sum(F.col("recall") * F.col("_w")).alias("wr"),
-                  F.sum(F.col("f1") * F.col("_w")).alias("wf"), F.max("_acc").alias("acc"),
-                  F.max("_n").cast("bigint").alias("n"))
+    n = F.sum("support")
+    weighted = [(F.sum(F.col(m) * F.col("support")) / n).alias(a) for m, a in (("precision", "wp"), ("recall", "wr"), ("f1", "wf"))]
+    avg = cls.agg(F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"), *weighted,
+                  (F.sum("tp") / n).alias("acc"), n.cast("bigint").alias("n"))
     summary = avg.selectExpr(
         "stack(3, 'accuracy', cast(null as double), cast(null as double), acc, n,"
         " 'macro avg', mp, mr, mf, n, 'weighted avg', wp, wr, wf, n) as (label, precision, recall, f1, support)")
@@ -179,6 +173,12 @@ def class_report(df: DataFrame, label: str, pred: str, max_cells: int = 1_000_00
 # Use cases, insight thresholds and texts of the model report.
 USE_CASES = (("high_precision_needed", "precision"), ("high_recall_needed", "recall"),
              ("balanced_performance", "f1"), ("probability_ranking", "roc_auc"))
+USE_CASE_REASONS = {
+    "high_precision_needed": "Best for minimizing false positives (avoiding unnecessary treatments)",
+    "high_recall_needed": "Best for minimizing false negatives (catching all disease cases)",
+    "balanced_performance": "Best balance between precision and recall",
+    "probability_ranking": "Best for ranking patients by disease probability",
+}
 ACCURACY_INSIGHTS = ((0.85, "Excellent overall model performance (>85% accuracy)"),
                      (0.75, "Good overall model performance (>75% accuracy)"))
 ACCURACY_FLOOR = "Model performance needs improvement (<75% accuracy)"
@@ -193,8 +193,9 @@ SUGGESTIONS = ("Consider hyperparameter tuning for better performance",
 def model_insights(table: DataFrame, order: str = "ord") -> DataFrame:
     """Report rows (kind, name, text) from a per-model metrics table with
     accuracy/precision/recall/f1/roc_auc and an insertion-order column:
-    overall best by the weighted score, best model per use case (ties -> first
-    model), accuracy insight, precision/recall imbalance, suggestions."""
+    overall best by the weighted score and that score, best model per use case
+    (ties -> first model) and the reason, accuracy insight, precision/recall
+    imbalance, suggestions."""
     overall = sum(F.col(m) * w for m, w in OVERALL_WEIGHTS.items())
     t = table.withColumn("_overall", overall)
     best = [F.max_by("model", F.struct(F.col("_overall"), -F.col(order))).alias("overall_best")]
@@ -202,10 +203,12 @@ def model_insights(table: DataFrame, order: str = "ord") -> DataFrame:
     avg_acc = F.avg("accuracy")
     acc_text = F.when(avg_acc > ACCURACY_INSIGHTS[0][0], F.lit(ACCURACY_INSIGHTS[0][1])) \
         .when(avg_acc > ACCURACY_INSIGHTS[1][0], F.lit(ACCURACY_INSIGHTS[1][1])).otherwise(F.lit(ACCURACY_FLOOR))
-    one = t.agg(*best, acc_text.alias("acc_text"),
+    one = t.agg(*best, F.format_string("%.4f", F.max("_overall")).alias("best_score"), acc_text.alias("acc_text"),
                 (F.abs(F.avg("precision") - F.avg("recall")) > IMBALANCE_GAP).alias("imbalanced"),
                 (avg_acc < SUGGEST_BELOW).alias("suggest"))
-    items = [("'best'", "'overall'", "overall_best")] + [("'use_case'", f"'{k}'", k) for k, _ in USE_CASES]
+    items = [("'best'", "'overall'", "overall_best"), ("'best'", "'score'", "best_score")]
+    items += [("'reason'", f"'{k}'", f"'{v}'") for k, v in USE_CASE_REASONS.items()]
+    items += [("'use_case'", f"'{k}'", k) for k, _ in USE_CASES]
     items += [("'insight'", "'accuracy'", "acc_text"),
               ("'insight'", "'imbalance'", f"if(imbalanced, '{IMBALANCE_TEXT}', cast(null as string))")]
     items += [("'suggestion'", f"'{i}'", f"if(suggest, '{s}', cast(null as string))")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import PCA, VectorSlicer
+from pyspark.ml.feature import PCA
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,10 +103,6 @@ def transform(df: DataFrame, r: PCAResult, m: int | None = None, out: str = "pcs
     return z.withColumn(out, arr).drop("zfeatures")
 
 
-def slice_components(df: DataFrame, col: str, m: int, out: str = "pcs_m") -> DataFrame:
-    return VectorSlicer(inputCol=col, outputCol=out, indices=list(range(m))).transform(df)
-
-
 def pca_columns(df: DataFrame, r: PCAResult, m: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """The table PC1..PCm (+ kept columns)."""
     t = transform(df, r, m)
@@ -114,22 +110,23 @@ def pca_columns(df: DataFrame, r: PCAResult, m: int | None = None, keep: list[st
     return t.select(*(keep or []), *[F.col("pcs")[j].alias(f"PC{j + 1}") for j in range(k)])
 
 
+# The report's rules (name, least value or None, text).
+REPORT_RULES = (
+    ("dimensionality_reduction", None, "Consider reducing dimensions from {d} to {n95} components ({saved:.1f}% reduction) "
+                                       "while retaining 95% of variance."),
+    ("variance_concentration", 0.6, "First two components explain {two:.1f}% of variance. "
+                                    "2D visualization should be highly informative."),
+    ("component_selection", 0.0, "First 5 components explain {five:.1f}% of variance. "
+                                 "Consider using 5 components for most analyses."),
+)
+
+
 def recommendations(r: PCAResult) -> list[tuple[str, str]]:
-    """The three report rules (95 % reduction, 2-D concentration, 5 components)."""
-    out = []
-    d = len(r.features)
-    n95 = r.n_for(0.95)
-    cum = r.cumulative
-    if n95 and n95 < d:
-        out.append(("dimensionality_reduction",
-                    f"Consider reducing dimensions from {d} to {n95} components "
-                    f"({(1 - n95 / d) * 100:.1f}% reduction) while retaining 95% of variance."))
-    if len(cum) > 1 and cum[1] > 0.6:
-        out.append(("variance_concentration",
-                    f"First two components explain {cum[1] * 100:.1f}% of variance. "
-                    "2D visualization should be highly informative."))
-    if len(cum) > 5:
-        out.append(("component_selection",
-                    f"First 5 components explain {cum[4] * 100:.1f}% of variance. "
-                    "Consider using 5 components for most analyses."))
-    return out
+    """The report rules that hold for the fitted components."""
+    cum, d, n95 = r.cumulative, len(r.features), r.n_for(0.95)
+    facts = {"d": d, "n95": n95, "saved": 100 * (1 - (n95 or d) / d), "two": 100 * cum[min(1, len(cum) - 1)],
+             "five": 100 * cum[min(4, len(cum) - 1)]}
+    holds = {"dimensionality_reduction": n95 is not None and n95 < d,
+             "variance_concentration": len(cum) > 1 and cum[1] > REPORT_RULES[1][1],
+             "component_selection": len(cum) > 5}
+    return [(name, text.format(**facts)) for name, _, text in REPORT_RULES if holds[name]]

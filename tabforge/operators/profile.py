@@ -7,13 +7,13 @@ DataFrame ``(column, ...)``.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..spec import FeatureSpec
 from .aggregate import describe
 from .common import is_string, long_values
+from .quantiles import quantiles, value_counts_of
 
 
 def _stack(df_one_row: DataFrame, items: list[tuple[str, str]], value_name: str,
@@ -50,25 +50,12 @@ def sentinel_counts(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 # D3 ------------------------------------------------------------------------
-def _first_k_per_group(k: int, order_cols: list[str]):
-    def run(batches):
-        best = None
-        for pdf in batches:
-            cur = pdf if best is None else pd.concat([best, pdf], ignore_index=True)
-            best = cur.sort_values(["column", *order_cols], kind="mergesort").groupby(
-                "column", sort=False).head(k)
-        if best is not None and len(best):
-            yield best
-    return run
-
-
 def range_violations(df: DataFrame, spec: FeatureSpec, sample: int = 10) -> DataFrame:
     """(column, lo, hi, violations, sample) for columns with a declared range.
 
     Counts come from one aggregate.  The sample is the first ``sample``
-    violating values in key order, found with a bounded per-partition top-k
-    (mapInPandas keeps <= k rows per column per task) and a final window
-    over the few surviving rows -- never a collect of all violations.
+    violating values in key order; Spark limits each group before the exchange
+    of that window, so only ``sample`` rows per column and task are shuffled.
     """
     cols = [c for c in spec.ranges if c in df.columns and c != spec.target]
     key = list(spec.key)
@@ -79,10 +66,8 @@ def range_violations(df: DataFrame, spec: FeatureSpec, sample: int = 10) -> Data
             for c in cols]
     long = (df.select(*key, F.explode(F.array_compact(F.array(*viol))).alias("v"))
               .select(*key, "v.column", "v.value"))
-    schema = long.schema
-    local = long.mapInPandas(_first_k_per_group(sample, key), schema)
     w = Window.partitionBy("column").orderBy(*key)
-    firsts = (local.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= sample)
+    firsts = (long.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= sample)
                    .groupBy("column")
                    .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rn", "value"))),
                                                  lambda s: F.format_string("%.2f", s["value"])), ",")
@@ -126,6 +111,39 @@ def validation_report(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     return rep.unionByName(dups)
 
 
+# Texts of the validation issues.
+MISSING_ISSUE = "Found %d missing values"
+RANGE_ISSUE = "Column '%s' has %d values outside valid range [%s, %s]"
+DUPLICATE_ISSUE = "Found %d duplicate rows"
+
+
+def validation_issues(report: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """(check, column, text): what :func:`validation_report` has found, in words."""
+    bounds = spec.ranges
+    lo, hi = (F.create_map(*[x for c, b in bounds.items() for x in (F.lit(c), F.lit(str(b[i])))]) for i in (0, 1))
+    found = report.filter("value > 0")
+    missing = (found.filter("check = 'missing'").agg(F.sum("value").alias("value")).filter("value > 0")
+               .select(F.lit("missing").alias("check"), F.lit(None).cast("string").alias("column"),
+                       F.format_string(MISSING_ISSUE, "value").alias("text")))
+    ranges = found.filter("check = 'range'").select("check", "column", F.format_string(
+        RANGE_ISSUE, "column", "value", lo[F.col("column")], hi[F.col("column")]).alias("text"))
+    copies = found.filter("check = 'duplicates'").select("check", "column", F.format_string(DUPLICATE_ISSUE, "value").alias("text"))
+    return missing.unionByName(ranges).unionByName(copies)
+
+
+def dataset_statistics(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """Long (section, column, name, value): describe() of the numeric columns,
+    value counts of the categorical ones and the correlation of every pair."""
+    from .stats import corr_matrix
+
+    stats = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
+    items = ", ".join(f"'{s}', cast(`{s}` as double)" for s in stats)
+    parts = [describe(df, numeric).selectExpr("'statistics' as section", "column", f"stack({len(stats)}, {items}) as (name, value)"),
+             value_counts(df, categorical).selectExpr("'value_counts' as section", "column", "value as name", "cast(cnt as double) as value"),
+             corr_matrix(df, numeric).selectExpr("'correlation' as section", "a as column", "b as name", "r as value")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # D7 / D10 ------------------------------------------------------------------
 def _n_unique(x, exact: bool):
     # exact distinct counting shuffles every distinct (column, value); the HLL
@@ -139,11 +157,18 @@ def feature_summary(df: DataFrame, cols: list[str], exact: bool = True) -> DataF
     dtypes = dict(df.dtypes)
     long = long_values(df, cols)
     x = F.col("value")
-    med = F.percentile(x, 0.5) if exact else F.percentile_approx(x, 0.5, 10000)
-    stats = long.groupBy("column").agg(
-        F.count(x).alias("non_null"), F.count_if(x.isNull()).alias("nulls"),
-        _n_unique(x, exact).alias("n_unique"), F.min(x).alias("min"), F.max(x).alias("max"),
-        F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), med.cast("double").alias("median"))
+    moments = [F.count(x).alias("non_null"), F.count_if(x.isNull()).alias("nulls"), F.min(x).alias("min"),
+               F.max(x).alias("max"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std")]
+    if exact:
+        # distinct counts and medians both come from the table of counts
+        counts = value_counts_of(df, cols)
+        stats = (long.groupBy("column").agg(*moments)
+                 .join(counts.groupBy("column").agg(F.count("value").alias("n_unique")), "column")
+                 .join(quantiles(counts, ["column"], [0.5]).select("column", F.col("q")[0].alias("median")), "column", "left"))
+    else:
+        stats = long.groupBy("column").agg(*moments, _n_unique(x, False).alias("n_unique"),
+                                           F.percentile_approx(x, 0.5, 10000).cast("double").alias("median"))
+    stats = stats.select("column", "non_null", "nulls", "n_unique", "min", "max", "mean", "std", "median")
     types = df.sparkSession.createDataFrame([(c, dtypes[c]) for c in cols], "column string, dtype string")
     return types.join(stats, "column")
 

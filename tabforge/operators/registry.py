@@ -64,6 +64,10 @@ class ModelRegistry:
     def latest(self, name: str) -> str | None:
         return self.versions(name).agg(F.max("version")).first()[0]
 
+    def latest_versions(self) -> DataFrame:
+        """(model_name, version) of the newest version of every model."""
+        return self.versions().groupBy("model_name").agg(F.max("version").alias("version"))
+
     # R2 --------------------------------------------------------------------
     def load(self, name: str, version: str | None = None, validate: bool = False) -> PipelineModel:
         version = version or self.latest(name)

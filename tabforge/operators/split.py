@@ -2,7 +2,9 @@
 
 Randomness comes from a hash of the row key and a seed, never from row
 order or partitioning: the same row lands in the same split on 1 or 1000
-executors, with no shuffle and no driver round-trip.
+executors.  Splits and folds are stratified: every class is cut at the exact
+ranks of its own hashes, found by one distributed pass that returns a few
+thresholds per class.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import FeatureSpec
+from .quantiles import at_ranks
 
 BUCKETS = 10000
 
@@ -24,24 +27,53 @@ def hash_bucket(keys: list[str], seed, buckets: int = BUCKETS) -> Column:
     return F.conv(F.substring(F.md5(k), 1, 8), 16, 10).cast("long") % F.lit(buckets)
 
 
+def key_hash(keys: list[str], seed) -> Column:
+    """First 52 bits of md5(key|seed): exact as a long and as a double."""
+    k = F.concat_ws("|", *[F.col(c).cast("string") for c in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(k), 1, 13), 16, 10).cast("long")
+
+
+def _thresholds(df: DataFrame, spec: FeatureSpec, seed, ranks: list) -> list:
+    """Per class its hashes at the given ranks (one small row per class)."""
+    cls = F.col(spec.target) if spec.target and spec.target in df.columns else F.lit(0)
+    counts = (df.select(cls.alias("cls"), key_hash(list(spec.key), seed).alias("value"))
+              .groupBy("cls", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    return at_ranks(counts, ["cls"], ranks).collect()
+
+
+def _of_class(df: DataFrame, spec: FeatureSpec, r) -> Column:
+    if not (spec.target and spec.target in df.columns):
+        return F.lit(True)
+    return F.col(spec.target).eqNullSafe(F.lit(r["cls"]))
+
+
 def add_split(df: DataFrame, spec: FeatureSpec, test_size: float = 0.2, seed: int = 42,
               name: str = "split") -> DataFrame:
-    """``split`` = 'test' for a hash slice of ``test_size`` of every class, else 'train'.
-
-    The threshold is the same for every class, so each class is split in the
-    same proportion (stratified in expectation, exact per-row reproducibility).
-    """
+    """``split`` = 'test' for the round(test_size * n) rows with the
+    smallest key hash of every class, else 'train'."""
     if not 0 < test_size < 1:
         raise ValueError("test_size must be in (0, 1)")
-    cut = int(round(test_size * BUCKETS))
-    b = hash_bucket(list(spec.key), seed)
-    return df.withColumn(name, F.when(b < cut, F.lit("test")).otherwise(F.lit("train")))
+    rows = _thresholds(df, spec, seed, [lambda n: F.floor(F.lit(test_size) * n + 0.5) - 1])
+    h = key_hash(list(spec.key), seed)
+    test = F.lit(False)
+    for r in rows:
+        if r["v0"] is not None:
+            test = test | (_of_class(df, spec, r) & (h <= F.lit(int(r["v0"]))))
+    return df.withColumn(name, F.when(test, F.lit("test")).otherwise(F.lit("train")))
 
 
 def add_folds(df: DataFrame, spec: FeatureSpec, k: int = 5, seed: int = 42,
               name: str = "fold") -> DataFrame:
-    """Fold id 0..k-1 from an independent hash slice (usable as ``foldCol``)."""
-    return df.withColumn(name, (hash_bucket(list(spec.key), f"{seed}/fold") % F.lit(k)).cast("int"))
+    """Fold id 0..k-1 (usable as ``foldCol``): every class is cut into ``k``
+    equal parts of an independent key hash."""
+    ranks = [lambda n, i=i: F.floor(n * i / F.lit(k) + 0.5) - 1 for i in range(1, k)]
+    h = key_hash(list(spec.key), f"{seed}/fold")
+    fold = F.lit(0)
+    for r in _thresholds(df, spec, f"{seed}/fold", ranks):
+        cuts = [-1 if r[f"v{i}"] is None else int(r[f"v{i}"]) for i in range(k - 1)]
+        own = sum(((h > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+        fold = F.when(_of_class(df, spec, r), own).otherwise(fold)
+    return df.withColumn(name, fold.cast("int"))
 
 
 def fold_check(df: DataFrame, target: str, fold: str = "fold") -> DataFrame:

@@ -20,11 +20,13 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``fn`` as query ``name`` (with optional oracle SQL)."""
+def query(name: str, sql: str | None = None, rounded: bool = True):
+    """Register ``fn`` as query ``name`` (with optional oracle SQL); p-values
+    are not ``rounded``."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(fn(spark, sf_dir))
+            out = fn(spark, sf_dir)
+            return round_doubles(out) if rounded else out
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

@@ -9,7 +9,7 @@ from ..operators import clean as C
 from ..operators import split as S
 from ..sources.tables import docs, orderlines
 from .catalog import query
-from .sqlparts import (DOCS, OL, OL_CAP_CHAIN, OL_CLEAN_CHAIN, OL_IMP, OL_MED, r6, with_)
+from .sqlparts import (DOCS, OL, OL_BOUNDS, OL_CAP_CHAIN, OL_CAPPED, OL_CLEAN_CHAIN, OL_IMP, OL_MED, OL_Q, r6, with_)
 
 OL_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
            "l_returnflag", "l_linestatus", "severity"]
@@ -173,8 +173,10 @@ def q_outlier_report(spark, sf_dir):
 
 
 _HASH = ("CAST(('0x' || substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
-         "'{seed}')), 1, 8)) AS BIGINT) % 10000")
-_SPLIT = f"CASE WHEN {_HASH.format(seed=42)} < 2000 THEN 'test' ELSE 'train' END"
+         "'42')), 1, 13)) AS BIGINT)")
+# per class the rows with the smallest hashes, a fifth of them, are the test set
+_SPLIT = (f"CASE WHEN row_number() OVER (PARTITION BY severity ORDER BY {_HASH}) "
+          "<= floor(0.2 * count(*) OVER (PARTITION BY severity) + 0.5) THEN 'test' ELSE 'train' END")
 
 
 @query("split_stratified", with_(*OL_CLEAN_CHAIN) +
@@ -194,21 +196,23 @@ def q_split_rows(spark, sf_dir):
 
 
 def _split_scale_sql(cap: bool) -> str:
-    src = "ol_cap" if cap else "ol_clean"
     stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in OL_NUM)
     cols = [f"{r6(f'({c} - m_{c}) / (CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END)')} AS {c}" for c in OL_NUM]
-    chain = OL_CAP_CHAIN if cap else OL_CLEAN_CHAIN
-    enc = ""
+    chain = OL_CLEAN_CHAIN + (f"ol_split AS (SELECT *, {_SPLIT} AS split FROM ol_clean)",)
+    src, enc = "ol_split", ""
     head = "l_orderkey, l_linenumber, l_returnflag, l_linestatus, severity"
     if cap:
-        chain = chain + (
+        src = "ol_cap"
+        chain = chain + (      # bounds from the train rows
+            OL_Q.replace("FROM ol_clean", "FROM ol_split WHERE split = 'train'"), OL_BOUNDS,
+            OL_CAPPED.replace("FROM ol_clean", "FROM ol_split").replace("severity\n", "severity, split\n"),
             """rf AS (SELECT l_returnflag AS v, CAST(row_number() OVER (ORDER BY l_returnflag) - 1 AS INTEGER) AS i
   FROM (SELECT DISTINCT l_returnflag FROM ol_clean))""",
             """ls AS (SELECT l_linestatus AS v, CAST(row_number() OVER (ORDER BY l_linestatus) - 1 AS INTEGER) AS i
   FROM (SELECT DISTINCT l_linestatus FROM ol_clean))""")
         enc = " JOIN rf ON s.l_returnflag = rf.v JOIN ls ON s.l_linestatus = ls.v"
         head = "l_orderkey, l_linenumber, rf.i AS l_returnflag, ls.i AS l_linestatus, severity"
-    return with_(*chain, f"s AS (SELECT *, {_SPLIT} AS split FROM {src})",
+    return with_(*chain, f"s AS (SELECT * FROM {src})",
                  f"st AS (SELECT {stats} FROM s WHERE split = 'train')") + \
         f"SELECT {head}, split, {', '.join(cols)} FROM s CROSS JOIN st{enc}"
 
@@ -225,8 +229,8 @@ def q_split_scale(spark, sf_dir):
 
 @query("preprocess", _split_scale_sql(cap=True))
 def q_preprocess(spark, sf_dir):
-    """Clean -> encode -> cap (bounds on all rows) -> split -> scale on train."""
+    """Clean -> encode -> split -> cap and scale with statistics of the train rows."""
     df, spec = orderlines(spark, sf_dir)
-    pp = C.preprocess(df, spec, test_size=0.2, seed=42, scaling="standard", cap_fit_on="all")
+    pp = C.preprocess(df, spec, test_size=0.2, seed=42, scaling="standard")
     return pp.scaled.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "severity",
                             "split", *OL_NUM)

@@ -173,7 +173,8 @@ METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc", "avg_precision",
 
 def _insights_sql() -> str:
     best = lambda m: f"arg_max(model, struct_pack(v := {m}, o := -ord))"
-    items = [("best", "overall", best("overall_score"))] + \
+    items = [("best", "overall", best("overall_score")), ("best", "score", "printf('%.4f', max(overall_score))")] + \
+        [("reason", k, f"any_value('{v}')") for k, v in V.USE_CASE_REASONS.items()] + \
         [("use_case", k, best(m)) for k, m in V.USE_CASES]
     acc = ("CASE WHEN avg(accuracy) > {0} THEN '{1}' WHEN avg(accuracy) > {2} THEN '{3}' ELSE '{4}' END"
            .format(V.ACCURACY_INSIGHTS[0][0], V.ACCURACY_INSIGHTS[0][1], V.ACCURACY_INSIGHTS[1][0],
@@ -202,7 +203,18 @@ def q_model_insights(spark, sf_dir):
     return V.model_insights(t.withColumn("ord", order[F.col("model")]))
 
 
-@query("best_models",with_(*OL_CLEAN_CHAIN, SC, *CUM,
+@query("evaluation_dataset", with_(*OL_CLEAN_CHAIN) + f"""SELECT count(*) AS samples,
+  {r6('avg(CAST(severity AS DOUBLE))')} AS positive_class_ratio, count(*) FILTER (WHERE severity = 0) AS negatives,
+  count(*) FILTER (WHERE severity = 1) AS positives FROM ol_clean""")
+def q_evaluation_dataset(spark, sf_dir):
+    """Size and class distribution of the evaluated rows."""
+    y = F.col("y")
+    return scored_main(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("samples"), F.avg(y.cast("double")).alias("positive_class_ratio"),
+        F.count_if(y == 0).alias("negatives"), F.count_if(y == 1).alias("positives"))
+
+
+@query("best_models", with_(*OL_CLEAN_CHAIN, SC, *CUM,
                             f"cm AS (SELECT model, {CM_COLS} FROM sc GROUP BY model)",
                             f"bm AS (SELECT model, {BIN_RAW} FROM cm)",
                             "au AS (SELECT model, sum(n * (cp - p / 2)) / (max(tpt) * max(tnt)) AS roc_auc, "

@@ -24,7 +24,7 @@ from ..operators import select as SEL
 from ..operators import split as S
 from ..operators import tune as H
 from ..operators.registry import ModelRegistry
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import files as IO
 from ..sources.tables import orderlines, read_table, vectors
 from ..streaming.scoring import score_stream
@@ -35,20 +35,22 @@ from .sqlparts import OL_CLEAN_CHAIN, r6, with_
 
 OL_CAT = ["l_returnflag", "l_linestatus", "l_linenumber"]
 OL_FEATS = OL_NUM + OL_CAT
-# Fixed parameters of the registered ML queries (tree depth bounded: random
-# data grows depth-30 trees otherwise).
-TREE_DEPTH = 5
-FOREST_TREES = 20
 
 
-def ml_frame(spark, sf_dir, persist: bool = True) -> tuple[DataFrame, object]:
-    """Cleaned, encoded orderlines with split, folds, assembled features, label."""
+def ml_frame(spark, sf_dir) -> tuple[DataFrame, object]:
+    """Cleaned, encoded orderlines with stratified split and folds, features
+    scaled with statistics of the train rows and assembled, and the label.
+
+    The line number is a feature and part of the key, so the frame's key holds
+    a copy of it (``line_key``) that is not scaled."""
     raw, spec = orderlines(spark, sf_dir)
     cl, levels = C.clean_with_levels(raw, spec)
-    enc, _ = C.encode(cl, spec, levels)
+    enc = materialize(C.encode(cl, spec, levels)[0], "ml-encoded")
     df = S.add_folds(S.add_split(enc, spec), spec)
+    stats = C.fit_scaler(df.filter("split = 'train'"), OL_FEATS)
+    df = C.scale(df.withColumn("line_key", F.col("l_linenumber")), OL_FEATS, stats)
     df = M.assemble(df, OL_FEATS).withColumn("label", F.col(spec.target).cast("double"))
-    return (df.persist() if persist else df), spec
+    return materialize(df, "ml-frame"), spec.with_(key=("l_orderkey", "line_key"))
 
 
 def _test_metrics(name: str, model, test: DataFrame) -> DataFrame:
@@ -70,17 +72,16 @@ def _model_query(name: str, **params):
 
 
 query("logreg")(_model_query("logistic_regression"))
-query("dtree")(_model_query("decision_tree", max_depth=TREE_DEPTH))
-query("rforest")(_model_query("random_forest", n_estimators=FOREST_TREES, max_depth=TREE_DEPTH))
-query("svm")(_model_query("svm", kernel="rbf", n_landmarks=100, max_iter=50))
+query("dtree")(_model_query("decision_tree"))
+query("rforest")(_model_query("random_forest"))
+query("svm")(_model_query("svm", kernel="rbf"))
 
 
 @query("svm_linear")
 def q_svm_linear(spark, sf_dir):
     df, spec = ml_frame(spark, sf_dir)
     train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
-    return _test_metrics("svm_linear", M.fit_model("svm", train, list(spec.key), kernel="linear",
-                                                   max_iter=50).model, test)
+    return _test_metrics("svm_linear", M.fit_model("svm", train, list(spec.key), kernel="linear").model, test)
 
 
 @query("cv_models")
@@ -88,10 +89,8 @@ def q_cv_models(spark, sf_dir):
     """M7/V9: 5-fold CV of every model; per-fold metrics from one grouped pass per model."""
     df, spec = ml_frame(spark, sf_dir)
     out = None
-    for name, params in [("logistic_regression", {}), ("decision_tree", {"max_depth": TREE_DEPTH}),
-                         ("random_forest", {"n_estimators": 10, "max_depth": TREE_DEPTH}),
-                         ("svm", {"kernel": "linear", "max_iter": 50})]:
-        cv = M.cross_validate(df, name, list(spec.key), **params).select(F.lit(name).alias("model"), "*")
+    for name in M.MODEL_NAMES:
+        cv = M.cross_validate(df, name, list(spec.key)).select(F.lit(name).alias("model"), "*")
         out = cv if out is None else out.unionByName(cv)
     return out
 
@@ -101,10 +100,7 @@ def q_model_summary(spark, sf_dir):
     """M6 + M8: train all four models with defaults, summary table (4-dp strings)."""
     df, spec = ml_frame(spark, sf_dir)
     train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
-    models = M.train_all(train, list(spec.key), params={
-        "decision_tree": {"max_depth": TREE_DEPTH},
-        "random_forest": {"n_estimators": FOREST_TREES, "max_depth": TREE_DEPTH},
-        "svm": {"kernel": "linear", "max_iter": 50}})
+    models = M.train_all(train, list(spec.key))
     t = None
     for name, tr in models.items():
         m = _test_metrics(name, tr.model, test)
@@ -116,7 +112,7 @@ def q_model_summary(spark, sf_dir):
 @query("rf_importance")
 def q_rf_importance(spark, sf_dir):
     df, spec = ml_frame(spark, sf_dir)
-    return SEL.rf_importance(df, OL_FEATS, "label", n_trees=FOREST_TREES, max_depth=TREE_DEPTH)
+    return SEL.rf_importance(df, OL_FEATS, "label")
 
 
 @query("rfe")
@@ -137,8 +133,7 @@ def q_compare_selectors(spark, sf_dir):
 def q_impact(spark, sf_dir):
     """Impact levels of the trained forest's importances (last pipeline stage)."""
     df, spec = ml_frame(spark, sf_dir)
-    t = M.fit_model("random_forest", df.filter("split = 'train'"), list(spec.key),
-                    n_estimators=FOREST_TREES, max_depth=TREE_DEPTH)
+    t = M.fit_model("random_forest", df.filter("split = 'train'"), list(spec.key))
     imp = M.importances(t.model, OL_FEATS)
     return Z.feature_impact(spark, [n for n, _ in imp], [v for _, v in imp], top=8)
 
@@ -181,15 +176,15 @@ def q_pca_table(spark, sf_dir):
 def _vec_frame(spark, sf_dir):
     df, spec = vectors(spark, sf_dir)
     st = C.fit_scaler(df, list(spec.numeric))
-    z = M.assemble(C.scale(df, list(spec.numeric), st), list(spec.numeric)).persist()
-    return z, spec
+    z = M.assemble(C.scale(df, list(spec.numeric), st), list(spec.numeric))
+    return materialize(z, "vectors"), spec
 
 
 @query("kmeans_sweep")
 def q_kmeans_sweep(spark, sf_dir):
     """K2/K3/K6: inertia + silhouette per k, elbow (reference rule) and best-silhouette flags."""
     z, spec = _vec_frame(spark, sf_dir)
-    sweep, _ = K.kmeans_sweep(z, ks=range(2, 11), n_init=3)
+    sweep, _ = K.kmeans_sweep(z)
     rows = sweep.orderBy("k").collect()
     ek = K.elbow_k([r["k"] for r in rows], [r["inertia"] for r in rows])
     sk = K.best_silhouette_k(sweep)
@@ -201,7 +196,7 @@ def q_kmeans_assign(spark, sf_dir):
     """K11 + J1 + G11 + K7 + K8: best-silhouette k, labels joined on the row
     key, cluster sizes, purity and ARI against the true label."""
     z, spec = _vec_frame(spark, sf_dir)
-    sweep, models = K.kmeans_sweep(z, ks=range(2, 6), n_init=2)
+    sweep, models = K.kmeans_sweep(z)
     k = K.best_silhouette_k(sweep)
     lab = models[k].transform(z).select("vec_id", "cluster")
     joined = z.select("vec_id", "label").join(lab, "vec_id")     # J1: equi-join on key
@@ -212,8 +207,7 @@ def q_kmeans_assign(spark, sf_dir):
 
 @query("ward")
 def q_ward(spark, sf_dir):
-    """Ward clustering (exact up to 1000 rows, micro-clustered beyond),
-    cluster sizes, ARI vs label and the last merges of the dendrogram."""
+    """Ward clustering over micro-clusters, cluster sizes, ARI vs label and the last merges of the dendrogram."""
     z, spec = _vec_frame(spark, sf_dir)
     w = K.ward(z, ["vec_id"], n_clusters=10)
     a = K.ari(w.labels, "cluster", "label").first()["ari"]
@@ -229,11 +223,12 @@ def q_compare_clusterings(spark, sf_dir):
     z, spec = _vec_frame(spark, sf_dir)
     r = X.fit_pca(z.drop("features"), list(spec.numeric))
     pcs = M.assemble(X.pca_columns(z.drop("features"), r, m=10, keep=["vec_id", "label"]),
-                     [f"PC{j + 1}" for j in range(10)]).persist()
+                     [f"PC{j + 1}" for j in range(10)])
+    pcs = materialize(pcs, "components")
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
     rows = []
     for space, frame in (("original", z), ("pca10", pcs)):
-        km = K.kmeans_sweep(frame, ks=[10], n_init=2)[1][10].transform(frame)
+        km = K.kmeans_sweep(frame, ks=[10])[1][10].transform(frame)
         wd = K.ward(frame, ["vec_id"], n_clusters=10).labels
         for method, lab in (("kmeans", km), ("ward", wd)):
             rows.append((space, method, float(ev.evaluate(lab)), float(K.ari(lab, "cluster", "label").first()[0])))
@@ -247,6 +242,57 @@ def q_dendrogram(spark, sf_dir):
     return K.dendrogram(spark, w.linkage, last=30)
 
 
+@query("silhouette")
+def q_silhouette(spark, sf_dir):
+    """K6: squared-Euclidean silhouette of the true labels."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    z, spec = _vec_frame(spark, sf_dir)
+    ev = ClusteringEvaluator(featuresCol="features", predictionCol="label")
+    return spark.createDataFrame([(float(ev.evaluate(z)),)], "silhouette double")
+
+
+@query("cv_summary")
+def q_cv_summary(spark, sf_dir):
+    """V9: mean and standard deviation of the five metrics over the folds."""
+    df, spec = ml_frame(spark, sf_dir)
+    return M.cv_summary(M.cross_validate(df, "logistic_regression", list(spec.key)), "logistic_regression")
+
+
+@query("attach_clusters", "SELECT vec_id, label, CAST(label % 4 AS INTEGER) AS cluster FROM embeddings")
+def q_attach_clusters(spark, sf_dir):
+    """S8 + J1: an assignment table, written and read back, joined on the row key."""
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "label"])
+    path = scratch_path(spark, f"assignments-{uuid.uuid4().hex[:8]}")
+    IO.save(e.select("vec_id", (F.col("label") % 4).cast("int").alias("cluster")), path)
+    return e.join(IO.load_typed(spark, path, "vec_id long, cluster int", fmt="parquet"), "vec_id")
+
+
+_ELBOW_DIMS = 8
+
+
+@query("elbow", f"""WITH g AS (SELECT t.k, vec_id % t.k AS c, embedding AS e FROM embeddings CROSS JOIN range(2, 11) t(k)),
+i AS (SELECT k, c, ({' + '.join(f'var_pop(CAST(e[{d + 1}] AS DOUBLE))' for d in range(_ELBOW_DIMS))}) * count(*) AS w FROM g GROUP BY k, c),
+s AS (SELECT k, sum(w) AS inertia FROM i GROUP BY k),
+d AS (SELECT k, inertia, inertia - 2 * lag(inertia, 1) OVER (ORDER BY k) + lag(inertia, 2) OVER (ORDER BY k) AS bend FROM s)
+SELECT CAST(k AS INTEGER) AS k, {r6('inertia')} AS inertia, {r6('bend')} AS bend,
+       k = (SELECT k FROM d WHERE bend IS NOT NULL ORDER BY bend DESC, k LIMIT 1) AS elbow FROM d""")
+def q_elbow(spark, sf_dir):
+    """K3 + W5: inertia of the groupings by id modulo k, and the elbow rule on it."""
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    dims = [F.col("embedding")[d].cast("double").alias(f"e{d}") for d in range(_ELBOW_DIMS)]
+    rows = e.select("vec_id", *dims).withColumn("k", F.explode(F.sequence(F.lit(2), F.lit(10))))
+    per = rows.groupBy("k", (F.col("vec_id") % F.col("k")).alias("c")).agg(
+        F.count(F.lit(1)).alias("size"), sum(F.var_pop(f"e{d}") for d in range(_ELBOW_DIMS)).alias("v"))
+    sweep = per.groupBy("k").agg(F.sum(F.col("v") * F.col("size")).alias("inertia"))
+    table = sweep.orderBy("k").collect()                      # one row per k
+    ks, inertias = [r["k"] for r in table], [r["inertia"] for r in table]
+    best = K.elbow_k(ks, inertias) if ks else None
+    from pyspark.sql import Window
+    w = Window.orderBy("k")                                   # nine rows
+    bend = F.col("inertia") - 2 * F.lag("inertia", 1).over(w) + F.lag("inertia", 2).over(w)
+    return sweep.select("k", "inertia", bend.alias("bend"), (F.col("k") == F.lit(best)).alias("elbow"))
+
+
 # SQL-checkable cluster agreement ----------------------------------------------
 _DIMS = [f"e{i:02d}" for i in range(64)]
 _EMB = "emb AS (SELECT vec_id, label, " + ", ".join(
@@ -350,6 +396,37 @@ def q_registry_roundtrip(spark, sf_dir):
                        F.col("metrics")["accuracy"].alias("accuracy"), "validated"))
 
 
+_VERSIONS = """v AS (SELECT o_orderpriority AS model_name, strftime(max(o_orderdate), '%Y%m%d_000000_000000') AS version,
+  avg(o_totalprice) / 1000000 AS accuracy FROM orders GROUP BY o_orderpriority, date_trunc('month', o_orderdate))"""
+
+
+def _order_versions(spark, sf_dir) -> ModelRegistry:
+    """A registry whose rows come from the orders: one model per priority, one version per month."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderpriority", "o_orderdate", "o_totalprice"])
+    v = o.groupBy("o_orderpriority", F.trunc("o_orderdate", "month")).agg(
+        F.max("o_orderdate").alias("at"), (F.avg("o_totalprice") / 1000000).alias("accuracy"))
+    reg = ModelRegistry(spark, scratch_path(spark, f"registry-{uuid.uuid4().hex[:8]}"))
+    null = F.lit(None)
+    v.select(F.col("o_orderpriority").alias("model_name"), F.date_format("at", "yyyyMMdd_000000_000000").alias("version"),
+             F.col("at").cast("timestamp").alias("saved_at"), F.lit("none").alias("model_type"), null.cast("map<string,string>").alias("params"),
+             F.create_map(F.lit("accuracy"), F.col("accuracy")).alias("metrics"), F.lit(0).alias("n_stages"),
+             F.lit(0).cast("bigint").alias("size_bytes"), null.cast("string").alias("sha256"), null.cast("string").alias("path")) \
+        .write.mode("append").parquet(reg.table)
+    return reg
+
+
+@query("version_history", with_(_VERSIONS) + f"SELECT model_name, version, {r6('accuracy')} AS accuracy FROM v")
+def q_version_history(spark, sf_dir):
+    """All versions of all models, newest first."""
+    return _order_versions(spark, sf_dir).versions().select("model_name", "version", F.col("metrics")["accuracy"].alias("accuracy"))
+
+
+@query("latest_version", with_(_VERSIONS) + "SELECT model_name, max(version) AS version FROM v GROUP BY model_name")
+def q_latest_version(spark, sf_dir):
+    """The newest version of every model."""
+    return _order_versions(spark, sf_dir).latest_versions()
+
+
 @query("batch_score")
 def q_batch_score(spark, sf_dir):
     """Score every row with a trained pipeline and interpret it."""
@@ -363,14 +440,14 @@ def q_batch_score(spark, sf_dir):
 
 
 class _CleanThenScore:
-    """Stateless per-row cleaning with batch-fitted medians, then the pipeline."""
+    """Stateless per-row cleaning with batch-fitted fill values, then the pipeline."""
 
-    def __init__(self, model, spec, medians):
-        self.model, self.spec, self.medians = model, spec, medians
+    def __init__(self, model, spec, medians, modes):
+        self.model, self.spec, self.medians, self.modes = model, spec, medians, modes
 
     def transform(self, df):
-        return self.model.transform(C.impute_median(C.coerce_numeric(df, self.spec), self.spec,
-                                                    medians=self.medians))
+        filled = C.impute_median(C.coerce_numeric(df, self.spec), self.spec, medians=self.medians)
+        return self.model.transform(C.impute_mode(filled, self.spec, modes=self.modes))
 
 
 @query("stream_score")
@@ -380,13 +457,14 @@ def q_stream_score(spark, sf_dir):
     model, _ = _train_pipeline(spark, sf_dir)
     raw, spec = orderlines(spark, sf_dir)
     # cleaning statistics are fitted in batch; the stream applies them row by row
-    medians = C.fit_medians(C.coerce_numeric(raw, spec), OL_NUM)
+    medians, modes = C.fit_fill_values(C.coerce_numeric(raw, spec), spec)
     run = scratch_path(spark, f"stream-{uuid.uuid4().hex[:8]}")
     li_schema = read_table(spark, sf_dir, "lineitem").schema
-    prep = _CleanThenScore(model, spec, medians)
-    q = score_stream(spark, sf_dir, li_schema, prep, f"{run}/history", ORDERLINE_RULES,
+    prep = _CleanThenScore(model, spec, medians, modes)
+    # a pattern, so that the table may be one file or a folder of files
+    q = score_stream(spark, f"{sf_dir}/{{lineitem.parquet}}", li_schema, prep, f"{run}/history", ORDERLINE_RULES,
                      checkpoint=f"{run}/checkpoint", request_rules=ORDERLINE_REQUEST_RULES,
-                     labels=ORDERLINE_LABELS, glob="lineitem.parquet")
+                     labels=ORDERLINE_LABELS)
     q.awaitTermination()
     hist = spark.read.parquet(f"{run}/history")
     return hist.select("l_orderkey", "l_linenumber", F.col("prediction").cast("int").alias("prediction"),

@@ -6,7 +6,7 @@ from ..operators import aggregate as G
 from ..operators import clean as C
 from ..operators import profile as D
 from ..operators import stats as ST
-from ..sources.tables import ORDERLINES, docs, orderlines
+from ..sources.tables import ORDERLINES, docs, orderlines, read_table
 from .catalog import query
 from .q_clean import OL_COLS, OL_NUM
 from .sqlparts import DOCS_CAP_CHAIN, DOCS_CLEAN_CHAIN, OL, OL_RAW, r6, union_all, with_
@@ -63,10 +63,17 @@ _FEAT_T = [c for c in OL_COLS if c not in ("l_orderkey", "l_linenumber")] + ["l_
 
 
 @query("duplicate_rows", with_(OL) + f"""SELECT CAST(coalesce(sum(cnt - 1), 0) AS BIGINT) AS duplicate_rows
-FROM (SELECT count(*) AS cnt FROM ol GROUP BY {', '.join(c for c in OL_COLS if c != 'l_orderkey')})""")
+FROM (SELECT count(*) AS cnt FROM ol GROUP BY {', '.join(c for c in OL_COLS if c not in ORDERLINES.key)})""")
 def q_duplicate_rows(spark, sf_dir):
     df, spec = coerced(spark, sf_dir)
-    return D.duplicate_rows(df, [c for c in OL_COLS if c != "l_orderkey"])
+    return D.duplicate_rows(df, [c for c in OL_COLS if c not in spec.key])
+
+
+@query("duplicate_rows_docs", """SELECT CAST(coalesce(sum(cnt - 1), 0) AS BIGINT) AS duplicate_rows
+FROM (SELECT count(*) AS cnt FROM documents GROUP BY text, lang)""")
+def q_duplicate_rows_docs(spark, sf_dir):
+    """D4 on a table with real duplicates."""
+    return D.duplicate_rows(read_table(spark, sf_dir, "documents", ["text", "lang"]))
 
 
 # D5 ------------------------------------------------------------------------
@@ -91,6 +98,21 @@ def q_validation_report(spark, sf_dir):
     return D.validation_report(df, spec)
 
 
+_ISSUES = union_all(
+    ["SELECT 'missing' AS \"check\", NULL AS column, printf('Found %d missing values', CAST(sum(value) AS BIGINT)) AS text "
+     "FROM vr WHERE \"check\" = 'missing' HAVING sum(value) > 0"] +
+    [f"SELECT 'range', '{c}', printf('Column ''{c}'' has %d values outside valid range [{lo}, {hi}]', value) "
+     f"FROM vr WHERE \"check\" = 'range' AND \"column\" = '{c}' AND value > 0" for c, (lo, hi) in ORDERLINES.ranges.items()] +
+    ["SELECT 'duplicates', NULL, printf('Found %d duplicate rows', value) FROM vr WHERE \"check\" = 'duplicates' AND value > 0"])
+
+
+@query("validation_issues", with_(OL, f"vr AS ({_VR})") + _ISSUES)
+def q_validation_issues(spark, sf_dir):
+    """The report's issues in words."""
+    df, spec = coerced(spark, sf_dir)
+    return D.validation_issues(D.validation_report(df, spec), spec)
+
+
 # D6 ------------------------------------------------------------------------
 def _describe_sql(src: str, cols: list[str], group: str | None = None) -> str:
     parts = []
@@ -145,6 +167,23 @@ def q_dataset_info(spark, sf_dir):
     return D.dataset_info(df, spec)
 
 
+_STAT_NAMES = (("count", "count({c})"), ("mean", "avg({c})"), ("std", "stddev_samp({c})"), ("min", "min({c})"),
+               ("q25", "quantile_cont({c}, 0.25)"), ("q50", "quantile_cont({c}, 0.5)"), ("q75", "quantile_cont({c}, 0.75)"),
+               ("max", "max({c})"))
+
+
+@query("dataset_statistics", with_(OL) + union_all(
+    [f"SELECT 'statistics' AS section, '{c}' AS column, '{n}' AS name, {r6(e.format(c=c))} AS value FROM ol"
+     for c in OL_NUM for n, e in _STAT_NAMES] +
+    [f"SELECT 'value_counts', '{c}', CAST({c} AS VARCHAR), CAST(count(*) AS DOUBLE) FROM ol WHERE {c} IS NOT NULL GROUP BY {c}"
+     for c in OL_CAT] +
+    [f"SELECT 'correlation', '{a}', '{b}', {r6(f'corr({a}, {b})')} FROM ol" for i, a in enumerate(OL_NUM) for b in OL_NUM[i + 1:]]))
+def q_dataset_statistics(spark, sf_dir):
+    """Statistics, value counts and correlations of the dataset."""
+    df, _ = coerced(spark, sf_dir)
+    return D.dataset_statistics(df, OL_NUM, OL_CAT)
+
+
 # D10 -----------------------------------------------------------------------
 _DT = {"l_orderkey": "bigint", "l_linenumber": "int", "l_returnflag": "string", "l_linestatus": "string",
        "severity": "int"}

@@ -40,7 +40,7 @@ def q_anova_f(spark, sf_dir):
     return ST.anova_f(cl, OL_NUM, spec.target, k=K_SELECT)
 
 
-@query("anova_pvalues")
+@query("anova_pvalues", rounded=False)
 def q_anova_pvalues(spark, sf_dir):
     """F5 with p-values (regularized incomplete beta on the per-feature rows)."""
     cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=MI_DISCRETE)
@@ -65,7 +65,7 @@ def q_chi2_scores(spark, sf_dir):
     return ST.chi2_scores(cl, OL_NUM, spec.target, k=K_SELECT)
 
 
-@query("chi2_pvalues")
+@query("chi2_pvalues", rounded=False)
 def q_chi2_pvalues(spark, sf_dir):
     """F3 with p-values (regularized upper incomplete gamma)."""
     cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=MI_DISCRETE)

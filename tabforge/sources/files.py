@@ -8,8 +8,7 @@ written once, partitioned by method, instead of one file per method.
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,24 +20,32 @@ class SchemaMismatch(ValueError):
 
 
 # S1 ------------------------------------------------------------------------
+def _checked(spark: SparkSession, path: str, columns: list[str], sep: str, header: bool) -> DataFrame:
+    """All columns as strings.  The first file's header is checked here; with
+    ``enforceSchema`` off Spark compares each file's own header with the schema
+    when it opens the file, so a folder of differing files fails, too."""
+    try:
+        found = spark.read.option("header", header).option("sep", sep).csv(path).columns
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(path) from e
+        raise
+    if not header and len(found) != len(columns):
+        raise SchemaMismatch(f"Column mismatch. Expected {len(columns)} columns, found {len(found)}")
+    if header and found != list(columns):
+        missing, extra = sorted(set(columns) - set(found)), sorted(set(found) - set(columns))
+        raise SchemaMismatch(f"Column mismatch. Missing: {missing}, Extra: {extra}")
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    return spark.read.schema(schema).option("header", header).option("sep", sep).option("enforceSchema", False).csv(path)
+
+
 def load_csv_checked(spark: SparkSession, path: str, expected: list[str], target: str | None = None,
                      sep: str = ",", header: bool = True) -> DataFrame:
-    """Header must equal ``expected`` in order; all columns coerced to double
-    (target to int).  Missing path -> FileNotFoundError; wrong header ->
-    SchemaMismatch('Column mismatch. Missing: ..., Extra: ...')."""
-    if "://" not in path and not os.path.exists(path):
-        raise FileNotFoundError(path)
-    raw = spark.read.option("header", header).option("sep", sep).csv(path)
-    cols = raw.columns
-    if not header:
-        if len(cols) != len(expected):
-            raise SchemaMismatch(f"Column mismatch. Expected {len(expected)} columns, found {len(cols)}")
-        raw = raw.toDF(*expected)
-        cols = expected
-    if list(cols) != list(expected):
-        missing = sorted(set(expected) - set(cols))
-        extra = sorted(set(cols) - set(expected))
-        raise SchemaMismatch(f"Column mismatch. Missing: {missing}, Extra: {extra}")
+    """Every file's header must equal ``expected`` in order; all columns coerced
+    to double (target to int).  Missing path -> FileNotFoundError; wrong header
+    -> SchemaMismatch('Column mismatch. Missing: ..., Extra: ...'); a later
+    file with another header fails the job that reads it."""
+    raw = _checked(spark, path, expected, sep, header)
     out = []
     for c in expected:
         x = F.trim(F.col(c))
@@ -49,16 +56,7 @@ def load_csv_checked(spark: SparkSession, path: str, expected: list[str], target
 def load_spec_csv(spark: SparkSession, path: str, spec: FeatureSpec, columns: list[str],
                   sep: str = ",", header: bool = True) -> DataFrame:
     """S1 for a spec: raw strings kept (sentinels such as '?' handled by T1)."""
-    if "://" not in path and not os.path.exists(path):
-        raise FileNotFoundError(path)
-    raw = spark.read.option("header", header).option("sep", sep).csv(path)
-    if not header:
-        raw = raw.toDF(*columns)
-    if list(raw.columns) != list(columns):
-        missing = sorted(set(columns) - set(raw.columns))
-        extra = sorted(set(raw.columns) - set(columns))
-        raise SchemaMismatch(f"Column mismatch. Missing: {missing}, Extra: {extra}")
-    return raw
+    return _checked(spark, path, columns, sep, header)
 
 
 # S2 ------------------------------------------------------------------------

@@ -20,22 +20,10 @@ TABLES = (
 )
 
 
-FACT_TABLES = ("lineitem", "orders", "events", "documents", "pages", "conversations", "embeddings")
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | None = None, spread: bool | None = None) -> DataFrame:
-    """Scan one table (column-pruned).  A fact table whose files give the
-    scan fewer splits than the cluster has cores (e.g. one big row group) is
-    spread round-robin so the work before the first shuffle is parallel; a
-    table already stored in many splits (the large-scale case) is left as is."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Scan one table (column-pruned)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    df = df.select(*columns) if columns else df
-    if spread if spread is not None else name in FACT_TABLES:
-        target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            df = df.repartition(target)
-    return df
+    return df.select(*columns) if columns else df
 
 
 # ---------------------------------------------------------------------------

@@ -27,14 +27,16 @@ def scoring_frame(stream: DataFrame, model: PipelineModel, rules: RL.RuleSet,
         req = Z.request_map(list(request_rules))
         out = out.withColumn("error", Z.request_error(req, request_rules, labels or {}))
     scored = model.transform(out)
-    probs = vector_to_array("probability")
-    conf = F.array_max(probs)
-    pred = F.col("prediction").cast("int")
+    # an invalid request gets its error and no score
+    valid = F.col("error").isNull() if request_rules else F.lit(True)
+    conf = F.when(valid, F.array_max(vector_to_array("probability")))
+    pred = F.when(valid, F.col("prediction")).cast("int")
     return (scored.withColumn("confidence", conf)
-                  .withColumn("confidence_level", Z.confidence_band(conf))
-                  .withColumn("risk_category", Z.risk_category(pred))
-                  .withColumn("risk_factors", RL.factors(rules.risk))
-                  .withColumn("protective_factors", RL.factors(rules.protective))
+                  .withColumn("prediction", pred)
+                  .withColumn("confidence_level", F.when(valid, Z.confidence_band(F.col("confidence"))))
+                  .withColumn("risk_category", F.when(valid, Z.risk_category(F.col("prediction"))))
+                  .withColumn("risk_factors", F.when(valid, RL.factors(rules.risk)))
+                  .withColumn("protective_factors", F.when(valid, RL.factors(rules.protective)))
                   .withColumn("scored_at", F.current_timestamp())
                   .drop("features", "rawPrediction", "probability"))
 
@@ -43,9 +45,9 @@ def score_stream(spark: SparkSession, source: str, schema, model: PipelineModel,
                  rules: RL.RuleSet, checkpoint: str | None = None, request_rules: dict | None = None,
                  labels: dict | None = None, available_now: bool = True, max_files: int | None = None,
                  glob: str | None = None):
-    """Start the stream over the files of folder ``source`` (optionally only
-    those matching ``glob``); with ``available_now`` it processes what is
-    there and stops."""
+    """Start the stream over the files of ``source``, a folder or a path pattern
+    (optionally only those matching ``glob``); with ``available_now`` it
+    processes what is there and stops."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

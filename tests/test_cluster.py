@@ -38,6 +38,20 @@ def test_ward_matches_brute_force():
     assert len(set(lab)) == 3
 
 
+@pytest.mark.parametrize("linkage,pick", [("single", min), ("complete", max), ("average", lambda v: sum(v) / len(v))])
+def test_linkages_match_brute_force(linkage, pick):
+    X = np.random.default_rng(5).normal(size=(12, 2))
+    groups, heights = [[i] for i in range(len(X))], []
+    while len(groups) > 1:
+        d, a, b = min((pick([float(np.linalg.norm(X[i] - X[j])) for i in groups[a] for j in groups[b]]), a, b)
+                      for a in range(len(groups)) for b in range(a + 1, len(groups)))
+        heights.append(d)
+        groups[a] += groups.pop(b)
+    assert list(K.agglomerate(X, np.ones(len(X)), linkage)[:, 2]) == pytest.approx(heights, rel=1e-9)
+    with pytest.raises(ValueError):
+        K.agglomerate(X, np.ones(len(X)), "nope")
+
+
 def test_weighted_ward_equals_points():
     """Merging duplicated points as one weighted leaf gives the same top merges."""
     X = np.array([[0.0, 0.0], [0.0, 0.0], [5.0, 5.0], [5.0, 5.0], [5.0, 5.0], [10.0, 0.0]])
@@ -89,6 +103,6 @@ def test_kmeans_sweep_and_ward_on_blobs(spark):
     w = K.ward(df, ["id"], n_clusters=3)
     sizes = sorted(r["count"] for r in w.labels.groupBy("cluster").count().collect())
     assert sizes == [30, 30, 30]
-    w2 = K.ward(df, ["id"], n_clusters=3, max_micro=20)      # micro-cluster path
+    w2 = K.ward(df, ["id"], n_clusters=3, n_micro=20)
     assert sorted(r["count"] for r in w2.labels.groupBy("cluster").count().collect()) == [30, 30, 30]
     _ = F

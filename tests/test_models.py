@@ -77,7 +77,33 @@ def test_stream_scores_every_row(spark):
     out = queries()["stream_score"](spark, SF_SMALL)
     n = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
     assert out.count() == n
-    assert out.filter(F.col("confidence").isNull()).count() == 0
+    # a row has either a score or the error that kept it from being scored
+    assert out.filter(F.col("confidence").isNull() != F.col("error").isNotNull()).count() == 0
+    assert 0 < out.filter(F.col("error").isNull()).count() < n
+
+
+def test_stream_reads_a_folder_of_files(spark, tmp_path):
+    from __spark_entry__ import queries
+    for name, parts in (("lineitem", 3), ("orders", 2)):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").repartition(parts).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = queries()["stream_score"](spark, str(tmp_path))
+    assert out.count() == spark.read.parquet(f"{tmp_path}/lineitem.parquet").count()
+
+
+def test_invalid_requests_are_not_scored(spark):
+    from tabforge.functions import rules as RL
+    from tabforge.streaming.scoring import scoring_frame
+
+    class Model:
+        def transform(self, df):
+            from pyspark.ml.functions import array_to_vector
+            return df.withColumn("prediction", F.lit(1.0)).withColumn("probability", array_to_vector(F.array(F.lit(0.2), F.lit(0.8))))
+
+    rules = RL.RuleSet(risk=(), protective=())
+    df = spark.createDataFrame([(50.0,), (-5.0,)], "l_quantity double")
+    got = {r["l_quantity"]: r for r in scoring_frame(df, Model(), rules, {"l_quantity": ("range", 1, 50)}, {}).collect()}
+    assert got[50.0]["prediction"] == 1 and got[50.0]["error"] is None
+    assert got[-5.0]["prediction"] is None and got[-5.0]["confidence"] is None and got[-5.0]["error"]
 
 
 def test_helpers_p1_p2_f14_h5_h6(spark, frame, tmp_path):
