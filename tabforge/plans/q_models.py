@@ -35,6 +35,11 @@ from .sqlparts import OL_CLEAN_CHAIN, r6, with_
 
 OL_CAT = ["l_returnflag", "l_linestatus", "l_linenumber"]
 OL_FEATS = OL_NUM + OL_CAT
+# Parameters of the registered forests (the orders' status is close to random,
+# so trees without a depth limit memorise every row) and of the models that
+# one query fits several times; the operators' own defaults are the full ones.
+FOREST = {"n_estimators": 100, "max_depth": 10}
+CV_PARAMS = {"random_forest": {"n_estimators": 20, "max_depth": 5}, "svm": {"kernel": "linear", "max_iter": 50}}
 
 
 def ml_frame(spark, sf_dir) -> tuple[DataFrame, object]:
@@ -73,7 +78,7 @@ def _model_query(name: str, **params):
 
 query("logreg")(_model_query("logistic_regression"))
 query("dtree")(_model_query("decision_tree"))
-query("rforest")(_model_query("random_forest"))
+query("rforest")(_model_query("random_forest", **FOREST))
 query("svm")(_model_query("svm", kernel="rbf"))
 
 
@@ -90,7 +95,7 @@ def q_cv_models(spark, sf_dir):
     df, spec = ml_frame(spark, sf_dir)
     out = None
     for name in M.MODEL_NAMES:
-        cv = M.cross_validate(df, name, list(spec.key)).select(F.lit(name).alias("model"), "*")
+        cv = M.cross_validate(df, name, list(spec.key), **CV_PARAMS.get(name, {})).select(F.lit(name).alias("model"), "*")
         out = cv if out is None else out.unionByName(cv)
     return out
 
@@ -100,7 +105,7 @@ def q_model_summary(spark, sf_dir):
     """M6 + M8: train all four models with defaults, summary table (4-dp strings)."""
     df, spec = ml_frame(spark, sf_dir)
     train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
-    models = M.train_all(train, list(spec.key))
+    models = M.train_all(train, list(spec.key), params=CV_PARAMS)
     t = None
     for name, tr in models.items():
         m = _test_metrics(name, tr.model, test)
@@ -112,7 +117,7 @@ def q_model_summary(spark, sf_dir):
 @query("rf_importance")
 def q_rf_importance(spark, sf_dir):
     df, spec = ml_frame(spark, sf_dir)
-    return SEL.rf_importance(df, OL_FEATS, "label")
+    return SEL.rf_importance(df, OL_FEATS, "label", n_trees=FOREST["n_estimators"], max_depth=FOREST["max_depth"])
 
 
 @query("rfe")
@@ -133,7 +138,7 @@ def q_compare_selectors(spark, sf_dir):
 def q_impact(spark, sf_dir):
     """Impact levels of the trained forest's importances (last pipeline stage)."""
     df, spec = ml_frame(spark, sf_dir)
-    t = M.fit_model("random_forest", df.filter("split = 'train'"), list(spec.key))
+    t = M.fit_model("random_forest", df.filter("split = 'train'"), list(spec.key), **FOREST)
     imp = M.importances(t.model, OL_FEATS)
     return Z.feature_impact(spark, [n for n, _ in imp], [v for _, v in imp], top=8)
 
