@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
@@ -56,7 +56,7 @@ def logistic_regression(n_train: int, C: float = 1.0, penalty: str = "l2", max_i
 
 
 # M3 ------------------------------------------------------------------------
-def _min_instances(min_samples_split: int, min_samples_leaf: int) -> int:
+def min_instances(min_samples_split: int, min_samples_leaf: int) -> int:
     return max(int(min_samples_leaf), int(math.ceil(min_samples_split / 2)))
 
 
@@ -64,7 +64,7 @@ def decision_tree(max_depth: int | None = None, min_samples_split: int = 2, min_
                   criterion: str = "gini", max_bins: int = 64, seed: int = 42,
                   label: str = "label", features: str = "features") -> DecisionTreeClassifier:
     return DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=min(max_depth or 30, 30),
-                                  minInstancesPerNode=_min_instances(min_samples_split, min_samples_leaf),
+                                  minInstancesPerNode=min_instances(min_samples_split, min_samples_leaf),
                                   impurity=criterion, maxBins=max_bins, seed=seed)
 
 
@@ -74,7 +74,7 @@ def random_forest(n_estimators: int = 100, max_features: str = "sqrt", max_depth
                   label: str = "label", features: str = "features") -> RandomForestClassifier:
     return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=n_estimators,
                                   featureSubsetStrategy=max_features, maxDepth=min(max_depth or 30, 30),
-                                  minInstancesPerNode=_min_instances(min_samples_split, min_samples_leaf),
+                                  minInstancesPerNode=min_instances(min_samples_split, min_samples_leaf),
                                   maxBins=max_bins, seed=seed)
 
 
@@ -167,6 +167,34 @@ def train_svm(df: DataFrame, key: list[str], label: str = "label", kernel: str =
     return PipelineModel(stages=[*stages, svc, margin, platt])
 
 
+class KernelSVM(Estimator):
+    """``train_svm`` as an estimator, so that kernel, C, gamma and degree can be searched.
+
+    Without ``keyCols`` the landmarks are chosen by a hash of the features."""
+
+    kernel = Param(Params._dummy(), "kernel", "linear, rbf or poly", TypeConverters.toString)
+    C = Param(Params._dummy(), "C", "inverse regularisation", TypeConverters.toFloat)
+    gamma = Param(Params._dummy(), "gamma", "scale, auto or a number", TypeConverters.identity)
+    degree = Param(Params._dummy(), "degree", "degree of the poly kernel", TypeConverters.toInt)
+    nLandmarks = Param(Params._dummy(), "nLandmarks", "landmarks of the kernel map", TypeConverters.toInt)
+    maxIter = Param(Params._dummy(), "maxIter", "iterations of the linear SVM", TypeConverters.toInt)
+    keyCols = Param(Params._dummy(), "keyCols", "columns that name a row", TypeConverters.toListString)
+    labelCol = Param(Params._dummy(), "labelCol", "label", TypeConverters.toString)
+
+    def __init__(self, key=(), label: str = "label"):
+        super().__init__()
+        self._setDefault(kernel="rbf", C=1.0, gamma="scale", degree=3, nLandmarks=300, maxIter=200,
+                         keyCols=list(key), labelCol=label)
+
+    def _fit(self, df: DataFrame) -> PipelineModel:
+        get = self.getOrDefault
+        key, label = get(self.keyCols), get(self.labelCol)
+        if not key:
+            key, df = ["_features"], df.withColumn("_features", vector_to_array("features").cast("string"))
+        return train_svm(df, key, label, get(self.kernel), get(self.C), get(self.gamma), get(self.degree),
+                         get(self.nLandmarks), get(self.maxIter))
+
+
 # M6 ------------------------------------------------------------------------
 @dataclass
 class Trained:

@@ -75,3 +75,47 @@ def test_importance_forests_have_no_depth_limit(spark, frame, monkeypatch, name)
     except Stop:
         pass
     assert sizes == [(100, 30)]
+
+
+def test_grids_hold_every_value_of_the_reference(spark):
+    from tabforge.operators import tune as H
+    est = H.estimators(100)
+    full, drawn = H.grids(est, 100), H.grids(est, 100, H.DRAWN)
+    assert {k: len(v) for k, v in full.items()} == {"logistic_regression": 72, "decision_tree": 672, "random_forest": 1080, "svm": 216}
+    assert {k: len(v) for k, v in drawn.items()} == {"logistic_regression": 36, "decision_tree": 192, "random_forest": 360, "svm": 48}
+    rf, svm = est["random_forest"], est["svm"]
+    assert {m[rf.numTrees] for m in full["random_forest"]} == {50, 100, 200, 300, 500}
+    assert max(m[rf.maxDepth] for m in full["random_forest"]) == 30
+    assert {m[svm.kernel] for m in full["svm"]} == {"linear", "rbf", "poly"}
+    assert {m.get(svm.gamma) for m in full["svm"]} == {None, "scale", "auto", 0.001, 0.01, 0.1, 1.0}
+
+
+def test_searches_cover_all_models(spark, frame, monkeypatch):
+    from __spark_entry__ import queries
+    from tabforge.operators import tune as H
+    from tabforge.plans import q_models
+    monkeypatch.setattr(q_models, "ml_frame", lambda *a: frame)
+    asked = []
+
+    def search(train, test, name, est, grid, n_iter=None, **kw):
+        asked.append((name, len(grid), n_iter))
+        raise Stop
+
+    monkeypatch.setattr(H, "search", search)
+    queries()["random_search"](spark, SF_SMALL)
+    assert asked == [("logistic_regression", 36, 50), ("decision_tree", 192, 50), ("random_forest", 360, 50), ("svm", 48, 50)]
+    asked.clear()
+    queries()["grid_search"](spark, SF_SMALL)
+    assert asked == [("logistic_regression", 72, None), ("decision_tree", 672, None), ("random_forest", 1080, None), ("svm", 216, None)]
+
+
+def test_kernel_svm_is_searched(spark, frame):
+    from tabforge.operators import tune as H
+    df = frame[0]
+    est = H.estimators(300)["svm"]
+    assert est.getOrDefault(est.kernel) == "rbf" and est.getOrDefault(est.nLandmarks) == 300
+    est = est.copy({est.nLandmarks: 10, est.maxIter: 2})
+    grid = [{est.kernel: "poly", est.degree: 2, est.C: 1.0, est.gamma: "auto"}, {est.kernel: "rbf", est.gamma: 0.1, est.C: 10.0}]
+    maps = [m.stages[0] for m in est.fit(df, grid)]
+    assert [(m.getOrDefault(m.kernel), m.getOrDefault(m.degree)) for m in maps] == [("poly", 2), ("rbf", 3)]
+    assert maps[0].getOrDefault(maps[0].gamma) == 1 / 7 and maps[1].getOrDefault(maps[1].gamma) == 0.1
