@@ -25,7 +25,9 @@ in a document with a smaller id.  The steps:
 
 No step compares by hash alone: classes in 5 come from bytes.  A passage held
 by very many documents is one entry for each block, so no bucket grows with
-it.  Blocks and buckets have a fixed size; their number follows the input.
+it.  A trigger with more than ``HEAVY`` occurrences may stand in as many
+different phrases: its strings go, each once for a block, to buckets by the
+hash of their bytes, where they are compared in step 5.  Blocks and buckets have a fixed size; their number follows the input.
 
 Edge cases: a null or empty text, or one shorter than ``min_bytes``, stays; a
 row with a null id stays as it is and affects no other; rows that repeat an id
@@ -42,8 +44,11 @@ TRIGGER = 20
 BLOCK_BYTES = 4 << 20
 #: Bytes parsed at once.
 SLICE = 1 << 19
-#: Bits of a trigger's hash that travel, besides those that pick its bucket.
-KEY_BITS = 39
+#: Bits of a trigger's hash that travel, besides those that pick its bucket;
+#: five more say how often a block holds it.
+KEY_BITS = 35
+#: Occurrences from which a trigger's strings are dealt out one by one.
+HEAVY = 20_000
 
 _NEVER = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -157,13 +162,16 @@ def _triggers(block: int, table, buckets: int, min_bytes: int):
     import numpy as np
     import pyarrow as pa
 
-    keys = [np.unique(parse(data, min_bytes)[3]) for _, data in _texts(table)]
-    bucket, key = _split_key(np.concatenate(keys) if keys else np.zeros(0, np.uint64), buckets)
+    keys = [np.unique(parse(data, min_bytes)[3], return_counts=True) for _, data in _texts(table)]
+    bucket, key = _split_key(np.concatenate([k for k, _ in keys]) if keys else np.zeros(0, np.uint64), buckets)
+    times = np.concatenate([n for _, n in keys]) if keys else np.zeros(0, np.int64)
     order = np.lexsort((key, bucket))
-    bucket, key = bucket[order], key[order]
+    bucket, key, times = bucket[order], key[order], times[order]
     first = np.append(True, (bucket[1:] != bucket[:-1]) | (key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
     twice = np.append(~first[1:], False) if len(key) else first
-    bucket, value = bucket[first], (key[first] << np.uint64(1)) | twice[first].astype(np.uint64)
+    times = np.add.reduceat(times, np.flatnonzero(first)) if len(key) else times
+    power = np.minimum(np.ceil(np.log2(np.maximum(times, 1))), 15).astype(np.uint64)        # up to 2 ** power times
+    bucket, value = bucket[first], (key[first] << np.uint64(5)) | (power << np.uint64(1)) | twice[first].astype(np.uint64)
     runs = _runs_by(bucket)
     return pa.table({"bucket": pa.array([int(bucket[a]) for a, _ in runs], pa.int64()),
                      "block": pa.array([block] * len(runs), pa.int64()),
@@ -171,7 +179,8 @@ def _triggers(block: int, table, buckets: int, min_bytes: int):
 
 
 def _repeated(bucket: int, table):
-    """Step 3, answering: (block, bucket, keys) of the keys that two documents hold."""
+    """Step 3, answering: (block, bucket, keys) of the keys that two documents
+    hold, with a flag for keys of more than ``HEAVY`` occurrences."""
     import numpy as np
     import pyarrow as pa
 
@@ -179,16 +188,21 @@ def _repeated(bucket: int, table):
     values = [_unpack(k) for k in table["keys"].to_pylist()]
     value = np.concatenate(values)
     owner = np.repeat(np.arange(len(values)), [len(v) for v in values])
-    key = value >> np.uint64(1)
+    key = value >> np.uint64(5)
     order = np.argsort(key, kind="stable")
     k = key[order]
     same = k[1:] == k[:-1]
+    times = np.int64(1) << ((value[order] >> np.uint64(1)) & np.uint64(15)).astype(np.int64)
+    new = np.append(True, ~same)
+    heavy = np.empty(len(order), bool)
+    heavy[order] = (np.add.reduceat(times, np.flatnonzero(new)) > HEAVY)[np.cumsum(new) - 1]
+    answer = (key << np.uint64(1)) | heavy.astype(np.uint64)
     hit = np.append(False, same) | np.append(same, False) | ((value[order] & np.uint64(1)) == 1)
     pick = np.sort(order[hit])
     runs = _runs_by(owner[pick])
     return pa.table({"block": pa.array([blocks[int(owner[pick[a]])] for a, _ in runs], pa.int64()),
                      "bucket": pa.array([bucket] * len(runs), pa.int64()),
-                     "keys": pa.array([_pack(key[pick[a:b]]) for a, b in runs], pa.binary())})
+                     "keys": pa.array([_pack(answer[pick[a:b]]) for a, b in runs], pa.binary())})
 
 
 def _width(min_bytes: int) -> int:
@@ -201,17 +215,22 @@ class Block:
     texts alone decide.
 
     A phrase is kept as the bytes around its trigger, aligned, with zeros where
-    it does not reach, and the range of ``j`` of its strings.
+    it does not reach, and the range of ``j`` of its strings.  Phrases of heavy
+    triggers, from ``light`` on, come last.
     """
 
     def __init__(self, table, asked, buckets: int, min_bytes: int):
         import numpy as np
 
         reach, width = min_bytes - TRIGGER, _width(min_bytes)
-        wanted = [_unpack(k) * np.uint64(buckets) + np.uint64(b) for b, k in asked]
-        wanted = np.sort(np.concatenate(wanted)) if wanted else np.zeros(0, np.uint64)
+        self.reach, self.min_bytes = reach, min_bytes
+        keys = [(_unpack(k), np.uint64(b)) for b, k in asked]
+        wanted = np.concatenate([(k >> np.uint64(1)) * np.uint64(buckets) + b for k, b in keys]) if keys else np.zeros(0, np.uint64)
+        many = np.concatenate([(k & np.uint64(1)) == 1 for k, _ in keys]) if keys else np.zeros(0, bool)
+        order = np.argsort(wanted, kind="stable")
+        wanted, many = wanted[order], many[order]
         around = np.arange(-reach, min_bytes)
-        rows, docs, places, buckets_of = [], [], [], []
+        rows, docs, places, buckets_of, heavy = [], [], [], [], []
         for doc, data in _texts(table):
             place, first, last, h = parse(data, min_bytes)
             bucket, key = _split_key(h, buckets)
@@ -230,13 +249,15 @@ class Block:
             docs.append(np.full(len(pick), doc, np.int64))
             places.append(place)
             buckets_of.append(bucket[pick])
+            heavy.append(many[at[pick]])
+        self.light = 0
         if not rows:
             self.rows = np.zeros((0, width), np.uint8)
             self.doc = self.place = self.phrase = self.bucket = self.least = self.most = np.zeros(0, np.int64)
             return
-        rows, self.doc, self.place, bucket = (np.concatenate(x) for x in (rows, docs, places, buckets_of))
+        rows, self.doc, self.place, bucket, heavy = (np.concatenate(x) for x in (rows, docs, places, buckets_of, heavy))
         words = rows.view("<u8")
-        order = np.lexsort((*words.T, bucket))
+        order = np.lexsort((*words.T, bucket, heavy))
         words, bucket = words[order], bucket[order]
         new = np.append(True, (words[1:] != words[:-1]).any(1) | (bucket[1:] != bucket[:-1]))
         self.phrase = np.empty(len(order), np.int64)              # of each occurrence
@@ -245,18 +266,55 @@ class Block:
         at = np.flatnonzero(new)
         self.least = np.minimum.reduceat(self.doc[order], at)
         self.most = np.maximum.reduceat(self.doc[order], at)
+        self.light = int((~heavy[order[new]]).sum())
+
+    def strings(self, buckets: int):
+        """The distinct strings of heavy phrases by bucket: bytes, bucket,
+        smallest and largest document, and the (phrase, j, string) of each."""
+        import numpy as np
+
+        rows, parts = self.rows[self.light:], []
+        for j in range(self.reach + 1):
+            has = np.flatnonzero((rows[:, -2] <= j) & (j <= rows[:, -1]))
+            parts.append((rows[has, self.reach - j: self.reach - j + self.min_bytes], has + self.light, np.full(len(has), j)))
+        text, phrase, j = (np.concatenate(x) for x in zip(*parts))
+        if not len(text):
+            return text, phrase, phrase, phrase, (phrase, j, phrase)
+        words = _wide(text)
+        x = np.zeros(len(text), np.uint64)
+        for w in words.T:
+            x = (x ^ w) * np.uint64(_BASE)
+            x ^= x >> np.uint64(32)
+        bucket = (x % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((*words.T, bucket))
+        words, phrase, j = words[order], phrase[order], j[order]
+        new = np.append(True, (words[1:] != words[:-1]).any(1))
+        at = np.flatnonzero(new)
+        return (text[order[at]], bucket[order[at]], np.minimum.reduceat(self.least[phrase], at),
+                np.maximum.reduceat(self.most[phrase], at), (phrase, j, np.cumsum(new) - 1))
+
+
+def _wide(strings):
+    """Equally long byte strings as rows of 64-bit words."""
+    import numpy as np
+
+    wide = np.zeros((len(strings), -(-strings.shape[1] // 8) * 8), np.uint8)
+    wide[:, : strings.shape[1]] = strings
+    return wide.view("<u8")
 
 
 def _phrases(block: int, table, asked, buckets: int, min_bytes: int):
-    """Step 4: (bucket, block, n, phrases)."""
+    """Step 4: (bucket, block, n, phrases, single); single for strings of heavy triggers."""
     import pyarrow as pa
 
     b = Block(table, asked, buckets, min_bytes)
-    runs = _runs_by(b.bucket)
-    return pa.table({"bucket": pa.array([int(b.bucket[lo]) for lo, _ in runs], pa.int64()),
-                     "block": pa.array([block] * len(runs), pa.int64()),
-                     "n": pa.array([hi - lo for lo, hi in runs], pa.int64()),
-                     "phrases": pa.array([_squeeze(b.rows[lo:hi], b.least[lo:hi], b.most[lo:hi]) for lo, hi in runs], pa.binary())})
+    text, to, least, most, _ = b.strings(buckets)
+    out = [(int(b.bucket[lo]), hi - lo, _squeeze(b.rows[lo:hi], b.least[lo:hi], b.most[lo:hi]), False)
+           for lo, hi in _runs_by(b.bucket[: b.light])]
+    out += [(int(to[lo]), hi - lo, _squeeze(text[lo:hi], least[lo:hi], most[lo:hi]), True) for lo, hi in _runs_by(to)]
+    return pa.table({"bucket": pa.array([o[0] for o in out], pa.int64()), "block": pa.array([block] * len(out), pa.int64()),
+                     "n": pa.array([o[1] for o in out], pa.int64()), "phrases": pa.array([o[2] for o in out], pa.binary()),
+                     "single": pa.array([o[3] for o in out], pa.bool_())})
 
 
 def suffix_order(strings):
@@ -303,30 +361,49 @@ def first_documents(rows, least, min_bytes: int = MIN_BYTES):
     return out
 
 
+def first_of_strings(strings, least):
+    """Step 5 for single strings: the smallest document of all equal ones."""
+    import numpy as np
+
+    words = _wide(strings)
+    order = np.lexsort(words.T)
+    words = words[order]
+    new = np.append(True, (words[1:] != words[:-1]).any(1))
+    out = np.empty(len(order), np.int64)
+    out[order] = np.minimum.reduceat(least[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    return out[:, None]
+
+
 def _judged(bucket: int, table, min_bytes: int):
-    """Step 5: (block, bucket, n, found): which phrases lose strings, and to whom."""
+    """Step 5: (block, bucket, n, found, single): which phrases (or single
+    strings) lose strings, and to whom."""
     import numpy as np
     import pyarrow as pa
 
-    blocks, sizes = table["block"].to_pylist(), table["n"].to_pylist()
-    rows, least, most, width = [], [], [], _width(min_bytes)
-    for n, packed in zip(sizes, table["phrases"].to_pylist()):
-        data = np.frombuffer(_spread(packed), np.uint8)
-        rows.append(data[: n * width].reshape(n, width))
-        ends = data[n * width:].view("<i8")
-        least.append(ends[:n])
-        most.append(ends[n:])
-    rows, least, most = np.concatenate(rows), np.concatenate(least), np.concatenate(most)
-    first = first_documents(rows, least, min_bytes)
-    loses = (first < most[:, None]).any(1)
-    out, at = [], 0
-    for block, n in zip(blocks, sizes):
-        pick = np.flatnonzero(loses[at: at + n])
-        if len(pick):
-            out.append((block, len(pick), _squeeze(pick.astype("<i8"), first[at + pick].astype("<i8"))))
-        at += n
+    out = []
+    for single in (False, True):
+        part = [x for x in zip(table["block"].to_pylist(), table["n"].to_pylist(), table["phrases"].to_pylist(), table["single"].to_pylist())
+                if x[3] == single]
+        if not part:
+            continue
+        rows, least, most, width = [], [], [], min_bytes if single else _width(min_bytes)
+        for _, n, packed, _ in part:
+            data = _spread(packed)
+            rows.append(np.frombuffer(data, np.uint8, n * width).reshape(n, width))
+            ends = np.frombuffer(data, np.uint8)[n * width:].copy().view("<i8")
+            least.append(ends[:n])
+            most.append(ends[n:])
+        rows, least, most = np.concatenate(rows), np.concatenate(least), np.concatenate(most)
+        first = first_of_strings(rows, least) if single else first_documents(rows, least, min_bytes)
+        loses, at = (first < most[:, None]).any(1), 0
+        for block, n, _, _ in part:
+            pick = np.flatnonzero(loses[at: at + n])
+            if len(pick):
+                out.append((block, len(pick), _squeeze(pick.astype("<i8"), first[at + pick].astype("<i8")), single))
+            at += n
     return pa.table({"block": pa.array([o[0] for o in out], pa.int64()), "bucket": pa.array([bucket] * len(out), pa.int64()),
-                     "n": pa.array([o[1] for o in out], pa.int64()), "found": pa.array([o[2] for o in out], pa.binary())})
+                     "n": pa.array([o[1] for o in out], pa.int64()), "found": pa.array([o[2] for o in out], pa.binary()),
+                     "single": pa.array([o[3] for o in out], pa.bool_())})
 
 
 def merged(starts, ends):
@@ -350,10 +427,17 @@ def _cut(table, asked, found, buckets: int, min_bytes: int):
         reach = min_bytes - TRIGGER
         b = Block(table, asked, buckets, min_bytes)
         first = np.full((len(b.rows), reach + 1), _NEVER, np.int64)
-        start = {int(b.bucket[lo]): lo for lo, _ in _runs_by(b.bucket)}
-        for bucket, n, packed in found:
+        start = {int(b.bucket[lo]): lo for lo, _ in _runs_by(b.bucket[: b.light])}
+        text, to, _, _, (phrase, j, string) = b.strings(buckets)
+        alone = {int(to[lo]): lo for lo, _ in _runs_by(to)}
+        owner = np.full(len(text), _NEVER, np.int64)
+        for bucket, n, packed, single in found:
             data = np.frombuffer(_spread(packed), "<i8")
-            first[start[bucket] + data[:n]] = data[n:].reshape(n, reach + 1)
+            if single:
+                owner[alone[bucket] + data[:n]] = data[n:]
+            else:
+                first[start[bucket] + data[:n]] = data[n:].reshape(n, reach + 1)
+        first[phrase, j] = owner[string]
         goes = first[b.phrase] < b.doc[:, None]
         hit = np.flatnonzero(goes.any(1))
         goes = goes[hit]
@@ -394,7 +478,7 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     total = docs.agg(F.sum(F.octet_length(data))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     doc_id = F.col(id_col).cast("long")
-    texts = docs.select(doc_id.alias("doc_id"), data.alias("data"), F.pmod(F.xxhash64(doc_id), F.lit(blocks)).alias("block"))
+    texts = docs.select(doc_id.alias("doc_id"), data.alias("data"), F.pmod(F.xxhash64(doc_id, F.when(doc_id.isNull(), data)), F.lit(blocks)).alias("block"))
 
     def triggers(key, table):
         return _triggers(key[0].as_py(), table, blocks, min_bytes)
@@ -413,7 +497,7 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
         is_key = pc.is_valid(answers["keys"])
         found = answers.filter(pc.invert(is_key)).sort_by("bucket")
-        found = list(zip(found["bucket"].to_pylist(), found["n"].to_pylist(), found["found"].to_pylist()))
+        found = list(zip(found["bucket"].to_pylist(), found["n"].to_pylist(), found["found"].to_pylist(), found["single"].to_pylist()))
         return _cut(table, _asked(answers.filter(is_key)), found, blocks, min_bytes)
 
     def _asked(table):
@@ -422,8 +506,8 @@ def dedup_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     asked = (texts.groupBy("block").applyInArrow(triggers, "bucket long, block long, keys binary")
              .groupBy("bucket").applyInArrow(repeated, "block long, bucket long, keys binary"))
     found = (texts.groupBy("block").cogroup(asked.groupBy("block"))
-             .applyInArrow(phrases, "bucket long, block long, n long, phrases binary")
-             .groupBy("bucket").applyInArrow(judged, "block long, bucket long, n long, found binary"))
+             .applyInArrow(phrases, "bucket long, block long, n long, phrases binary, single boolean")
+             .groupBy("bucket").applyInArrow(judged, "block long, bucket long, n long, found binary, single boolean"))
     answers = asked.unionByName(found, allowMissingColumns=True)
     return (texts.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(cut, "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,end:long>>"))

@@ -56,3 +56,33 @@ def test_null_ids_and_empty(spark):
     got = passage_dedup.dedup_passages(frame(spark, [long, long], with_null_id=True)).collect()
     assert sorted((r.doc_id or 0, len(r.kept)) for r in got) == [(0, len(long)), (0, len(long)), (1, len(long)), (4, 0)]
     assert passage_dedup.dedup_passages(frame(spark).limit(0)).count() == 0
+
+
+def test_frequent_trigger_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(passage_dedup, "HEAVY", 16)
+    judge = passage_dedup.first_documents
+
+    def small(rows, least, min_bytes=50):
+        assert len({bytes(r[min_bytes - 20: min_bytes]) for r in rows}) * 16 >= len(rows)
+        return judge(rows, least, min_bytes)
+
+    monkeypatch.setattr(passage_dedup, "first_documents", small)
+    r = random.Random(5)
+    word = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    tails = [word(60) for _ in range(5)]
+    header = "#source: common crawl 2024-10#"
+    texts = [word(40) + header + (r.choice(tails) if i % 4 == 0 else word(60)) for i in range(200)]
+    got = result(passage_dedup.dedup_passages(frame(spark, texts), block_bytes=4000))
+    want = brute([(x[0], x[1]) for x in rows(texts)], 50)
+    assert got == want and sum(v[1] > 0 for v in want.values()) > 20
+
+
+def test_null_ids_are_dealt_by_text(spark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(None, f"text {i} " * 20) for i in range(40)], "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")           # it would put small partitions together
+    try:
+        out = passage_dedup.dedup_passages(docs, block_bytes=500).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(out) == 40 and len({r.part for r in out}) > 1
