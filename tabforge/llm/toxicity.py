@@ -280,23 +280,42 @@ class Toxicity:
         return F.coalesce(F.element_at(F.create_map(*known), lang), base) if known else base
 
 
-def f1_threshold(scores, labels) -> float:
-    """The cut with the best F1, halfway between neighbouring scores."""
+def f1_threshold(scores, labels, weights=None) -> float:
+    """The cut with the best F1, halfway between neighbouring scores; a row
+    counts ``weights`` times."""
     import numpy as np
 
     scores, labels = np.asarray(scores, float), np.asarray(labels, int)
     if not len(labels) or labels.min() == labels.max():
         return 0.5
     order = np.argsort(-scores, kind="stable")
+    w = np.ones(len(labels)) if weights is None else np.asarray(weights, float)[order]
     s, y = scores[order], labels[order]
-    tp = np.cumsum(y)
-    f1 = 2 * tp / (np.arange(1, len(y) + 1) + y.sum())
+    tp = np.cumsum(w * y)
+    f1 = 2 * tp / (np.cumsum(w) + tp[-1])
     f1[:-1][s[:-1] == s[1:]] = -1
     k = int(f1.argmax())
     below = s[k + 1] if k + 1 < len(s) else 0.0
     return float(np.clip((s[k] + below) / 2, 0.2, 0.8))
 
 
+def held_counts(rows: DataFrame, model: Model) -> DataFrame:
+    """lang, label, score (to four places), count: at most 20,002 rows a language."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)   # fixed size: BUCKETS x DIM floats
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        cache: dict = {}
+        for b in batches:
+            s = np.round(score_texts(sent.value, b.column(2).to_pylist(), cache), 4)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], names=["lang", "label", "score"])
+
+    scored = rows.select(F.coalesce("lang", F.lit("")).alias("lang"), "label", "text")
+    return scored.mapInArrow(run, "lang string, label int, score double").groupBy("lang", "label", "score").count()
+
+
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str | None = "lang", label_col: str = "toxic", max_rows: int = MAX_TRAIN_ROWS,
           max_chars: int = MAX_TRAIN_CHARS, min_lang_rows: int = 20) -> Toxicity:
@@ -304,7 +323,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
     ``labels`` holds the rows that may be learned from.  The sample is the
     rows with the smallest hash of the id, so it does not depend on the
-    partitioning; a fifth of it is kept from the fit to calibrate thresholds.
+    partitioning.  For the thresholds a fifth of it is kept from a first fit,
+    which scores the whole texts of all labelled rows that it did not use;
+    their counts by score are weighted to the class shares of all labelled rows.
     """
     import numpy as np
 
@@ -318,8 +339,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     sample = (ids.where("label = 1").orderBy(mixed, "doc_id").limit(half)
               .unionByName(ids.where("label = 0").orderBy(mixed, "doc_id").limit(max_rows - min(half, counts[1]))))
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), lang.alias("lang"))
-            .where(F.length("text") <= max_chars)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), lang.alias("lang"))
+    rows = (texts.where(F.length("text") <= max_chars)
             .join(F.broadcast(sample), "doc_id"))        # at most max_rows rows of two numbers
 
     def run(batches):
@@ -339,15 +360,20 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     base = fit([x for x, h in zip(xs, held) if not h], ys[~held], prior=prior)
     model = fit(xs, ys, prior=prior)
     thresholds: dict = {None: 0.5}
-    if base.ready and held.any():
-        scores = np.array([1 / (1 + np.exp(-np.clip(float(base.logits(base.pooled(base.project(b), s)[0])[0]), -30, 30)))
-                           for b, s in (flat([x]) for x, h in zip(xs, held) if h)])
-        y, langs = ys[held], np.array([r.lang or "" for r in got])[held]
-        thresholds[None] = f1_threshold(scores, y)
-        for name in sorted(set(langs) - {""}):
-            m = langs == name
-            if m.sum() >= min_lang_rows and 0 < y[m].sum() < m.sum():
-                thresholds[name] = f1_threshold(scores[m], y[m])
+    if base.ready:
+        fitted = [(r.doc_id, r.lang or "", r.label) for r, h in zip(got, held) if not h]
+        used = docs.sparkSession.createDataFrame([(d,) for d, _, _ in fitted], "doc_id long")
+        rest = texts.join(ids, "doc_id").join(F.broadcast(used), "doc_id", "left_anti")      # at most max_rows numbers
+        cells = [(r.lang, r.label, r.score, r["count"]) for r in held_counts(rest, base).collect()]
+        langs = sorted({c[0] for c in cells} - {""})
+        for name in [None, *langs]:
+            mine = [c for c in cells if name is None or c[0] == name]
+            have = {y: sum(n for _, label, _, n in mine if label == y) for y in (0, 1)}
+            if not all(have.values()) or name is not None and sum(have.values()) < min_lang_rows:
+                continue
+            seen = {y: sum(label == y and name in (None, l) for _, l, label in fitted) for y in (0, 1)}
+            thresholds[name] = f1_threshold([c[2] for c in mine], [c[1] for c in mine],
+                                            [c[3] * (1 + seen[c[1]] / have[c[1]]) for c in mine])
     return Toxicity(model, thresholds)
 
 

@@ -178,6 +178,19 @@ def test_sum_of_squares_takes_the_best_gap():
             counts[gap - s] += 1
 
 
+def test_thresholds_use_all_labelled_rows(spark):
+    import random
+    r = random.Random(4)
+    data = [(i, " ".join(r.choice("one two three four five six".split()) for _ in range(12)) + (" vile awful" if i % 3 == 0 else "")
+             + (" filler" * 300 if i % 20 == 7 else ""), "xx" if i % 20 == 7 or i % 20 == 9 else "en", int(i % 3 == 0)) for i in range(600)]
+    docs = spark.createDataFrame([x[:3] for x in data], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(x[0], x[3]) for x in data], "doc_id long, toxic int")
+    fitted = toxicity.train(docs, labels, max_rows=60, max_chars=1000)
+    assert set(fitted.thresholds) == {None, "en", "xx"}
+    # a weighted row counts as often as its weight says
+    assert toxicity.f1_threshold([0.7, 0.5, 0.3], [1, 0, 1], [1, 9, 1]) == toxicity.f1_threshold([0.7] + [0.5] * 9 + [0.3], [1] + [0] * 9 + [1])
+
+
 # --- licenses ---------------------------------------------------------------
 
 def base_words(text):
