@@ -5,7 +5,7 @@ used twice, to extract all matches and to split the text at them; summing the
 lengths of both lists gives each match its place in code points.  Checksums
 (Luhn, mod-97) and range tests drop wrong matches without a retry.  A weak
 kind (see ``KINDS``) also needs a context word within ``CONTEXT`` characters
-before it; for the others a context word raises the score.
+before or after it; for the others a context word raises the score.
 
 Patterns never scan a character twice: runs are possessive and a match starts
 only where a run starts (or where the last match ended), so a very long run
@@ -113,8 +113,11 @@ def spans_of(kind: Kind, text: Column) -> Column:
 
     def scored(x):
         lo = F.greatest(F.lit(1), (x["start"] - CONTEXT + 1)).cast("int")
-        near = F.lower(F.substr(text, lo, (x["start"] + 1 - lo).cast("int")))
-        beside = near.rlike("(?:^|[^a-z])(?:" + "|".join(kind.words) + ")") if kind.words else F.lit(False)
+        end = x["start"] + F.char_length(x["value"])
+        before = F.lower(F.substr(text, lo, (x["start"] + 1 - lo).cast("int")))
+        after = F.lower(F.substr(text, (end + 1).cast("int"), F.lit(CONTEXT)))
+        word = "(?:^|[^a-z])(?:" + "|".join(kind.words) + ")"
+        beside = before.rlike(word) | after.rlike(word) if kind.words else F.lit(False)
         score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(beside, kind.boost).otherwise(0.0))
         return F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"), (x["start"] + F.char_length(x["value"])).cast("long").alias("end"),
                         x["value"].alias("value"), score.alias("score"))

@@ -269,6 +269,14 @@ def test_checksums_and_mask(spark):
     assert [r.m for r in got] == ["ü <EMAIL> ü <PHONE> x", None, "none"]
 
 
+def test_context_counts_on_both_sides(spark):
+    far = "x " * 60
+    texts = ["078-05-1120 (my SSN)", "the number 078-05-1120 is a social security number", "my ssn 078-05-1120", "no 078-05-1120 " + far + "ssn", "078-05-1120"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.m for r in pii.find_pii(df).select("doc_id", pii.masked(F.col("text"), F.col("spans")).alias("m")).collect()}
+    assert got == {0: "<SSN> (my SSN)", 1: "the number <SSN> is a social security number", 2: "my ssn <SSN>", 3: texts[3], 4: texts[4]}
+
+
 # --- top-k ------------------------------------------------------------------
 
 @pytest.mark.parametrize("shard,block", [(7, 2), (1000, 1000)])
