@@ -71,7 +71,8 @@ def quantiles(counts: DataFrame, keys: list[str], probs: list[float], ranges: in
     q = []
     for i, p in enumerate(probs):
         r, lo, hi = position(p)(F.col("n")), F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
-        q.append(F.when(F.floor(r) == F.ceil(r), lo).otherwise((F.ceil(r) - r) * lo + (r - F.floor(r)) * hi))
+        # equal neighbours are taken as they are: their weighted sum can miss them by a rounding error
+        q.append(F.when((F.floor(r) == F.ceil(r)) | (lo == hi), lo).otherwise((F.ceil(r) - r) * lo + (r - F.floor(r)) * hi))
     return found.select(*keys, F.array(*q).alias("q"))
 
 

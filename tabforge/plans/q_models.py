@@ -267,11 +267,11 @@ def q_attach_clusters(spark, sf_dir):
     return e.join(IO.load_typed(spark, path, "vec_id long, cluster int", fmt="parquet"), "vec_id")
 
 
-_ELBOW_DIMS = 8
+_N_DIMS = 64                                                 # components of an embedding
 
 
 @query("elbow", f"""WITH g AS (SELECT t.k, vec_id % t.k AS c, embedding AS e FROM embeddings CROSS JOIN range(2, 11) t(k)),
-i AS (SELECT k, c, ({' + '.join(f'var_pop(CAST(e[{d + 1}] AS DOUBLE))' for d in range(_ELBOW_DIMS))}) * count(*) AS w FROM g GROUP BY k, c),
+i AS (SELECT k, c, ({' + '.join(f'var_pop(CAST(e[{d + 1}] AS DOUBLE))' for d in range(_N_DIMS))}) * count(*) AS w FROM g GROUP BY k, c),
 s AS (SELECT k, sum(w) AS inertia FROM i GROUP BY k),
 d AS (SELECT k, inertia, inertia - 2 * lag(inertia, 1) OVER (ORDER BY k) + lag(inertia, 2) OVER (ORDER BY k) AS bend FROM s)
 SELECT CAST(k AS INTEGER) AS k, {r6('inertia')} AS inertia, {r6('bend')} AS bend,
@@ -279,10 +279,10 @@ SELECT CAST(k AS INTEGER) AS k, {r6('inertia')} AS inertia, {r6('bend')} AS bend
 def q_elbow(spark, sf_dir):
     """K3 + W5: inertia of the groupings by id modulo k, and the elbow rule on it."""
     e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    dims = [F.col("embedding")[d].cast("double").alias(f"e{d}") for d in range(_ELBOW_DIMS)]
+    dims = [F.col("embedding")[d].cast("double").alias(f"e{d}") for d in range(_N_DIMS)]
     rows = e.select("vec_id", *dims).withColumn("k", F.explode(F.sequence(F.lit(2), F.lit(10))))
     per = rows.groupBy("k", (F.col("vec_id") % F.col("k")).alias("c")).agg(
-        F.count(F.lit(1)).alias("size"), sum(F.var_pop(f"e{d}") for d in range(_ELBOW_DIMS)).alias("v"))
+        F.count(F.lit(1)).alias("size"), sum(F.var_pop(f"e{d}") for d in range(_N_DIMS)).alias("v"))
     sweep = per.groupBy("k").agg(F.sum(F.col("v") * F.col("size")).alias("inertia"))
     table = sweep.orderBy("k").collect()                      # one row per k
     ks, inertias = [r["k"] for r in table], [r["inertia"] for r in table]
@@ -294,7 +294,7 @@ def q_elbow(spark, sf_dir):
 
 
 # SQL-checkable cluster agreement ----------------------------------------------
-_DIMS = [f"e{i:02d}" for i in range(64)]
+_DIMS = [f"e{i:02d}" for i in range(_N_DIMS)]
 _EMB = "emb AS (SELECT vec_id, label, " + ", ".join(
     f"CAST(embedding[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(_DIMS)) + " FROM embeddings)"
 

@@ -27,6 +27,15 @@ def test_quantiles(spark, ranges):
     assert got[None] == pytest.approx([3.0, 3.1, 3.25, 3.5, 3.9, 4.0])
 
 
+def test_tied_values_are_hit_exactly(spark):
+    """A quantile between two equal values is that value, not a sum near it."""
+    rows = [(f"k{n}-{v}", v, n) for n in range(2, 40) for v in (0.1, 0.07, 1 / 3, 104948.73)]
+    counts = spark.createDataFrame(rows, "k string, value double, cnt long")
+    got = Q.quantiles(counts, ["k"], [i / 10 for i in range(11)]).collect()
+    assert len(got) == len(rows)
+    assert {x["k"]: set(x["q"]) for x in got} == {k: {v} for k, v, _ in rows}
+
+
 def test_ranks_outside_are_null(spark):
     counts = spark.createDataFrame([("x", 1.0, 2), ("x", 4.0, 1)], "k string, value double, cnt long")
     r = Q.at_ranks(counts, ["k"], [lambda n: F.lit(-1), lambda n: n - 1, lambda n: n]).first()
