@@ -44,8 +44,8 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    fitted = toxicity.train(docs, labels.where(learnable()))
-    return (toxicity.score(docs, fitted)
+    fitted, scores = toxicity.train(docs, labels.where(learnable()))
+    return (toxicity.judged(scores, fitted)
             .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
                     "lang_threshold", "flagged"))
 

@@ -20,9 +20,9 @@ import re
 import zlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .common import doc_input
+from .common import materialize
 
 BUCKETS = 1 << 16
 DIM = 16
@@ -268,16 +268,20 @@ def score_texts(model: Model, texts, cache: dict | None = None):
 
 @dataclass
 class Toxicity:
-    """A fitted classifier and its thresholds: {language or None: threshold}."""
+    """A fitted classifier, its threshold for all languages, and the table
+    (of_lang, own_threshold) of the languages with one of their own."""
 
     model: Model
-    thresholds: dict
+    base: float
+    by_lang: DataFrame
 
-    def threshold(self, lang: Column) -> Column:
-        known = [x for lang_, t in sorted((k, v) for k, v in self.thresholds.items() if k is not None)
-                 for x in (F.lit(lang_), F.lit(float(t)))]
-        base = F.lit(float(self.thresholds[None]))
-        return F.coalesce(F.element_at(F.create_map(*known), lang), base) if known else base
+    def with_threshold(self, rows: DataFrame, lang: str = "lang") -> DataFrame:
+        """``rows`` and the column lang_threshold.  The table has one row per
+        language with enough labelled documents; Spark broadcasts it where its
+        size is small."""
+        own = self.by_lang
+        return (rows.join(own, rows[lang] == own["of_lang"], "left")
+                .withColumn("lang_threshold", F.coalesce("own_threshold", F.lit(self.base))).drop("of_lang", "own_threshold"))
 
 
 def f1_threshold(scores, labels, weights=None) -> float:
@@ -296,50 +300,57 @@ def f1_threshold(scores, labels, weights=None) -> float:
     f1[:-1][s[:-1] == s[1:]] = -1
     k = int(f1.argmax())
     below = s[k + 1] if k + 1 < len(s) else 0.0
-    return float(np.clip((s[k] + below) / 2, 0.2, 0.8))
+    return float((s[k] + below) / 2)
 
 
-def held_counts(rows: DataFrame, model: Model) -> DataFrame:
-    """lang, label, score (to four places), count: at most 20,002 rows a language."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)   # fixed size: BUCKETS x DIM floats
+def score_table(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text",
+                lang_col: str | None = "lang") -> DataFrame:
+    """doc_id, lang, score of every row, written as a narrow table.
+
+    Texts are scored where they lie; whatever is joined or grouped later are
+    these rows.
+    """
+    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), lang.alias("lang"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    sent = docs.sparkSession.sparkContext.broadcast(model)   # fixed size: BUCKETS x DIM floats
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         cache: dict = {}
         for b in batches:
-            s = np.round(score_texts(sent.value, b.column(2).to_pylist(), cache), 4)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], names=["lang", "label", "score"])
+            s = score_texts(sent.value, b.column(2).to_pylist(), cache)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64())], names=["doc_id", "lang", "score"])
 
-    scored = rows.select(F.coalesce("lang", F.lit("")).alias("lang"), "label", "text")
-    return scored.mapInArrow(run, "lang string, label int, score double").groupBy("lang", "label", "score").count()
+    return materialize(rows.mapInArrow(run, "doc_id long, lang string, score double"), "scores")
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str | None = "lang", label_col: str = "toxic", max_rows: int = MAX_TRAIN_ROWS,
-          max_chars: int = MAX_TRAIN_CHARS, min_lang_rows: int = 20) -> Toxicity:
-    """Fit on at most ``max_rows`` labelled documents, half of either label.
-
-    ``labels`` holds the rows that may be learned from.  The sample is the
-    rows with the smallest hash of the id, so it does not depend on the
-    partitioning.  For the thresholds a fifth of it is kept from a first fit,
-    which scores the whole texts of all labelled rows that it did not use;
-    their counts by score are weighted to the class shares of all labelled rows.
+def labelled(labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
+    """(doc_id, label) of the rows with an id and a label 0 or 1."""
+    ids = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+    return ids.where("doc_id IS NOT NULL AND label IN (0, 1)")
+
+
+def fit_sample(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+               max_rows: int = MAX_TRAIN_ROWS, max_chars: int = MAX_TRAIN_CHARS) -> tuple[Model, list]:
+    """The classifier and the (doc_id, label) rows it was fitted on.
+
+    The sample is at most ``max_rows`` labelled documents, half of either
+    label, with the smallest hash of the id, so it does not depend on the
+    partitioning; a fifth of it is left out of the fit.
     """
     import numpy as np
 
-    ids = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-    ids = ids.where("doc_id IS NOT NULL AND label IN (0, 1)")
+    ids = labelled(labels, id_col=id_col, label_col=label_col)
     counts = dict(ids.groupBy("label").count().collect())
     if len(counts) < 2:
-        return Toxicity(empty_model(), {None: 0.5})
+        return empty_model(), []
     mixed = F.xxhash64("doc_id")
     half = max_rows // 2
     sample = (ids.where("label = 1").orderBy(mixed, "doc_id").limit(half)
               .unionByName(ids.where("label = 0").orderBy(mixed, "doc_id").limit(max_rows - min(half, counts[1]))))
-    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), lang.alias("lang"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = (texts.where(F.length("text") <= max_chars)
             .join(F.broadcast(sample), "doc_id"))        # at most max_rows rows of two numbers
 
@@ -348,63 +359,98 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
         for b in batches:
             packed = [np.array([word_buckets(w) for w in words(t.as_py())], np.int32).tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(packed, pa.binary())],
-                                             names=["doc_id", "lang", "label", "buckets"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(packed, pa.binary())],
+                                             names=["doc_id", "label", "buckets"])
 
-    got = rows.mapInArrow(run, "doc_id long, lang string, label int, buckets binary").collect()
-    got.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.label))
+    got = rows.mapInArrow(run, "doc_id long, label int, buckets binary").collect()
+    got.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.label, bytes(r.buckets)))
+    got = [r for i, r in enumerate(got) if i % 5 != 4]
     xs = [np.frombuffer(r.buckets, np.int32).reshape(-1, 2) for r in got]
-    ys = np.array([r.label for r in got])
-    prior = counts[1] / (counts[0] + counts[1])
-    held = np.arange(len(got)) % 5 == 4
-    base = fit([x for x, h in zip(xs, held) if not h], ys[~held], prior=prior)
-    model = fit(xs, ys, prior=prior)
-    thresholds: dict = {None: 0.5}
-    if base.ready:
-        fitted = [(r.doc_id, r.lang or "", r.label) for r, h in zip(got, held) if not h]
-        used = docs.sparkSession.createDataFrame([(d,) for d, _, _ in fitted], "doc_id long")
-        rest = texts.join(ids, "doc_id").join(F.broadcast(used), "doc_id", "left_anti")      # at most max_rows numbers
-        cells = [(r.lang, r.label, r.score, r["count"]) for r in held_counts(rest, base).collect()]
-        langs = sorted({c[0] for c in cells} - {""})
-        for name in [None, *langs]:
-            mine = [c for c in cells if name is None or c[0] == name]
-            have = {y: sum(n for _, label, _, n in mine if label == y) for y in (0, 1)}
-            if not all(have.values()) or name is not None and sum(have.values()) < min_lang_rows:
-                continue
-            seen = {y: sum(label == y and name in (None, l) for _, l, label in fitted) for y in (0, 1)}
-            thresholds[name] = f1_threshold([c[2] for c in mine], [c[1] for c in mine],
-                                            [c[3] * (1 + seen[c[1]] / have[c[1]]) for c in mine])
-    return Toxicity(model, thresholds)
+    ys = np.array([r.label for r in got], int)
+    return fit(xs, ys, prior=counts[1] / (counts[0] + counts[1])), [(r.doc_id, r.label) for r in got]
 
 
-def score(docs: DataFrame, fitted: Toxicity, *, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str | None = "lang") -> DataFrame:
-    """doc_id, score, lang_threshold, flagged (score >= the language's threshold)."""
-    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-                       fitted.threshold(lang).alias("lang_threshold"))
-    model = docs.sparkSession.sparkContext.broadcast(fitted.model)   # fixed size: BUCKETS x DIM floats
+def calibrate(scores: DataFrame, labels: DataFrame, used: list, *, id_col: str = "doc_id", label_col: str = "toxic",
+              min_lang_rows: int = 20) -> tuple[float, DataFrame]:
+    """The best threshold over all languages, and (of_lang, own_threshold).
 
-    def run(batches):
-        import pyarrow as pa
+    Rests on the scores of all labelled rows but the ``used`` ones, weighted to
+    the class shares of all labelled rows.  A language needs ``min_lang_rows``
+    of them, of both labels.  Each language's cut is found by one task from
+    its counts per score (to four places): at most 20,002 rows a language.
+    """
+    spark = scores.sparkSession
+    fitted = spark.createDataFrame(used, "doc_id long, label int")              # at most max_rows rows of two numbers
+    ids = labelled(labels, id_col=id_col, label_col=label_col)
+    rows = scores.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.round("score", 4).alias("score"))
+    rows = rows.join(ids, "doc_id")
+    gone = F.broadcast(fitted.select("doc_id").distinct())
+    fresh = rows.join(gone, "doc_id", "left_anti").groupBy("lang", "label", "score").agg(F.count(F.lit(1)).alias("n"))
+    seen = rows.join(gone, "doc_id", "left_semi").groupBy("lang", "label").agg(F.count(F.lit(1)).alias("seen"))
+    cells = fresh.select("lang", "label", "score", "n", F.lit(0).cast("long").alias("seen")).unionByName(
+        seen.select("lang", "label", F.lit(None).cast("double").alias("score"), F.lit(0).cast("long").alias("n"), "seen"))
+    cells = materialize(cells, "score-counts")
+
+    def cut(frame, least):
+        got = frame[frame.n > 0]
+        have = got.groupby("label").n.sum()
+        if len(have) < 2 or have.sum() < least:
+            return None
+        share = 1 + frame.groupby("label").seen.sum().reindex(have.index, fill_value=0) / have
+        return f1_threshold(got.score, got.label, got.n * got.label.map(share))
+
+    def one(frame):
+        import pandas as pd
+
+        t = cut(frame, min_lang_rows)
+        return pd.DataFrame({"of_lang": frame.lang.iloc[:1], "own_threshold": [t]})
+
+    whole = cells.groupBy("label", "score").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")).toPandas()    # scores have four places
+    base = cut(whole, 0)
+    own = cells.where("lang <> ''").groupBy("lang").applyInPandas(one, "of_lang string, own_threshold double")
+    own = materialize(own.where("own_threshold IS NOT NULL"), "thresholds")
+    return 0.5 if base is None else base, own
 
-        cache: dict = {}
-        for b in batches:
-            s = score_texts(model.value, b.column(1).to_pylist(), cache)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), b.column(2)],
-                                             names=["doc_id", "score", "lang_threshold"])
 
-    out = rows.mapInArrow(run, "doc_id long, score double, lang_threshold double")
-    return out.withColumn("flagged", F.col("score") >= F.col("lang_threshold"))
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+          lang_col: str | None = "lang", label_col: str = "toxic", max_rows: int = MAX_TRAIN_ROWS,
+          max_chars: int = MAX_TRAIN_CHARS, min_lang_rows: int = 20) -> tuple[Toxicity, DataFrame]:
+    """Fit and calibrate on ``labels``, the rows that may be learned from.
+
+    Returns the classifier and the table (doc_id, lang, score) of ``docs``, so
+    that a caller who wants scores does not pass over the texts again.
+    """
+    model, used = fit_sample(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, max_rows=max_rows, max_chars=max_chars)
+    scores = score_table(docs, model, id_col=id_col, text_col=text_col, lang_col=lang_col)
+    base, by_lang = calibrate(scores, labels, used, id_col=id_col, label_col=label_col, min_lang_rows=min_lang_rows)
+    return Toxicity(model, base, by_lang), scores
+
+
+def judged(scores: DataFrame, fitted: Toxicity) -> DataFrame:
+    """doc_id, score, lang_threshold, flagged (score >= the language's threshold)."""
+    rows = fitted.with_threshold(scores)
+    return rows.select("doc_id", "score", "lang_threshold", (F.col("score") >= F.col("lang_threshold")).alias("flagged"))
+
+
+def score(docs: DataFrame, fitted: Toxicity, *, id_col: str = "doc_id", text_col: str = "text",
+          lang_col: str | None = "lang") -> DataFrame:
+    """:func:`judged` for any documents."""
+    return judged(score_table(docs, fitted.model, id_col=id_col, text_col=text_col, lang_col=lang_col), fitted)
 
 
 def reject(docs: DataFrame, fitted: Toxicity, *, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """``docs``, all columns, without the documents whose score reaches the
-    threshold of their language."""
-    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
+    threshold of their language.
+
+    Scores the texts again where they lie: a join with the table of scores
+    would move every text.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text_col)
+    lang = F.col(names[docs.columns.index(lang_col)]).cast("string") if lang_col else F.lit(None).cast("string")
+    rows = fitted.with_threshold(docs.toDF(*names).withColumn("lang", lang)).drop("lang")
     model = docs.sparkSession.sparkContext.broadcast(fitted.model)   # fixed size: BUCKETS x DIM floats
+    schema = docs.schema
 
     def run(batches):
         import numpy as np
@@ -414,7 +460,7 @@ def reject(docs: DataFrame, fitted: Toxicity, *, text_col: str = "text", lang_co
         for b in batches:
             s = score_texts(model.value, [t or "" for t in b.column(at).to_pylist()], cache)
             limit = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
-            keep = pa.array(np.asarray(s < limit, bool))
-            yield b.filter(keep).select(list(range(b.num_columns - 1)))
+            kept = b.filter(pa.array(np.asarray(s < limit, bool))).select(list(range(b.num_columns - 1)))
+            yield kept.rename_columns(schema.names)
 
-    return docs.select("*", fitted.threshold(lang).alias("__threshold")).mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, schema)

@@ -45,7 +45,7 @@ def brute_lines(data):
 def test_stages(spark, corpus):
     root, _ = corpus
     docs = spark.read.parquet(f"{root}/documents.parquet")
-    fitted = toxicity.train(docs, spark.read.parquet(f"{root}/labels.parquet").where(learnable()))
+    fitted, _ = toxicity.train(docs, spark.read.parquet(f"{root}/labels.parquet").where(learnable()))
     judged = {r.doc_id: r.flagged for r in toxicity.score(docs, fitted).collect()}
     assert 5 < sum(judged.values()) < 60
 

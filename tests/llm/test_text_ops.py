@@ -1,5 +1,6 @@
 """Toxicity, pieces, packing, licenses, personal data and top-k."""
 
+import os
 import re
 import zlib
 
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabforge.llm import licenses, packing, pii, sentencepieces, topk, toxicity
+from tabforge.llm import licenses, packing, pii, queries, sentencepieces, topk, toxicity
 from tabforge.llm.queries import tokenizer
 
 from .corpus import TEXTS, frame, rows
@@ -29,11 +30,11 @@ def test_toxicity_learns_and_holds_out(spark):
         ys.append(int(i % 4 == 0))
     docs = frame(spark, texts)
     labels = spark.createDataFrame([(i * 3 + 1, y) for i, y in enumerate(ys)], "doc_id long, toxic int")
-    fitted = toxicity.train(docs, labels.where("doc_id < 900"), min_lang_rows=10)
+    fitted, _ = toxicity.train(docs, labels.where("doc_id < 900"), min_lang_rows=8)
     got = {x.doc_id: x for x in toxicity.score(docs, fitted).collect()}
     held = [i for i in range(300, 400)]
     assert np.mean([(got[i * 3 + 1].score >= 0.5) == ys[i] for i in held]) >= 0.95
-    assert set(fitted.thresholds) >= {None, "en", "fr"}
+    assert {x.of_lang for x in fitted.by_lang.collect()} == {"en", "fr"}
     kept = toxicity.reject(docs, fitted)
     assert kept.columns == docs.columns
     assert {x.doc_id for x in kept.collect()} == {i for i, x in got.items() if not x.flagged}
@@ -42,11 +43,11 @@ def test_toxicity_learns_and_holds_out(spark):
 def test_toxicity_edge_cases(spark):
     docs = frame(spark, repeat=True, with_null_id=True)
     none = spark.createDataFrame([], "doc_id long, toxic int")
-    fitted = toxicity.train(docs, none)
-    got = toxicity.score(docs, fitted).collect()
+    fitted, scores = toxicity.train(docs, none)
+    got = toxicity.judged(scores, fitted).collect()
     assert len(got) == len(TEXTS) + 9 and {x.score for x in got} == {0.0} and not any(x.flagged for x in got)
     one = spark.createDataFrame([(i * 3 + 1, int(i % 3 == 0)) for i in range(30)] + [(None, 1), (4, None)], "doc_id long, toxic int")
-    fitted = toxicity.train(docs, one)
+    fitted, _ = toxicity.train(docs, one)
     scores = {x.doc_id: x.score for x in toxicity.score(docs, fitted).collect()}
     assert all(0 <= s <= 1 for s in scores.values())
     assert toxicity.score(docs.limit(0), fitted).count() == 0
@@ -185,12 +186,46 @@ def test_thresholds_use_all_labelled_rows(spark):
              + (" filler" * 300 if i % 20 == 7 else ""), "xx" if i % 20 == 7 or i % 20 == 9 else "en", int(i % 3 == 0)) for i in range(600)]
     docs = spark.createDataFrame([x[:3] for x in data], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(x[0], x[3]) for x in data], "doc_id long, toxic int")
-    fitted = toxicity.train(docs, labels, max_rows=60, max_chars=1000)
-    assert set(fitted.thresholds) == {None, "en", "xx"}
+    model, used = toxicity.fit_sample(docs, labels, max_rows=60, max_chars=1000)
+    scores = toxicity.score_table(docs, model)
+    base, by_lang = toxicity.calibrate(scores, labels, used)
+    # the same thresholds from all unused labelled rows, each standing for its share of its class
+    label, seen = {x[0]: x[3] for x in data}, {i for i, _ in used}
+    rows = [(x.doc_id, x.lang, round(x.score, 4)) for x in scores.collect()]
+
+    def slow(lang=None):
+        mine = [(s, label[i], i in seen) for i, l, s in rows if lang in (None, l)]
+        weight = {y: sum(m[1] == y for m in mine) / sum(m[1] == y and not m[2] for m in mine) for y in (0, 1)}
+        fresh = sorted({m[0] for m in mine if not m[2]})
+
+        def f1(cut):
+            tp = sum(weight[1] for s, y, u in mine if not u and y and s >= cut)
+            return 2 * tp / (sum(weight[y] for s, y, u in mine if not u and s >= cut) + sum(weight[1] for _, y, u in mine if not u and y))
+        best = max(fresh, key=lambda c: (round(f1(c), 12), c))
+        below = [s for s in fresh if s < best]
+        return (best + (below[-1] if below else 0.0)) / 2
+
+    assert base == pytest.approx(slow())
+    got = {x.of_lang: x.own_threshold for x in by_lang.collect()}
+    assert set(got) == {"en", "xx"}
+    assert all(got[k] == pytest.approx(slow(k)) for k in got)
     # a weighted row counts as often as its weight says
     assert toxicity.f1_threshold([0.7, 0.5, 0.3], [1, 0, 1], [1, 9, 1]) == toxicity.f1_threshold([0.7] + [0.5] * 9 + [0.3], [1] + [0] * 9 + [1])
 
 
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_toxicity_query_on_held_out_labels(spark):
+    got = queries.op3_toxicity(spark, SF).where("held_out").select("doc_id", "score")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where("toxic IS NOT NULL").select("doc_id", "toxic")
+    rows = [(x.score, x.toxic) for x in got.join(labels, "doc_id").collect()]
+    good, bad = ([s for s, y in rows if y == k] for k in (1, 0))
+    auc = sum((g > b) + (g == b) / 2 for g in good for b in bad) / (len(good) * len(bad))
+    assert auc >= 0.85
+
+
 # --- licenses ---------------------------------------------------------------
 
 def base_words(text):
