@@ -35,7 +35,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Fit on the labelled documents of the table, reject the toxic ones of ``docs``."""
     labels = table(spark, sf_dir, "labels").where(learnable())
     lang = "lang" if "lang" in docs.columns else None
-    fitted = toxicity.train(docs, labels, lang_col=lang)
+    fitted, _ = toxicity.train(docs, labels, lang_col=lang)
     return toxicity.reject(docs, fitted, lang_col=lang)
 
 
