@@ -21,7 +21,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, f"llm/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of :func:`materialize` that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def doc_input(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, licenses, line_dedup, packing, passage_dedup, pii, sentencepieces, simhash, topk, toxicity
+from . import (chosen_path, collocations, exact_dedup, licenses, line_dedup, packing, passage_dedup, pii, sentencepieces,
+               simhash, topk, toxicity, vector_codes)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +145,71 @@ ranked AS (
   SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT COALESCE(lang, 'und') AS lang, UNNEST(regexp_split_to_array(
+    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (SELECT lang, t.n, array_to_string(list_slice(w, i, i + t.n - 1), ' ') AS phrase
+  FROM (SELECT lang, w, t.n, UNNEST(range(1, CAST(len(w) - t.n + 2 AS BIGINT))) AS i FROM worded, (VALUES (1), (2), (3)) t(n) WHERE len(w) >= t.n) t),
+f AS MATERIALIZED (SELECT lang, n, phrase, COUNT(*) AS f FROM grams GROUP BY lang, n, phrase),
+total AS (SELECT lang, CAST(SUM(f) AS BIGINT) AS n FROM f WHERE n = 1 GROUP BY lang),
+cand AS (SELECT lang, n, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE n > 1 AND f >= 10),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') AS x, array_to_string(list_slice(w, k + 1, n), ' ') AS y
+  FROM (SELECT *, UNNEST(range(1, n)) AS k FROM cand)),
+cut AS (SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r,
+  CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.x JOIN f r ON r.lang = c.lang AND r.phrase = c.y),
+best AS (SELECT * FROM cut QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+holders AS (SELECT lang, part, MAX(a) AS longer FROM (
+  SELECT lang, a, array_to_string(list_slice(w, i, i + 1), ' ') AS part FROM (SELECT *, UNNEST([1, 2]) AS i FROM cand WHERE n = 3)) GROUP BY lang, part),
+kept AS (SELECT b.* FROM best b LEFT JOIN holders h ON b.lang = h.lang AND b.phrase = h.part WHERE h.longer IS NULL OR 100 * h.longer < 50 * b.a),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, total.n AS n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@query
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = "" if books is None else vector_codes.books_digest(books)
+    return vector_codes.with_label_error(codes).select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def _codes_sql() -> str:
+    p, k, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    ctes = [f"""v AS MATERIALIZED (SELECT vec_id, label,
+  list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+            f"""parts AS MATERIALIZED (SELECT v.vec_id, v.label, t.p AS p, list_slice(e, t.p * len(e) // {p} + 1, (t.p + 1) * len(e) // {p}) AS x
+  FROM v, range({p}) t(p))""",
+            f"""b0 AS MATERIALIZED (SELECT p, i, x FROM (SELECT p, x, ROW_NUMBER() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS i FROM parts) WHERE i < {k})"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, ANY_VALUE(label) AS label, p, ANY_VALUE(x) AS x, MIN(d * {k} + i) % {k} AS i, MIN(d) AS d FROM (
+  SELECT parts.vec_id, parts.label, parts.p, parts.x, b.i,
+    CAST(list_sum(list_transform(list_zip(parts.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+  FROM parts JOIN b{r} b ON parts.p = b.p) GROUP BY vec_id, p)""")
+        if r < rounds:
+            ctes.append(f"""m{r} AS MATERIALIZED (SELECT p, i, list((s - ((s % n) + n) % n) // n ORDER BY j) AS x FROM (
+  SELECT p, i, j, SUM(c) AS s, COUNT(*) AS n FROM (SELECT p, i, UNNEST(x) AS c, generate_subscripts(x, 1) AS j FROM a{r}) GROUP BY p, i, j) GROUP BY p, i)""")
+            ctes.append(f"""b{r + 1} AS MATERIALIZED (SELECT b.p, b.i, COALESCE(CAST(m.x AS BIGINT[]), b.x) AS x FROM b{r} b LEFT JOIN m{r} m ON b.p = m.p AND b.i = m.i)""")
+    return f"""WITH {", ".join(ctes)},
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, i)) AS h FROM b{rounds}),
+coded AS (SELECT vec_id, ANY_VALUE(label) AS label, string_agg(printf('%02x', CAST(i AS INTEGER)), '' ORDER BY p) AS code, CAST(SUM(d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT h FROM digest) AS codebooks_sha256 FROM coded"""
+
+
+ORACLE["op13_vector_codes"] = _codes_sql()
