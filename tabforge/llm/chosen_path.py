@@ -280,9 +280,12 @@ def across(sizes, rows, loose, part, percent: int, least: int, confirm=None):
     return out
 
 
-def per_unit(rows: DataFrame, handle) -> DataFrame:
-    """(a, b) of ``handle({column: arrow array}) -> [(node, node)]``, which gets
-    whole units of ``rows`` (unit, node, ...), dealt and sorted by unit."""
+def per_unit(rows: DataFrame, pairs_of, whole: str | None = None) -> DataFrame:
+    """(a, b), the nodes of ``pairs_of({column: arrow array}) -> [(row, row)]``,
+    which gets whole units of ``rows`` (unit, node, ...), dealt and sorted by unit.
+
+    With ``whole``, a column of the rows, it gives (that column, node, part) for
+    every row instead: ``part`` is the smallest node of its unit that the pairs connect it to."""
     dealt = rows.repartition("unit").sortWithinPartitions("unit")
 
     def run(batches):
@@ -291,9 +294,18 @@ def per_unit(rows: DataFrame, handle) -> DataFrame:
 
         def done(parts):
             t = pa.Table.from_batches(parts)
-            pairs = handle({c: t.column(c) for c in t.column_names})
-            a, b = ([p[i] for p in pairs] for i in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            pairs = pairs_of({c: t.column(c) for c in t.column_names})
+            node = t.column("node").to_numpy()
+            if whole is None:
+                a, b = ([node[p[i]] for p in pairs] for i in (0, 1))
+                return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            sets = Sets(len(node))
+            for i, j in pairs:
+                sets.join(i, j)
+            top = np.array([sets.top(i) for i in range(len(node))], np.int64)
+            low = np.full(len(node), np.iinfo(np.int64).max)
+            np.minimum.at(low, top, node)
+            return pa.RecordBatch.from_arrays([t.column(whole).combine_chunks(), pa.array(node), pa.array(low[top])], names=[whole, "node", "part"])
 
         held = []                                   # the last unit seen may go on in the next batch
         for batch in batches:
@@ -301,15 +313,15 @@ def per_unit(rows: DataFrame, handle) -> DataFrame:
                 continue
             unit = batch.column(0).to_numpy()
             change = np.flatnonzero(unit[1:] != unit[:-1])
-            whole = int(change[-1]) + 1 if len(change) else 0
-            if whole or held and held[-1].column(0)[-1].as_py() != unit[0]:
-                yield done([*held, batch.slice(0, whole)])
+            whole_ = int(change[-1]) + 1 if len(change) else 0
+            if whole_ or held and held[-1].column(0)[-1].as_py() != unit[0]:
+                yield done([*held, batch.slice(0, whole_)])
                 held = []
-            held.append(batch.slice(whole))
+            held.append(batch.slice(whole_))
         if held:
             yield done(held)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long" if whole is None else f"{whole} long, node long, part long")
 
 
 def _matrix(column, width: int):
@@ -324,57 +336,60 @@ def _edges_of(unit):
     return np.append(np.flatnonzero(np.append(True, unit[1:] != unit[:-1])), len(unit)).tolist()
 
 
-def linked(rows: DataFrame, whole, cross, *, small: int, limit: int) -> DataFrame:
+def linked(rows: DataFrame, pairs_of, across_of, *, small: int, limit: int) -> DataFrame:
     """(a, b) that connect all links inside the units of ``rows`` (unit, node,
     weight, ...), a written table.
 
-    ``whole(columns)`` gives forests of whole units, ``cross(columns)`` what
-    connects the rows marked ``loose`` with the others of their units that have
-    another ``part``.  Units above ``small`` rows or ``limit`` of weight go the
-    way of blocks."""
-    crowd = rows.groupBy("unit").agg(F.count("*").alias("c"), F.sum("weight").alias("w")).where((F.col("c") > small) | (F.col("w") > limit))
-    crowd = materialize(crowd.select(F.col("unit").alias("of_unit"), F.greatest(F.ceil(F.col("c") / small), F.ceil(F.col("w") / limit)).cast("int").alias("blocks")), "crowds")
-    if crowd.isEmpty():
-        return per_unit(rows, whole)
-    in_crowd = F.col("unit") == F.col("of_unit")
-    edges = materialize(per_unit(rows.join(crowd, in_crowd, "left_anti"), whole), "links")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    mine = materialize(rows.join(crowd, in_crowd).drop("of_unit").withColumn("block", block), "crowd-members")
+    ``pairs_of(columns)`` gives forests of whole units, as pairs of rows, and
+    ``across_of(columns)`` what connects the rows marked ``loose`` with others of
+    their units that have another ``part``.  Units above ``small`` rows or
+    ``limit`` of weight go the way of blocks."""
+    crowds = rows.groupBy("unit").agg(F.count("*").alias("c"), F.sum("weight").alias("w")).where((F.col("c") > small) | (F.col("w") > limit))
+    blocks = F.greatest(F.ceil(F.col("c") / small), F.ceil(F.col("w") / limit)).cast("int")
+    crowds = materialize(crowds.select(F.col("unit").alias("crowd"), blocks.alias("blocks")), "crowds")
+    if crowds.isEmpty():
+        return per_unit(rows, pairs_of)
+    edges = per_unit(rows.join(crowds, F.col("unit") == F.col("crowd"), "left_anti"), pairs_of)
+    mine = rows.join(crowds, F.col("unit") == F.col("crowd")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    mine = materialize(mine.drop("unit"), "crowd-members")
     payload = [c for c in rows.columns if c != "unit"]
 
-    def dealt(df, *key):
-        return df.select(F.xxhash64(*key).alias("unit"), *payload)
+    def parts_of(df, *key):
+        """(crowd, node, part) of rows that meet where ``key`` is equal."""
+        return per_unit(df.select(F.xxhash64("crowd", *key).alias("unit"), "crowd", *payload), pairs_of, "crowd")
 
-    edges = materialize(edges.unionByName(per_unit(dealt(mine, "unit", "block"), whole)), "links")
+    parts = materialize(parts_of(mine, F.lit("block"), "block"), "crowd-parts")
     before = None
     while True:
-        parts = components(edges).select(F.col("node").alias("of_node"), "component")
-        named = mine.join(parts, F.col("node") == F.col("of_node"), "left").drop("of_node")
-        named = materialize(named.withColumn("part", F.coalesce("component", "node")).drop("component"), "crowd-parts")
-        heads = named.groupBy("unit", "part").agg(F.min("node").alias("head"))
-        n_heads = heads.groupBy("unit").agg(F.count("*").alias("h"))
-        counted = materialize(heads.join(n_heads.where("h > 1").withColumnRenamed("unit", "of_unit"), in_crowd).drop("of_unit"), "crowd-heads")
-        now = counted.count()
-        if now == 0 or before is not None and 2 * now > before:
+        heads = parts.groupBy("crowd", "part").agg(F.count("*").alias("size"))
+        sizes = heads.groupBy("crowd").agg(F.count("*").alias("h"), F.sum("size").alias("all"), F.max(F.struct("size", "part")).alias("top"))
+        sizes = materialize(sizes.where("h > 1").select(F.col("crowd").alias("c"), "h", "all", "top"), "crowd-sizes")
+        now = sizes.agg(F.sum("h")).first()[0]                       # one number
+        if now is None or before is not None and 2 * now > before:
             break
         before = now
-        on = (F.col("unit") == F.col("h_unit")) & (F.col("node") == F.col("head"))
-        met = mine.join(counted.withColumnRenamed("unit", "h_unit").drop("part"), on)
-        deal = F.pmod(F.xxhash64("node", F.lit(now)), F.ceil(F.col("h") / small)).cast("int")
-        edges = materialize(edges.unionByName(per_unit(dealt(met.withColumn("deal", deal), "unit", F.lit("heads"), "deal"), whole)), "links")
-    if now == 0:
+        # one member of every part meets the others
+        chosen = heads.join(sizes.select("c", "h", "all"), F.col("crowd") == F.col("c")).select("c", F.col("part").alias("head"), "h", "all")
+        met = mine.join(chosen, (F.col("crowd") == F.col("c")) & (F.col("node") == F.col("head")))
+        met = met.withColumn("deal", F.pmod(F.xxhash64("node", F.lit(now)), F.ceil(F.col("h") * F.col("blocks") / F.col("all"))).cast("int"))
+        joined = parts_of(met, F.lit("heads"), "deal").toDF("c", "head", "now")
+        joined = materialize(joined, "crowd-heads")
+        parts = parts.join(joined, (F.col("crowd") == F.col("c")) & (F.col("part") == F.col("head")), "left")
+        parts = materialize(parts.select("crowd", "node", F.coalesce("now", "part").alias("part")), "crowd-parts")
+    edges = edges.unionByName(parts.where("node <> part").select(F.col("part").alias("a"), F.col("node").alias("b")))
+    if now is None:
         return edges
     # the largest part of a crowd is done: what lies outside meets every block
-    counts = named.groupBy("unit", "part").count().groupBy("unit").agg(F.max(F.struct("count", "part")).alias("top"), F.sum("count").alias("all"))
-    top = counts.select(F.col("unit").alias("of_unit"), F.col("top.part").alias("top"), F.ceil((F.col("all") - F.col("top.count")) / small).cast("int").alias("deals"))
-    named = named.join(materialize(top.where("deals > 0"), "largest-parts"), in_crowd).drop("of_unit")
-    loose = named.where("part <> top")
+    top = sizes.select("c", F.col("top.part").alias("top"), F.col("top.size").alias("done"), "all")
+    named = mine.join(parts.toDF("p_crowd", "p_node", "part"), (F.col("crowd") == F.col("p_crowd")) & (F.col("node") == F.col("p_node")))
+    # as many rows to a table as to a block
+    named = named.join(top, F.col("crowd") == F.col("c")).withColumn("deals", F.ceil((F.col("all") - F.col("done")) * F.col("blocks") / F.col("all")).cast("int"))
     deal = F.pmod(F.xxhash64(F.lit("loose"), "node"), F.col("deals")).cast("int")
     keep = [*payload, "part"]
-    sitting = named.select("unit", "block", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), *keep, F.lit(False).alias("loose"))
-    moving = loose.select("unit", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), deal.alias("deal"), *keep, F.lit(True).alias("loose"))
-    tables = sitting.unionByName(moving).select(F.xxhash64("unit", "block", "deal").alias("unit"), *keep, "loose")
-    return edges.unionByName(per_unit(tables, cross))
+    sitting = named.select("crowd", "block", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"), *keep, F.lit(False).alias("loose"))
+    moving = named.where("part <> top").select("crowd", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), deal.alias("deal"), *keep, F.lit(True).alias("loose"))
+    tables = sitting.unionByName(moving).select(F.xxhash64("crowd", "block", "deal").alias("unit"), *keep, "loose")
+    return edges.unionByName(per_unit(tables, across_of))
 
 
 def candidate_edges(nodes: DataFrame, *, percent: int, row: int, small: int, miss: float) -> DataFrame:
@@ -397,22 +412,22 @@ def candidate_edges(nodes: DataFrame, *, percent: int, row: int, small: int, mis
     units = materialize(units, "path-units")
 
     def whole(cols):
-        return candidates(cols["unit"].to_numpy(), cols["node"].to_numpy(), cols["size"].to_numpy(), _matrix(cols["marks"], row), percent, least)
+        return candidates(cols["unit"].to_numpy(), cols["size"].to_numpy(), _matrix(cols["marks"], row), percent, least)
 
     def cross(cols):
-        unit, node, size, part = (cols[c].to_numpy() for c in ("unit", "node", "size", "part"))
+        unit, size, part = (cols[c].to_numpy() for c in ("unit", "size", "part"))
         loose, marks = cols["loose"].to_numpy(), _matrix(cols["marks"], row)
         out, at = [], _edges_of(unit)
         for lo, hi in zip(at, at[1:]):
             found = across(size[lo:hi], marks[lo:hi], loose[lo:hi], part[lo:hi], percent, least)
-            out += [(node[lo + i], node[lo + j]) for i, j in found]
+            out += [(lo + i, lo + j) for i, j in found]
         return out
 
     return linked(units, whole, cross, small=small, limit=small)
 
 
-def candidates(unit, node, size, marks, percent: int, least: int):
-    """Forests of the candidate pairs of whole units, given one after the other."""
+def candidates(unit, size, marks, percent: int, least: int):
+    """Forests of the candidate pairs of whole units, given one after the other, as row pairs."""
     import numpy as np
 
     out = []
@@ -427,10 +442,10 @@ def candidates(unit, node, size, marks, percent: int, least: int):
             break
         i = i[(100 * size[i] >= percent * size[i + d]) & (100 * size[i + d] >= percent * size[i])]
         i = i[np.count_nonzero(marks[i] == marks[i + d], axis=1) >= least]
-        out += [(node[x], node[x + d]) for x in i.tolist() if sets.join(x, x + d)]
+        out += [(x, x + d) for x in i.tolist() if sets.join(x, x + d)]
     for lo, m in zip(at[:-1][members > FEW].tolist(), members[members > FEW].tolist()):
         found = agreeing(size[lo:lo + m], marks[lo:lo + m], percent, least)
-        out += [(node[lo + i], node[lo + j]) for i, j in found]
+        out += [(lo + i, lo + j) for i, j in found]
     return out
 
 
@@ -450,8 +465,8 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, *, id_
         import numpy as np
 
         hashes = WordHashes()
-        unit, node, marks = cols["unit"].to_numpy(), cols["node"].to_numpy(), _matrix(cols["marks"], row)
-        out, at = [], _edges_of(unit)
+        marks = _matrix(cols["marks"], row)
+        out, at = [], _edges_of(cols["unit"].to_numpy())
         for lo, hi in zip(at, at[1:]):
             if hi - lo == 1:
                 continue
@@ -469,7 +484,7 @@ def confirmed_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, *, id_
                 return 100 * both >= percent * (sizes[js] + len(s) - both)
 
             found = pairs_of(slice(lo, hi), sizes, marks[lo:hi], confirm)
-            out += [(node[lo + i], node[lo + j]) for i, j in found]
+            out += [(lo + i, lo + j) for i, j in found]
         return out
 
     def whole(cols):
