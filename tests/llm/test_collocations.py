@@ -50,12 +50,11 @@ def made(seed, n=60):
     return out + [None, "", " ", "...", "word", "again and " * 500, "x" * 3000]
 
 
-@pytest.mark.parametrize("modulus,longest,held", [(16, 2000, 300_000), (1, 3, 5), (3, 4, 50)])
-def test_collocations(spark, monkeypatch, modulus, longest, held):
-    monkeypatch.setattr(C, "MODULUS", modulus)
-    monkeypatch.setattr(C, "LONGEST", longest)
-    monkeypatch.setattr(C, "HELD_CHUNKS", held)
-    monkeypatch.setattr(C, "HELD_TOKENS", held)
+@pytest.mark.parametrize("modulus,longest,held,bucket,bits", [(16, 2000, 1 << 24, 4_000_000, 24), (1, 3, 300, 20, 8), (3, 4, 3000, 100, 16)])
+def test_collocations(spark, monkeypatch, modulus, longest, held, bucket, bits):
+    """Also with tiny chunks, blocks and buckets, and with keys that often clash."""
+    for name, value in (("MODULUS", modulus), ("LONGEST", longest), ("HELD_BYTES", held), ("BLOCK_BYTES", held), ("BUCKET", bucket), ("KEY_BITS", bits)):
+        monkeypatch.setattr(C, name, value)
     texts = made(1) + made(1)[:20] + made(2)
     df = frame(spark, texts, repeat=True, with_null_id=True)
     got = {tuple(r) for r in C.collocations(df).collect()}
