@@ -112,3 +112,13 @@ def format_ts(ts) -> Column:
 # E8 --------------------------------------------------------------------------
 def group_key(*cols) -> Column:
     return F.concat_ws("_", *[col_(c).cast("string") for c in cols])
+
+
+def digamma(c) -> Column:
+    """The digamma function for x > 0: its series after ten steps of the recurrence."""
+    x = col_(c).cast("double")
+    y = x + F.lit(10.0)
+    steps = sum(((F.lit(1.0) / (x + F.lit(float(i)))) for i in range(1, 10)), F.lit(1.0) / x)
+    i2 = F.lit(1.0) / (y * y)
+    series = F.log(y) - F.lit(0.5) / y - i2 * (F.lit(1 / 12) - i2 * (F.lit(1 / 120) - i2 * (F.lit(1 / 252) - i2 * F.lit(1 / 240))))
+    return series - steps

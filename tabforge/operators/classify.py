@@ -3,17 +3,17 @@
 Parameter translation from the scikit-learn-style signature:
 * C (inverse regularisation) -> ``regParam = 1 / (C * n_train)``, no
   feature standardisation inside the solver (the inputs are already scaled).
-* trees: depth None -> 30 (Spark's maximum); ``min_samples_split`` has no
-  Spark twin, so ``minInstancesPerNode = max(min_samples_leaf,
-  ceil(min_samples_split / 2))`` (documented approximation).
+* trees: depth None -> 30 (Spark's maximum); ``min_samples_leaf`` is
+  ``minInstancesPerNode``; ``min_samples_split`` has no Spark twin, so the fitted
+  tree's smaller splits are folded into leaves (:func:`trees.fold_splits`), which
+  is the same tree.
 * kernel SVM: Nystroem feature map (landmarks from a key-hash sample,
   bounded) + ``LinearSVC``; probabilities by Platt scaling (a logistic
-  regression on the SVM margin).
+  regression on margins of rows that the scored SVM was not fitted on).
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import metrics as V
-from .common import parallel_map
+from .common import held, parallel_map
 from .split import hash_bucket
+from .trees import fold_splits
 
 MODEL_NAMES = ("logistic_regression", "decision_tree", "random_forest", "svm")
 
@@ -56,26 +57,25 @@ def logistic_regression(n_train: int, C: float = 1.0, penalty: str = "l2", max_i
 
 
 # M3 ------------------------------------------------------------------------
-def min_instances(min_samples_split: int, min_samples_leaf: int) -> int:
-    return max(int(min_samples_leaf), int(math.ceil(min_samples_split / 2)))
+#: Deep trees: rows keep their node (instead of passing every tree again), and
+#: the statistics of many nodes are gathered in one pass.
+DEEP = {"cacheNodeIds": True, "maxMemoryInMB": 1024, "checkpointInterval": 10}
 
 
-def decision_tree(max_depth: int | None = None, min_samples_split: int = 2, min_samples_leaf: int = 1,
-                  criterion: str = "gini", max_bins: int = 64, seed: int = 42,
-                  label: str = "label", features: str = "features") -> DecisionTreeClassifier:
+def decision_tree(max_depth: int | None = None, min_samples_leaf: int = 1, criterion: str = "gini", max_bins: int = 64,
+                  seed: int = 42, label: str = "label", features: str = "features") -> DecisionTreeClassifier:
     return DecisionTreeClassifier(featuresCol=features, labelCol=label, maxDepth=min(max_depth or 30, 30),
-                                  minInstancesPerNode=min_instances(min_samples_split, min_samples_leaf),
-                                  impurity=criterion, maxBins=max_bins, seed=seed)
+                                  minInstancesPerNode=int(min_samples_leaf), impurity=criterion, maxBins=max_bins, seed=seed, **DEEP)
 
 
 # M4 ------------------------------------------------------------------------
-def random_forest(n_estimators: int = 100, max_features: str = "sqrt", max_depth: int | None = None,
-                  min_samples_split: int = 2, min_samples_leaf: int = 1, seed: int = 42, max_bins: int = 64,
+def random_forest(n_estimators: int = 100, max_features: str = "sqrt", max_depth: int | None = None, min_samples_leaf: int = 1,
+                  criterion: str = "gini", bootstrap: bool = True, seed: int = 42, max_bins: int = 64,
                   label: str = "label", features: str = "features") -> RandomForestClassifier:
     return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=n_estimators,
                                   featureSubsetStrategy=max_features, maxDepth=min(max_depth or 30, 30),
-                                  minInstancesPerNode=min_instances(min_samples_split, min_samples_leaf),
-                                  maxBins=max_bins, seed=seed)
+                                  minInstancesPerNode=int(min_samples_leaf), impurity=criterion, bootstrap=bootstrap,
+                                  maxBins=max_bins, seed=seed, **DEEP)
 
 
 # M5 ------------------------------------------------------------------------
@@ -150,20 +150,36 @@ def fit_nystroem(df: DataFrame, key: list[str], kernel: str = "rbf", gamma="scal
 
 def train_svm(df: DataFrame, key: list[str], label: str = "label", kernel: str = "rbf", C: float = 1.0,
               gamma="scale", degree: int = 3, n_landmarks: int = 300, max_iter: int = 200,
-              seed: int = 42, features: str = "features", n_train: int | None = None) -> PipelineModel:
+              seed: int = 42, features: str = "features", n_train: int | None = None, calibration_folds: int = 5,
+              parallelism: int = 4) -> PipelineModel:
     """Kernel map (unless linear) -> LinearSVC -> margin -> Platt scaling.
 
     ``prediction`` is the sign of the SVM margin, ``probability`` the
-    Platt-scaled margin.  All stages can be saved."""
+    Platt-scaled margin.  The scaling is fitted on margins of rows that the SVM
+    giving them was not fitted on (``calibration_folds`` SVMs, one for each part
+    of the keys), as margins of an SVM's own training rows are too sure.  All
+    stages can be saved."""
     n = n_train or df.count()
     stages, feats, x = [], features, df
     if kernel != "linear":
         stages.append(fit_nystroem(df, key, kernel, gamma, degree, n_landmarks, seed, features))
         x, feats = stages[0].transform(df), "kfeatures"
-    svc = LinearSVC(featuresCol=feats, labelCol=label, regParam=1.0 / (C * n), maxIter=max_iter).fit(x)
-    margin = VectorSlicer(inputCol="rawPrediction", outputCol="margin", indices=[1])
-    platt = LogisticRegression(featuresCol="margin", labelCol=label, regParam=0.0, probabilityCol="probability",
-                               predictionCol="platt_prediction", rawPredictionCol="platt_raw").fit(margin.transform(svc.transform(x)))
+    part = (hash_bucket(key, f"{seed}/platt") % calibration_folds).alias("_part")
+    with held(x.select(F.col(feats).alias("kfeatures"), F.col(label).alias(label), part)) as rows:
+        def fit(f):
+            mine = rows if f is None else rows.filter(F.col("_part") != f)
+            count = n if f is None else n * (calibration_folds - 1) / calibration_folds
+            return LinearSVC(featuresCol="kfeatures", labelCol=label, regParam=1.0 / (C * count), maxIter=max_iter).fit(mine)
+
+        svc, *others = parallel_map(fit, [None, *range(calibration_folds)], parallelism)
+        margin = VectorSlicer(inputCol="rawPrediction", outputCol="margin", indices=[1])
+        told = None
+        for f, m in enumerate(others):
+            own = margin.transform(m.transform(rows.filter(F.col("_part") == f))).select("margin", label)
+            told = own if told is None else told.unionByName(own)
+        platt = LogisticRegression(featuresCol="margin", labelCol=label, regParam=0.0, probabilityCol="probability",
+                                   predictionCol="platt_prediction", rawPredictionCol="platt_raw").fit(told)
+    svc.setFeaturesCol(feats)
     return PipelineModel(stages=[*stages, svc, margin, platt])
 
 
@@ -206,14 +222,17 @@ class Trained:
 def fit_model(name: str, train: DataFrame, key: list[str], label: str = "label", n_train: int | None = None,
               **params) -> Trained:
     n = n_train or train.count()
+    settings, split = dict(params), params.get("min_samples_split", 2)
+    if name in ("decision_tree", "random_forest"):
+        settings.pop("min_samples_split", None)
     if name == "logistic_regression":
-        m = logistic_regression(n, label=label, **params).fit(train)
+        m = logistic_regression(n, label=label, **settings).fit(train)
     elif name == "decision_tree":
-        m = decision_tree(label=label, **params).fit(train)
+        m = fold_splits(decision_tree(label=label, **settings).fit(train), split)
     elif name == "random_forest":
-        m = random_forest(label=label, **params).fit(train)
+        m = fold_splits(random_forest(label=label, **settings).fit(train), split)
     elif name == "svm":
-        m = train_svm(train, key, label=label, n_train=n, **params)
+        m = train_svm(train, key, label=label, n_train=n, **settings)
     else:
         raise ValueError(f"unknown model {name!r}")
     return Trained(name, m, params)
@@ -240,14 +259,15 @@ def cross_validate(df: DataFrame, name: str, key: list[str], label: str = "label
     the held-out fold; all fold predictions are unioned and every metric is
     computed per fold in ONE grouped pass.
     Returns (fold, accuracy, precision, recall, f1, roc_auc)."""
-    sizes = {r[0]: r[1] for r in df.groupBy(fold_col).count().collect()}   # k rows
-    n = sum(sizes.values())
+    with held(df) as rows:
+        sizes = {r[0]: r[1] for r in rows.groupBy(fold_col).count().collect()}   # k rows
+        n = sum(sizes.values())
 
-    def fit_fold(f):
-        tr = df.filter(F.col(fold_col) != f)
-        return fit_model(name, tr, key, label, n_train=n - sizes.get(f, 0), **params).model
+        def fit_fold(f):
+            tr = rows.filter(F.col(fold_col) != f)
+            return fit_model(name, tr, key, label, n_train=n - sizes.get(f, 0), **params).model
 
-    models = parallel_map(fit_fold, range(k), parallelism)
+        models = parallel_map(fit_fold, range(k), parallelism)
     preds = [predictions(m, df.filter(F.col(fold_col) == f), label).withColumn("fold", F.lit(f))
              for f, m in enumerate(models)]
     allp = preds[0]

@@ -17,6 +17,7 @@ from ..session import materialize
 from ..spec import FeatureSpec
 from .common import column_moments, column_quantiles, is_numeric, is_string
 from .quantiles import modes as modes_of, value_counts_of
+from .ranks import range_parted, running_count
 
 
 # T1 ------------------------------------------------------------------------
@@ -139,36 +140,58 @@ def clean(df: DataFrame, spec: FeatureSpec, exact: bool = True, binarize: bool =
 
 
 # T6 ------------------------------------------------------------------------
+#: A column with more levels is encoded by a join with a table of its levels.
+MAX_LITERAL_LEVELS = 1000
+
+
+@dataclass
+class LevelTable:
+    """The levels of a column with very many: a written table (value, idx)."""
+
+    table: DataFrame
+    n: int
+
+
 def fit_encoding(df: DataFrame, spec: FeatureSpec) -> dict:
     """Sorted distinct values per categorical column: {col: (kind, [values])}.
 
-    The distinct (column, value) pairs come from a distributed aggregate; only
-    they, the levels of the declared categories, reach the driver.
-    """
+    The distinct (column, value) pairs are a written table.  Columns of up to
+    ``MAX_LITERAL_LEVELS`` of them bring their levels to the driver; a larger
+    one has a :class:`LevelTable` in place of the list."""
     cats = [c for c in spec.categorical if c in df.columns]
     levels: dict = {c: [] for c in cats}
     for cs, kind in _by_type(df, cats):
-        for r in value_counts_of(df, cs, cast=kind).filter(F.col("value").isNotNull()).select("column", "value").toLocalIterator():
+        found = materialize(value_counts_of(df, cs, cast=kind).filter(F.col("value").isNotNull()).select("column", "value"), "levels")
+        sizes = {r["column"]: r["count"] for r in found.groupBy("column").count().collect()}       # one row a column
+        few = [c for c, n in sizes.items() if n <= MAX_LITERAL_LEVELS]
+        for r in found.filter(F.col("column").isin(few)).collect():
             levels[r["column"]].append(_as_stored(df, r["column"], r["value"]))
-    return {c: ("binary" if c in spec.binary else "ordinal" if c in spec.ordinal else "categorical", sorted(v))
-            for c, v in levels.items()}
+        for c in sizes.keys() - set(few):
+            own = range_parted(found.filter(F.col("column") == c), ["column"], ["value"], "sorted-levels")
+            ranked = running_count(own, ["column"], ["value"], F.lit(1), "n")
+            levels[c] = LevelTable(materialize(ranked.select("value", (F.col("n") - 1).cast("int").alias("idx")), "level-ranks"), sizes[c])
+    return {c: ("binary" if c in spec.binary else "ordinal" if c in spec.ordinal else "categorical",
+                v if isinstance(v, LevelTable) else sorted(v)) for c, v in levels.items()}
 
 
 def encode(df: DataFrame, spec: FeatureSpec, info: dict | None = None) -> tuple[DataFrame, dict]:
     """Numeric-coded categoricals -> int; string categoricals -> 0-based index in sorted order."""
     info = fit_encoding(df, spec) if info is None else info
-    out = []
-    for c in df.columns:
-        if c in info:
-            if is_string(df, c):
-                vals = info[c][1]
-                m = F.create_map(*[x for i, v in enumerate(vals) for x in (F.lit(v), F.lit(i))])
-                out.append(m[F.col(c)].cast("int").alias(c))
-            else:
-                out.append(F.col(c).cast("int").alias(c))
-        else:
+    out, rows = [], df
+    for i, c in enumerate(df.columns):
+        if c not in info:
             out.append(F.col(c))
-    return df.select(*out), info
+        elif not is_string(df, c):
+            out.append(F.col(c).cast("int").alias(c))
+        elif isinstance(info[c][1], LevelTable):
+            ranks = info[c][1].table.select(F.col("value").alias(f"_value{i}"), F.col("idx").alias(f"_idx{i}"))
+            rows = rows.join(ranks, F.col(c) == F.col(f"_value{i}"), "left")
+            out.append(F.col(f"_idx{i}").alias(c))
+        else:
+            vals = info[c][1]
+            m = F.create_map(*[x for j, v in enumerate(vals) for x in (F.lit(v), F.lit(j))])
+            out.append(m[F.col(c)].cast("int").alias(c))
+    return rows.select(*out), info
 
 
 # T7 / T8 -------------------------------------------------------------------

@@ -3,10 +3,9 @@
 * K-means sweep: ``pyspark.ml.clustering.KMeans`` per k and seed on one
   cached vector column; inertia = ``summary.trainingCost``; silhouette by
   ``ClusteringEvaluator`` (squared-Euclidean form, linear in rows).
-* Agglomeration: distributed K-means micro-clusters (``n_micro`` of them at
-  every table size), then a size-weighted linkage (Lance-Williams) of the
-  ``n_micro`` centroids on the driver, and a map from micro-cluster to cluster
-  with ``n_micro`` entries.
+* Agglomeration: clustering features (at most ``n_micro`` at every table size)
+  from one pass over the rows, then a size-weighted linkage (Lance-Williams) of
+  their centres on the driver.
 * Inertia, ARI and purity are aggregates over (cluster, label) counts.
 """
 
@@ -20,7 +19,9 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import parallel_map
+from ..session import materialize
+from .cfeatures import nearest_centre, summarise
+from .common import held, parallel_map
 
 
 # K2 ------------------------------------------------------------------------
@@ -29,22 +30,22 @@ def kmeans_sweep(df: DataFrame, ks=range(2, 11), n_init: int = 10, seed: int = 4
                  parallelism: int = 4) -> tuple[DataFrame, dict]:
     """(k, inertia, silhouette) per k, best of ``n_init`` seeds by inertia; also
     the fitted models.  The k x seed fits are independent jobs run
-    ``parallelism`` at a time on the (cached) input."""
+    ``parallelism`` at a time on the vectors, kept until the last is done."""
     spark = df.sparkSession
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
     grid = [(k, s) for k in ks for s in range(n_init)]
-
-    def fit(ks_):
-        k, s = ks_
-        return KMeans(k=k, seed=seed + s, featuresCol=features, predictionCol="cluster",
-                      maxIter=max_iter, tol=1e-6).fit(df)
-
-    fitted = parallel_map(fit, grid, parallelism)
-    models = {}
-    for (k, _), m in zip(grid, fitted):
-        if k not in models or m.summary.trainingCost < models[k].summary.trainingCost:
-            models[k] = m
-    sils = parallel_map(lambda k: ev.evaluate(models[k].transform(df)), list(models), parallelism)
+    with held(df.select(features)) as rows:
+        def fit(ks_):
+            k, s = ks_
+            return KMeans(k=k, seed=seed + s, featuresCol=features, predictionCol="cluster",
+                          maxIter=max_iter, tol=1e-6).fit(rows)
+
+        fitted = parallel_map(fit, grid, parallelism)
+        models = {}
+        for (k, _), m in zip(grid, fitted):
+            if k not in models or m.summary.trainingCost < models[k].summary.trainingCost:
+                models[k] = m
+        sils = parallel_map(lambda k: ev.evaluate(models[k].transform(rows)), list(models), parallelism)
     rows = [(int(k), float(models[k].summary.trainingCost), float(s)) for k, s in zip(models, sils)]
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double"), models
 
@@ -137,21 +138,18 @@ class WardResult:
     micro: int
 
 
-def ward(df: DataFrame, key: list[str], n_clusters: int = 2, n_micro: int = 256, seed: int = 42,
-         features: str = "features", linkage: str = "ward") -> WardResult:
-    """Agglomerative clustering through ``n_micro`` micro-clusters, the same way
-    at every size; ``n_micro`` bounds what the driver holds (n_micro^2 distances)."""
-    spark = df.sparkSession
-    km = KMeans(k=n_micro, seed=seed, featuresCol=features, predictionCol="micro", maxIter=50).fit(df)
-    assigned = km.transform(df)
-    sizes = {r["micro"]: r["count"] for r in assigned.groupBy("micro").count().collect()}     # <= n_micro rows
-    ids = sorted(sizes)
-    centres = km.clusterCenters()
-    link = agglomerate(np.array([centres[i] for i in ids]), np.array([sizes[i] for i in ids], dtype=float), linkage)
-    lab = cut_linkage(link, len(ids), n_clusters)
-    m = spark.createDataFrame([(int(i), int(c)) for i, c in zip(ids, lab)], "micro int, cluster int")
-    # m has <= n_micro rows: a bounded broadcast
-    return WardResult(assigned.join(F.broadcast(m), "micro").drop("micro"), link, len(ids))
+def ward(df: DataFrame, key: list[str], n_clusters: int = 2, n_micro: int = 256, features: str = "features",
+         linkage: str = "ward") -> WardResult:
+    """Agglomerative clustering of at most ``n_micro`` clustering features, which
+    one pass over the rows gives; ``n_micro`` bounds what the driver holds
+    (n_micro^2 distances).  A second pass gives each row its nearest feature's cluster."""
+    micro = summarise(df, features, n_micro)
+    link = agglomerate(micro.centres, micro.n, linkage)
+    lab = F.lit(None).cast("int")
+    if len(micro.n):
+        of = F.array(*[F.lit(int(c)) for c in cut_linkage(link, len(micro.n), n_clusters)])     # at most n_micro numbers
+        lab = of[nearest_centre(micro.centres)(features)]
+    return WardResult(df.withColumn("cluster", lab), link, len(micro.n))
 
 
 # K10 -----------------------------------------------------------------------
@@ -171,6 +169,69 @@ def inertia(df: DataFrame, cols: list[str], cluster: str) -> DataFrame:
     return per.select(F.col(cluster).alias("cluster"), "size", (F.col("_v") * F.col("size")).alias("inertia"))
 
 
+# K6 ------------------------------------------------------------------------
+#: Query vectors that are sent to all tasks at once.
+QUERY_BLOCK = 20_000
+
+
+def silhouettes(df: DataFrame, key: str, vector: str, cluster: str, queries=None, block: int = QUERY_BLOCK) -> DataFrame:
+    """(key, cluster, a, b, silhouette): the exact Euclidean silhouette of the
+    rows of ``queries`` (a condition; default: every 20th key) against all rows.
+
+    a is the mean distance to the other rows of the own cluster, b the smallest
+    mean distance to another cluster, silhouette (b - a) / max(a, b), and 0 in a
+    cluster of one.  Blocks of query vectors travel to the tasks, which add up
+    their rows' distances per cluster: only (query, cluster, sum, count) leave a
+    task.  Rows whose vector or cluster is NULL take part in nothing."""
+    rows = df.select(F.col(key).cast("long").alias("id"), F.col(cluster).alias("c"), F.col(vector).cast("array<double>").alias("v"))
+    rows = rows.filter("c IS NOT NULL AND v IS NOT NULL AND id IS NOT NULL")
+    asked = rows.filter((F.col("id") % 20 == 0) if queries is None else queries)
+    kind = rows.schema["c"].dataType.simpleString()
+    n_blocks = -(-asked.count() // block)
+    sums = df.sparkSession.createDataFrame([], f"q int, block int, of {kind}, s double, n long")
+    names = df.sparkSession.createDataFrame([], f"q int, block int, id long, c {kind}")
+    for i in range(n_blocks):
+        # about ``block`` rows, dealt by a hash of the key
+        some = asked.filter(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == i).orderBy("id").collect()
+        if not some:
+            continue
+        q = np.array([r["v"] for r in some], float)
+        ids = np.array([r["id"] for r in some], np.int64)
+
+        def run(batches, q=q, ids=ids):
+            import pyarrow as pa
+
+            norm = (q * q).sum(1)
+            total: dict = {}
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                x = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                labels = np.array(b.column(1).to_pylist(), object)
+                d = np.sqrt(np.maximum(norm[:, None] + (x * x).sum(1)[None] - 2 * (q @ x.T), 0.0))
+                d[ids[:, None] == b.column(0).to_numpy()[None]] = 0.0
+                for c in set(labels.tolist()):
+                    on = labels == c
+                    s, n = total.get(c, (0.0, 0))
+                    total[c] = s + d[:, on].sum(1), n + int(on.sum())
+            kind_ = pa.array(list(total)).type if total else pa.int32()
+            for c, (s, n) in total.items():
+                m = len(q)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(m, dtype=np.int32)), pa.array([c] * m, kind_), pa.array(s), pa.array([n] * m, pa.int64())],
+                                                 names=["q", "of", "s", "n"])
+
+        part = rows.repartition(max(1, df.sparkSession.sparkContext.defaultParallelism)).mapInArrow(run, f"q int, of {kind}, s double, n long")
+        part = part.groupBy("q", "of").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+        sums = sums.unionByName(materialize(part.withColumn("block", F.lit(i)), "distance-sums"))
+        names = names.unionByName(df.sparkSession.createDataFrame([(j, i, r["id"], r["c"]) for j, r in enumerate(some)], names.schema))
+    both = sums.join(names, ["block", "q"])
+    own = F.col("of") == F.col("c")
+    per = both.groupBy("id", "c", "block", "q").agg(
+        F.max(F.when(own, F.col("s") / F.nullif(F.col("n") - 1, F.lit(0)))).alias("a"), F.min(F.when(~own, F.col("s") / F.col("n"))).alias("b"))
+    value = F.when(F.col("a").isNull(), 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return per.select(F.col("id").alias(key), F.col("c").alias(cluster), "a", "b", value.alias("silhouette"))
+
+
 # K7 ------------------------------------------------------------------------
 def ari(df: DataFrame, a: str, b: str) -> DataFrame:
     """Adjusted Rand index from the contingency table (one row)."""

@@ -7,6 +7,9 @@ data) reaches the driver, exactly like a ``pyspark.ml`` ``fit``.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,6 +76,16 @@ def parallel_map(fn, items, parallelism: int = 4) -> list:
         return list(ex.map(fn, items))
 
 
+@contextmanager
+def held(df: DataFrame):
+    """``df`` kept on memory and disk while a loop of fits reads it."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def column_moments(df: DataFrame, cols: list[str]) -> dict[str, dict]:
     """mean, population std, sample variance, min, max, count per column in one pass."""
     if not cols:

@@ -1,5 +1,9 @@
-"""Model registry (R1-R7): versioned ``PipelineModel`` folders plus an
-append-only Parquet table of metadata rows, all under one shared root.
+"""Model registry (R1-R7): versioned ``PipelineModel`` folders plus a log of
+metadata records (:mod:`commits`), all under one shared root.
+
+A version is there once its record is: a save that was interrupted leaves files
+that nothing names, saves that run at the same time both appear, and a
+promotion is a new record, so readers see the old one until it is whole.
 
 Versions are UTC timestamps (``yyyyMMdd_HHmmss_ffffff``) so the latest is
 the lexicographic maximum.  A model's SHA-256 is computed by Spark over the
@@ -12,11 +16,14 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .commits import CommitLog
+
 SCHEMA = ("model_name string, version string, saved_at timestamp, model_type string, "
           "params map<string,string>, metrics map<string,double>, n_stages int, size_bytes bigint, "
           "sha256 string, path string")
@@ -27,6 +34,8 @@ class ModelRegistry:
         self.spark = spark
         self.root = root.rstrip("/")
         self.table = f"{self.root}/_registry"
+        self.log = CommitLog(spark, self.table)
+        self.promotions = CommitLog(spark, f"{self.root}/_production")
 
     # R1 --------------------------------------------------------------------
     def save(self, name: str, model: PipelineModel, metrics: dict | None = None,
@@ -34,15 +43,19 @@ class ModelRegistry:
         now = dt.datetime.now(dt.timezone.utc)
         version = now.strftime("%Y%m%d_%H%M%S_%f")
         path = f"{self.root}/{name}/{version}"
-        model.write().overwrite().save(path)
+        model.write().save(path)                    # an error where another save has this very microsecond
         size, sha = self.fingerprint(path)
         last = model.stages[-1]
-        row = (name, version, now.replace(tzinfo=None), type(last).__name__,
-               {k: str(v) for k, v in (params or {}).items()},
-               {k: float(v) for k, v in (metrics or {}).items()}, len(model.stages), size, sha, path)
-        self.spark.createDataFrame([row], SCHEMA).write.mode("append").parquet(self.table)
+        self.log.write({"model_name": name, "version": version, "saved_at": now.isoformat(), "model_type": type(last).__name__,
+                        "params": {k: str(v) for k, v in (params or {}).items()},
+                        "metrics": {k: float(v) for k, v in (metrics or {}).items()},
+                        "n_stages": len(model.stages), "size_bytes": size, "sha256": sha, "path": path})
         return version
 
+    def import_versions(self, rows: DataFrame) -> None:
+        """Records of many versions at once (columns of ``SCHEMA``), written by Spark."""
+        rows.write.json(f"{self.table}/import-{uuid.uuid4().hex}")
+
     def fingerprint(self, path: str) -> tuple[int, str]:
         files = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
                  .select(F.col("path"), F.col("length"), F.sha2(F.col("content"), 256).alias("h")))
@@ -56,7 +69,7 @@ class ModelRegistry:
 
     # R4 --------------------------------------------------------------------
     def versions(self, name: str | None = None) -> DataFrame:
-        df = self.spark.read.schema(SCHEMA).parquet(self.table)
+        df = self.log.rows(SCHEMA)
         df = df.filter(F.col("model_name") == name) if name else df
         return df.orderBy(F.desc("saved_at"), F.desc("version"))
 
@@ -107,22 +120,18 @@ class ModelRegistry:
     # R6 --------------------------------------------------------------------
     def promote_best(self, metric: str = "accuracy") -> dict:
         """Best version over all models by ``metrics[metric]`` -> production record."""
-        v = self.spark.read.schema(SCHEMA).parquet(self.table).filter(F.col("metrics")[metric].isNotNull())
+        v = self.log.rows(SCHEMA).filter(F.col("metrics")[metric].isNotNull())
         best = v.orderBy(F.desc(F.col("metrics")[metric]), F.desc("version")).first()
         if best is None:
             raise ValueError(f"no version has metric {metric!r}")
         rec = {"model_name": best["model_name"], "version": best["version"], "path": best["path"],
                "metric": metric, "value": best["metrics"][metric],
                "promoted_at": dt.datetime.now(dt.timezone.utc).isoformat()}
-        self.spark.createDataFrame([(json.dumps(rec),)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(f"{self.root}/_production")
+        self.promotions.write(rec)
         return rec
 
     def production(self) -> dict | None:
-        try:
-            return json.loads(self.spark.read.text(f"{self.root}/_production").first()["value"])
-        except Exception:  # noqa: BLE001
-            return None
+        return self.promotions.last()
 
     # R7 --------------------------------------------------------------------
     def export(self, name: str, version: str, dest: str, requirements: tuple = ("pyspark",)) -> str:

@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,8 @@ def ml_frame(spark, sf_dir) -> tuple[DataFrame, object]:
     stats = C.fit_scaler(df.filter("split = 'train'"), OL_FEATS)
     df = C.scale(df.withColumn("line_key", F.col("l_linenumber")), OL_FEATS, stats)
     df = M.assemble(df, OL_FEATS).withColumn("label", F.col(spec.target).cast("double"))
+    # one part for every core and more: the fits' passes read this table
+    df = df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "l_orderkey")
     return materialize(df, "ml-frame"), spec.with_(key=("l_orderkey", "line_key"))
 
 
@@ -124,7 +127,7 @@ def q_rfe(spark, sf_dir):
 @query("compare_selectors")
 def q_compare_selectors(spark, sf_dir):
     df, spec = ml_frame(spark, sf_dir)
-    sel, comp = SEL.compare_selectors(df, OL_NUM, OL_CAT, "label", k=4)
+    sel, comp = SEL.compare_selectors(df, OL_NUM, OL_CAT, "label", k=4, key=spec.key)
     best = SEL.best_method(comp)
     return comp.withColumn("is_best", F.col("method") == F.lit(best))
 
@@ -172,11 +175,36 @@ def q_pca_table(spark, sf_dir):
     return X.pca_columns(df, r, m=10, keep=["vec_id", "label"])
 
 
+_PCA_DIMS = [f"e{i:02d}" for i in range(64)]
+
+
+@query("pca_covariance", f"""WITH z AS (SELECT {', '.join(f'CAST(embedding[{i + 1}] AS DOUBLE) AS {c}' for i, c in enumerate(_PCA_DIMS))} FROM embeddings)
+SELECT a, b, {r6('c')} AS covariance, {r6('CAST(a = b AS INTEGER)')} AS dot FROM (
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, covar_samp({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})) AS c FROM z"
+    for i, a in enumerate(_PCA_DIMS) for b in _PCA_DIMS[i:]) + ")")
+def q_pca_covariance(spark, sf_dir):
+    """The fitted components put together again.  Per pair of features the
+    sum over components of variance x loading x loading, which is the covariance
+    of the standardised features, and the dot product of the features' loadings,
+    which is 1 for a feature with itself and 0 otherwise."""
+    df, spec = vectors(spark, sf_dir)
+    r = X.fit_pca(df, list(spec.numeric))
+    load = X.loadings(spark, r)
+    var = X.variance_table(spark, r).select("component", "explained_variance")
+    one = load.join(var, "component").select("component", F.col("feature").alias("a"), F.col("loading").alias("x"), "explained_variance")
+    two = load.select("component", F.col("feature").alias("b"), F.col("loading").alias("y"))
+    both = one.join(two, "component").filter("a <= b")               # 64 x 64 / 2 pairs a component
+    return both.groupBy("a", "b").agg(F.sum(F.col("explained_variance") * F.col("x") * F.col("y")).alias("covariance"),
+                                      F.sum(F.col("x") * F.col("y")).alias("dot"))
+
+
 # Clustering ----------------------------------------------------------------
 def _vec_frame(spark, sf_dir):
     df, spec = vectors(spark, sf_dir)
     st = C.fit_scaler(df, list(spec.numeric))
     z = M.assemble(C.scale(df, list(spec.numeric), st), list(spec.numeric))
+    z = z.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *spec.key)
     return materialize(z, "vectors"), spec
 
 
@@ -205,6 +233,29 @@ def q_kmeans_assign(spark, sf_dir):
     return pur.withColumn("k", F.lit(k)).withColumn("ari", F.lit(a))
 
 
+@query("kmeans_rule", """SELECT 10 AS k, vec_id, TRUE AS nearest, TRUE AS settled FROM embeddings""")
+def q_kmeans_rule(spark, sf_dir):
+    """Every row is in the cluster whose written centre is nearest by a
+    plain distance expression (equal ones allowed), and every centre is the mean
+    of its rows (the fit has settled)."""
+    z, spec = _vec_frame(spark, sf_dir)
+    _, models = K.kmeans_sweep(z, ks=[10], n_init=2)
+    rows = models[10].transform(z).select("vec_id", vector_to_array("features").alias("v"), "cluster")
+    centres = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(models[10].clusterCenters())], "c int, centre array<double>")   # ten rows
+    pairs = [(r["c"], r["centre"]) for r in centres.orderBy("c").collect()]
+
+    def square(centre):
+        return sum((F.col("v")[j] - F.lit(float(x))) ** 2 for j, x in enumerate(centre))
+
+    table = F.array(*[square(c) for _, c in pairs])
+    means = rows.groupBy("cluster").agg(F.array(*[F.avg(F.col("v")[j]) for j in range(len(pairs[0][1]))]).alias("mean")).collect()
+    settled = {m["cluster"]: max(abs(a - b) for a, b in zip(m["mean"], dict(pairs)[m["cluster"]])) < 1e-4 for m in means}
+    flags = F.create_map(*[x for c, ok in settled.items() for x in (F.lit(c), F.lit(ok))])
+    told = rows.withColumn("d", table)
+    return told.select(F.lit(10).alias("k"), "vec_id", (F.col("d")[F.col("cluster")] <= F.array_min("d") + 1e-9).alias("nearest"),
+                       flags[F.col("cluster")].alias("settled"))
+
+
 @query("ward")
 def q_ward(spark, sf_dir):
     """Ward clustering over micro-clusters, cluster sizes, ARI vs label and the last merges of the dendrogram."""
@@ -251,6 +302,18 @@ def q_silhouette(spark, sf_dir):
     return spark.createDataFrame([(float(ev.evaluate(z)),)], "silhouette double")
 
 
+@query("silhouette_exact", f"""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT q.vec_id, q.label, r.label AS other, sum(CASE WHEN q.vec_id = r.vec_id THEN 0 ELSE list_distance(q.v, r.v) END) AS s, count(*) AS n
+  FROM e q JOIN e r ON q.vec_id % 20 = 0 GROUP BY ALL),
+ab AS (SELECT vec_id, label, max(CASE WHEN other = label AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN other <> label THEN s / n END) AS b
+  FROM d GROUP BY ALL)
+SELECT vec_id, label, {r6('a')} AS a, {r6('b')} AS b,
+  {r6('CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END')} AS silhouette FROM ab""")
+def q_silhouette_exact(spark, sf_dir):
+    """K6: the Euclidean silhouette of every 20th vector against all vectors, true labels as clusters."""
+    return K.silhouettes(read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"]), "vec_id", "embedding", "label")
+
+
 @query("cv_summary")
 def q_cv_summary(spark, sf_dir):
     """V9: mean and standard deviation of the five metrics over the folds."""
@@ -294,7 +357,7 @@ def q_elbow(spark, sf_dir):
 
 
 # SQL-checkable cluster agreement ----------------------------------------------
-_DIMS = [f"e{i:02d}" for i in range(_N_DIMS)]
+_DIMS = _PCA_DIMS
 _EMB = "emb AS (SELECT vec_id, label, " + ", ".join(
     f"CAST(embedding[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(_DIMS)) + " FROM embeddings)"
 
@@ -400,11 +463,11 @@ def _order_versions(spark, sf_dir) -> ModelRegistry:
         F.max("o_orderdate").alias("at"), (F.avg("o_totalprice") / 1000000).alias("accuracy"))
     reg = ModelRegistry(spark, scratch_path(spark, f"registry-{uuid.uuid4().hex[:8]}"))
     null = F.lit(None)
-    v.select(F.col("o_orderpriority").alias("model_name"), F.date_format("at", "yyyyMMdd_000000_000000").alias("version"),
-             F.col("at").cast("timestamp").alias("saved_at"), F.lit("none").alias("model_type"), null.cast("map<string,string>").alias("params"),
-             F.create_map(F.lit("accuracy"), F.col("accuracy")).alias("metrics"), F.lit(0).alias("n_stages"),
-             F.lit(0).cast("bigint").alias("size_bytes"), null.cast("string").alias("sha256"), null.cast("string").alias("path")) \
-        .write.mode("append").parquet(reg.table)
+    reg.import_versions(v.select(
+        F.col("o_orderpriority").alias("model_name"), F.date_format("at", "yyyyMMdd_000000_000000").alias("version"),
+        F.col("at").cast("timestamp").alias("saved_at"), F.lit("none").alias("model_type"), null.cast("map<string,string>").alias("params"),
+        F.create_map(F.lit("accuracy"), F.col("accuracy")).alias("metrics"), F.lit(0).alias("n_stages"),
+        F.lit(0).cast("bigint").alias("size_bytes"), null.cast("string").alias("sha256"), null.cast("string").alias("path")))
     return reg
 
 
@@ -432,6 +495,18 @@ def q_batch_score(spark, sf_dir):
                       F.array_join(Z.RL.factors(ORDERLINE_RULES.risk), "; ").alias("risk_factors"))
 
 
+@query("batch_score_known", with_(*OL_CLEAN_CHAIN) + f"""SELECT l_orderkey, l_linenumber, {Z.RL.factors_sql(ORDERLINE_RULES.risk)} AS risk_factors,
+  TRUE AS consistent FROM ol_clean""")
+def q_batch_score_known(spark, sf_dir):
+    """What must hold of the scored rows whatever the model: every cleaned
+    row once, its factors, a confidence between 1/2 and 1, and the band and
+    category that follow from confidence and class."""
+    out = q_batch_score(spark, sf_dir)
+    conf = F.col("confidence")
+    ok = conf.between(0.5, 1.0) & (F.col("confidence_level") == Z.confidence_band(conf)) & (F.col("risk_category") == Z.risk_category(F.col("prediction")))
+    return out.select("l_orderkey", "l_linenumber", "risk_factors", ok.alias("consistent"))
+
+
 class _CleanThenScore:
     """Stateless per-row cleaning with batch-fitted fill values, then the pipeline."""
 
@@ -465,7 +540,8 @@ def q_stream_score(spark, sf_dir):
                        F.array_join("risk_factors", "; ").alias("risk_factors"), "error")
 
 
-@query("io_roundtrip")
+@query("io_roundtrip", with_(*OL_CLEAN_CHAIN) +
+       f"SELECT {', '.join(f'{r6(c)} AS {c}' for c in OL_NUM)}, severity FROM ol_clean")
 def q_io_roundtrip(spark, sf_dir):
     """Write the cleaned table as CSV, reload it with the
     exact-header check and numeric coercion; write rankings partitioned by method."""

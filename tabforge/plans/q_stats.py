@@ -98,6 +98,41 @@ def q_mutual_info(spark, sf_dir):
     return ST.mutual_info(cl, OL_NUM, ["l_linenumber", "l_returnflag"], spec.target, k=K_SELECT)
 
 
+def _psi(x: str) -> str:
+    """SQL of :func:`exprs.digamma`."""
+    y = f"({x} + 10.0)"
+    steps = " + ".join(f"1.0 / ({x} + {i}.0)" for i in range(10))
+    i2 = f"(1.0 / ({y} * {y}))"
+    return (f"(ln({y}) - 0.5 / {y} - {i2} * ({1 / 12!r} - {i2} * ({1 / 120!r} - {i2} * ({1 / 252!r} - {i2} * {1 / 240!r}))) - ({steps}))")
+
+
+_KNN = 3
+_KNN_VALUES = union_all(
+    f"""SELECT '{c}' AS feature, severity AS cls,
+  CAST(floor((CAST({c} AS DOUBLE) - st.lo_{c}) * st.scale_{c}) AS BIGINT)
+  + CAST(('0x' || substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), '42/{c}')), 1, 8)) AS BIGINT) % {1 << 18} AS x
+  FROM ol_clean CROSS JOIN st""" for c in OL_NUM)
+_KNN_STATS = ", ".join(f"min(CAST({c} AS DOUBLE)) AS lo_{c}, pow(2.0, {45} - floor(log2(stddev_pop(CAST({c} AS DOUBLE))))) AS scale_{c}" for c in OL_NUM)
+_KNN_R = "CASE " + " ".join(
+    f"WHEN size - 1 {'>=' if k == _KNN else '='} {k} THEN least({', '.join(f'greatest(l{j}, r{k - j})' for j in range(k + 1))})" for k in range(1, _KNN + 1)) + " END"
+MI_KNN_SQL = with_(
+    *OL_CLEAN_CHAIN, f"st AS (SELECT {_KNN_STATS} FROM ol_clean)", f"vals AS ({_KNN_VALUES})",
+    "sized AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY feature, cls) AS size FROM vals) WHERE size > 1)",
+    "near AS (SELECT *, 0 AS l0, 0 AS r0, " + ", ".join(
+        f"coalesce(x - lag(x, {j}) OVER w, {1 << 62}) AS l{j}, coalesce(lead(x, {j}) OVER w - x, {1 << 62}) AS r{j}" for j in range(1, _KNN + 1))
+    + " FROM sized WINDOW w AS (PARTITION BY feature, cls ORDER BY x))",
+    f"radius AS (SELECT feature, cls, size, x, greatest({_KNN_R} - 1, 0) AS r FROM near)",
+    "m AS (SELECT feature, size, count(*) OVER (PARTITION BY feature ORDER BY x RANGE BETWEEN r PRECEDING AND r FOLLOWING) AS m FROM radius)",
+    f"s AS (SELECT feature, greatest({_psi('CAST(count(*) AS DOUBLE)')} + avg({_psi(f'least({_KNN}, size - 1)')} - {_psi('size')} - {_psi('m')}), 0.0) AS score FROM m GROUP BY feature)") + _ranked("s")
+
+
+@query("mutual_info_knn", MI_KNN_SQL)
+def q_mutual_info_knn(spark, sf_dir):
+    """the nearest-neighbour estimate for the continuous features."""
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=[])
+    return ST.mutual_info_knn(cl, OL_NUM, spec.target, list(spec.key), k=K_SELECT)
+
+
 CORR_THRESHOLD = 0.8
 _PAIRS = union_all(f"SELECT '{a}' AS a, '{b}' AS b, abs(corr({a}, {b})) AS ar FROM users"
                    for i, a in enumerate(USER_NUM) for b in USER_NUM[i + 1:])

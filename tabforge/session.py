@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,16 +59,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tabforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():       # each call makes a folder
+        spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir
 
 
+#: Folders of the open :func:`scratch_run` blocks, the innermost last.
+_RUNS: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediates."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    """A path under the shared checkpoint folder (inside the open run's folder,
+    if there is one) for written intermediates."""
+    base = _RUNS[-1] if _RUNS else ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of this library's own in the shared storage."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """Everything that queries write as intermediates inside the block goes into
+    one folder, which is deleted at its end.  Results must have been written or
+    collected by then, as they read these files."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    _RUNS.append(path)
+    try:
+        yield path
+    finally:
+        _RUNS.remove(path)
+        delete_path(spark, path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 

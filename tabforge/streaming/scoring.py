@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as RL
 from ..operators import score as Z
+from ..operators.history import History, to_history
 from ..session import scratch_path
 
 
@@ -44,10 +45,11 @@ def scoring_frame(stream: DataFrame, model: PipelineModel, rules: RL.RuleSet,
 def score_stream(spark: SparkSession, source: str, schema, model: PipelineModel, sink: str,
                  rules: RL.RuleSet, checkpoint: str | None = None, request_rules: dict | None = None,
                  labels: dict | None = None, available_now: bool = True, max_files: int | None = None,
-                 glob: str | None = None):
+                 glob: str | None = None, keep: int | None = None):
     """Start the stream over the files of ``source``, a folder or a path pattern
     (optionally only those matching ``glob``); with ``available_now`` it
-    processes what is there and stops."""
+    processes what is there and stops.  ``sink`` gets Parquet files of all rows,
+    or, with ``keep``, a :class:`History` that keeps the newest ``keep`` rows."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -56,6 +58,8 @@ def score_stream(spark: SparkSession, source: str, schema, model: PipelineModel,
     stream = reader.parquet(source)
     out = scoring_frame(stream, model, rules, request_rules, labels)
     ck = checkpoint or scratch_path(spark, "stream-score-checkpoint")
+    if keep is not None:
+        return to_history(out, History(spark, sink, out.schema, keep=keep), ck, available_now)
     w = out.writeStream.format("parquet").option("checkpointLocation", ck).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start(sink)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tabforge.operators import clean as C
 from tabforge.operators import profile as D
 from tabforge.sources import files as IO
-from tabforge.spec import HEART, HEART_COLUMNS
+from tabforge.spec import HEART, HEART_COLUMNS, FeatureSpec
 
 SAMPLE = [
     (63, 1, 1, 145, 233, 1, 2, 150, 0, 2.3, 3, 0, 6, 0),
@@ -134,8 +134,21 @@ def test_clean_with_levels_equals_two_pass(spark):
 
 
 def test_encode_string_categories(spark):
-    from tabforge.spec import FeatureSpec
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "g string")
     out, info = C.encode(df, FeatureSpec(categorical=("g",)))
     assert info["g"][1] == ["a", "b", "c"]
     assert [r["g"] for r in out.collect()] == [1, 0, 2, 0]
+
+
+def test_many_levels_are_ranked_by_a_table(spark, monkeypatch):
+    """Beyond the literal limit the levels stay a table; the codes are the same."""
+    rows = [(i, f"v{i * 37 % 211:03d}", i % 2, None if i % 11 == 0 else "ab"[i % 2]) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, many string, few int, two string").repartition(4)
+    spec = FeatureSpec(key=("id",), categorical=("many", "few", "two"))
+    want, info = C.encode(df, spec)
+    assert len(info["many"][1]) == 211
+    monkeypatch.setattr(C, "MAX_LITERAL_LEVELS", 2)
+    got, info = C.encode(df, spec)
+    assert isinstance(info["many"][1], C.LevelTable) and info["many"][1].n == 211 and info["two"][1] == ["a", "b"]
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

@@ -106,3 +106,42 @@ def test_kmeans_sweep_and_ward_on_blobs(spark):
     w2 = K.ward(df, ["id"], n_clusters=3, n_micro=20)
     assert sorted(r["count"] for r in w2.labels.groupBy("cluster").count().collect()) == [30, 30, 30]
     _ = F
+
+
+def exact_labels(x, k):
+    return K.cut_linkage(K.ward_linkage(x, np.ones(len(x))), len(x), k)
+
+
+def rand_index(a, b):
+    """Adjusted Rand index of two labelings."""
+    from collections import Counter
+    pairs = lambda c: sum(v * (v - 1) / 2 for v in c.values())
+    both, one, two = pairs(Counter(zip(a, b))), pairs(Counter(a)), pairs(Counter(b))
+    mean = one * two / (len(a) * (len(a) - 1) / 2)
+    return (both - mean) / ((one + two) / 2 - mean)
+
+
+@pytest.mark.parametrize("spread,limit,least", [(0.5, 64, 0.99), (1.0, 64, 0.9), (1.0, 24, 0.9)])
+def test_features_agree_with_an_exact_linkage(spark, spread, limit, least):
+    from tabforge.operators.classify import assemble
+    r = np.random.default_rng(11)
+    centres = r.normal(size=(5, 4)) * 6
+    x = np.vstack([c + r.normal(size=(n, 4)) * spread for c, n in zip(centres, (200, 150, 120, 90, 40))])
+    df = assemble(spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], ["id", "a", "b", "c", "d"]).repartition(7, "id"), ["a", "b", "c", "d"])
+    w = K.ward(df, ["id"], n_clusters=5, n_micro=limit)
+    assert w.micro <= limit
+    got = [y["cluster"] for y in w.labels.orderBy("id").collect()]
+    assert rand_index(got, list(exact_labels(x, 5))) >= least
+
+
+def test_features_add_up():
+    from tabforge.operators import cfeatures as CF
+    r = np.random.default_rng(2)
+    x = np.vstack([r.normal(size=(3000, 3)), np.full((500, 3), 7.0)])
+    parts = [CF.insert(CF.Features(np.zeros(0), np.zeros((0, 3)), np.zeros(0)), CF.Features.of_rows(p), 40) for p in np.array_split(x, 6)]
+    whole = CF.merge(parts, 40)
+    assert len(whole.n) <= 40 and whole.n.sum() == len(x)
+    assert whole.s.sum(0) == pytest.approx(x.sum(0)) and whole.q.sum() == pytest.approx((x ** 2).sum())
+    inside = (whole.q - (whole.s ** 2).sum(1) / whole.n).sum()
+    assert inside < 0.2 * ((x - x.mean(0)) ** 2).sum()           # what the summary loses
+    assert len(CF.merge([], 5).n) == 0

@@ -14,10 +14,6 @@ from .conftest import SF_SMALL
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test tables not present")
 
 
-class Stop(Exception):
-    pass
-
-
 @pytest.fixture(scope="module")
 def frame(spark):
     from tabforge.plans.q_models import OL_FEATS
@@ -52,7 +48,7 @@ def test_default_models_are_full(spark):
 
 
 def forest_only(*a, **kw):
-    raise Stop
+    raise ValueError("only the forest is looked at")
 
 
 @pytest.mark.parametrize("name", ["rf_importance", "compare_selectors"])
@@ -64,30 +60,30 @@ def test_importance_forests_have_no_depth_limit(spark, frame, monkeypatch, name)
 
     def forest(**kw):
         sizes.append((kw["numTrees"], kw["maxDepth"]))
-        raise Stop
+        raise ValueError("no fit here")
 
     monkeypatch.setattr(SEL, "RandomForestClassifier", forest)
-    for other in ("rfe", "anova_f", "chi2_scores", "mutual_info", "corr_filter"):
+    for other in ("rfe", "anova_f", "chi2_scores", "mutual_info_knn", "corr_filter"):
         monkeypatch.setattr(SEL, other, forest_only)
     monkeypatch.setattr(SEL, "best_method", lambda comp: "none")
     try:
         queries()[name](spark, SF_SMALL)
-    except Stop:
+    except ValueError:
         pass
     assert sizes == [(100, 30)]
 
 
 def test_grids_hold_every_value_of_the_reference(spark):
     from tabforge.operators import tune as H
-    est = H.estimators(100)
-    full, drawn = H.grids(est, 100), H.grids(est, 100, H.DRAWN)
+    full, drawn = ({name: H.combinations(v) for name, v in g.items()} for g in (H.FULL, H.DRAWN))
     assert {k: len(v) for k, v in full.items()} == {"logistic_regression": 72, "decision_tree": 672, "random_forest": 1080, "svm": 216}
     assert {k: len(v) for k, v in drawn.items()} == {"logistic_regression": 36, "decision_tree": 192, "random_forest": 360, "svm": 48}
-    rf, svm = est["random_forest"], est["svm"]
-    assert {m[rf.numTrees] for m in full["random_forest"]} == {50, 100, 200, 300, 500}
-    assert max(m[rf.maxDepth] for m in full["random_forest"]) == 30
-    assert {m[svm.kernel] for m in full["svm"]} == {"linear", "rbf", "poly"}
-    assert {m.get(svm.gamma) for m in full["svm"]} == {None, "scale", "auto", 0.001, 0.01, 0.1, 1.0}
+    assert {c["n_estimators"] for c in full["random_forest"]} == {50, 100, 200, 300, 500}
+    assert None in {c["max_depth"] for c in full["random_forest"]}
+    svm = H.estimators(100)["svm"]
+    maps = [H.param_map(svm, c, 100) for c in full["svm"]]
+    assert {m[svm.kernel] for m in maps} == {"linear", "rbf", "poly"}
+    assert {m.get(svm.gamma) for m in maps} == {None, "scale", "auto", 0.001, 0.01, 0.1, 1.0}
 
 
 def test_searches_cover_all_models(spark, frame, monkeypatch):
@@ -97,9 +93,9 @@ def test_searches_cover_all_models(spark, frame, monkeypatch):
     monkeypatch.setattr(q_models, "ml_frame", lambda *a: frame)
     asked = []
 
-    def search(train, test, name, est, grid, n_iter=None, **kw):
-        asked.append((name, len(grid), n_iter))
-        raise Stop
+    def search(train, test, name, est, combos, n_iter=None, **kw):
+        asked.append((name, len(combos), n_iter))
+        raise ValueError("not fitted here")
 
     monkeypatch.setattr(H, "search", search)
     queries()["random_search"](spark, SF_SMALL)
@@ -109,6 +105,20 @@ def test_searches_cover_all_models(spark, frame, monkeypatch):
     assert asked == [("logistic_regression", 72, None), ("decision_tree", 672, None), ("random_forest", 1080, None), ("svm", 216, None)]
 
 
+def test_failures_of_spark_are_not_rows(spark, frame, monkeypatch):
+    from tabforge.operators import tune as H
+
+    def lost(*a, **kw):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(H, "search", lost)
+    with pytest.raises(RuntimeError):
+        H.search_all(frame[0], frame[0], names=["svm"])
+    monkeypatch.setattr(SEL, "anova_f", lost)
+    with pytest.raises(RuntimeError):
+        SEL.compare_selectors(frame[0], ["l_quantity"], [], "label")
+
+
 def test_kernel_svm_is_searched(spark, frame):
     from tabforge.operators import tune as H
     df = frame[0]

@@ -125,7 +125,7 @@ def test_helpers_p1_p2_f14_h5_h6(spark, frame, tmp_path):
         SEL.select_features(df, ["l_quantity"], [], "label", strategy="nope")
     train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
     res = H.search_all(train, test, n_iter=2, names=["decision_tree"])
-    accs = H.cv_tuned(train, H.estimators(100)["decision_tree"], res[0]["best_params"])
+    accs = H.cv_tuned(train, "decision_tree", H.estimators(100)["decision_tree"], res[0]["best_params"])
     assert len(accs) == 5 and all(0 <= a <= 1 for a in accs)
     reg = ModelRegistry(spark, str(tmp_path / "reg2"))
     saved = H.save_best(reg, res, ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
