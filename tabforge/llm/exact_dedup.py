@@ -13,8 +13,8 @@ be broadcast; their rows are salted, named in each salt, and the few salted
 names are then joined into one.
 
 Edge cases: a null or empty text is one empty block; null ids are equal to one
-another and smaller than any other id; repeated rows of one id are one
-document, counted once, and each of them is returned; texts that differ under
+another and smaller than any other id; repeated rows of one id count as the
+rows they are, share one fate and are each returned; texts that differ under
 one id are different documents; no rows give no rows.
 """
 
@@ -90,10 +90,15 @@ def identities(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 
 def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, h, keep_id, group_size, kept for every document; the largest id
-    of equal texts stays.  ``h`` is the xxhash64 of the text."""
+    """doc_id, h, keep_id, group_size (rows), kept for every document; the largest
+    id of equal texts stays.  ``h`` is the xxhash64 of the text."""
     ident = identities(docs, id_col=id_col, text_col=text_col, block_bytes=block_bytes)
-    sizes = materialize(ident.groupBy("level", "name").agg(F.max("doc").alias("keep"), F.count("*").alias("group_size")), "groups")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows_of = docs.groupBy(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("of_doc"), F.xxhash64(text).alias("of_h")).count()
+    more = materialize(rows_of.where("count > 1"), "repeated-rows")
+    counted = ident.join(more, (F.col("doc") == F.col("of_doc")) & (F.col("h") == F.col("of_h")), "left")
+    sizes = counted.groupBy("level", "name").agg(F.max("doc").alias("keep"), F.sum(F.coalesce("count", F.lit(1))).alias("group_size"))
+    sizes = materialize(sizes, "groups")
     rows = ident.join(sizes, ["level", "name"])
     return rows.select(_id("doc").alias("doc_id"), "h", _id("keep").alias("keep_id"), "group_size",
                        (F.col("doc") == F.col("keep")).alias("kept"))

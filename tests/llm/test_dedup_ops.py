@@ -54,7 +54,22 @@ def brute_exact(data):
 def test_exact_dedup(spark, block):
     got = exact_dedup.exact_duplicates(frame(spark, repeat=True), block_bytes=block).collect()
     assert len(got) == len(TEXTS) + 6
-    assert {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got} == brute_exact([(r[0], r[1]) for r in rows()])
+    repeated = rows() + rows()[:6]
+    assert {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got} == brute_exact([(r[0], r[1]) for r in repeated])
+
+
+def test_exact_dedup_counts_repeated_rows_as_its_sql_does(spark):
+    import duckdb
+
+    from tabforge.llm.queries import ORACLE
+    data = [(1, "same"), (1, "same"), (2, "same"), (3, None), (3, ""), (4, "x" * 9000), (4, "x" * 9000), (5, "other"), (5, "x" * 9000)]
+    got = exact_dedup.exact_duplicates(spark.createDataFrame(data, "doc_id long, text string"), block_bytes=4096).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", data)
+    cur = con.execute(ORACLE["op7_exact_dedup"])
+    names = [d[0] for d in cur.description]
+    assert sorted(tuple(r[n] for n in names) for r in got) == sorted(cur.fetchall())
 
 
 def test_exact_dedup_hot_contents(spark):
