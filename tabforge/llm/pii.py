@@ -97,27 +97,64 @@ def valid(kind: str, s: Column) -> Column:
 _SPAN = "array<struct<kind:string,start:long,end:long,value:string,score:double>>"
 
 
-def spans_of(kind: Kind, text: Column) -> Column:
+#: Elements folded in one go, and code points of a piece of text: both keep the
+#: work in proportion to a text's length and matches, however many there are.
+RUN, PIECE = 1000, 4096
+
+
+def running(values: Column, step, zero: int = 0) -> Column:
+    """Before each element, ``step`` folded over all elements ahead of it.
+
+    Folds runs of ``RUN`` elements and then the runs, as a fold that grows one
+    array copies it at every step."""
+    def add_run(acc, r):
+        last = F.coalesce(F.get(acc, F.size(acc) - 1)["last"], F.lit(zero).cast("long"))
+        inner = F.aggregate(F.slice(values, (r * RUN + 1).cast("int"), F.lit(RUN)),
+                            F.struct(last.alias("last"), F.array().cast("array<long>").alias("out")),
+                            lambda a, v: F.struct(step(a["last"], v).cast("long").alias("last"), F.concat(a["out"], F.array(a["last"])).alias("out")))
+        return F.concat(acc, F.array(inner))
+
+    runs = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int")))
+    folded = F.aggregate(runs, F.array().cast("array<struct<last:long,out:array<long>>>"), add_run)
+    return F.when(F.size(values) > 0, F.flatten(F.transform(folded, lambda x: x["out"]))).otherwise(F.array().cast("array<long>"))
+
+
+def pieces_of(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` code points."""
+    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % PIECE), F.lit(0))
+
+
+def cut(pieces: Column, a: Column, b: Column) -> Column:
+    """Code points a to b (exclusive) of the text of ``pieces``; looks at no other piece."""
+    i, j = F.floor(a / PIECE).cast("int"), F.floor(b / PIECE).cast("int")
+
+    def piece(k):
+        return F.coalesce(F.get(pieces, k), F.lit(""))
+
+    from_a = (a - i * PIECE + 1).cast("int")
+    across = F.concat(F.substr(piece(i), from_a), F.array_join(F.slice(pieces, i + 2, F.greatest(F.lit(0), j - i - 1)), ""),
+                      F.substr(piece(j), F.lit(1), (b - j * PIECE).cast("int")))
+    return F.when(i == j, F.substr(piece(i), from_a, (b - a).cast("int"))).otherwise(across)
+
+
+def spans_of(kind: Kind, text: Column, pieces: Column) -> Column:
     """All confirmed spans of one kind, by start; ends are exclusive."""
     hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     gaps = F.split(text, kind.pattern, -1)
     # gap, match, gap, match ...: the running length gives each start
-    walked = F.aggregate(
-        F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,value:string>>").alias("out")),
-        lambda acc, z: F.struct(
-            (acc["at"] + F.char_length(z["gap"]) + F.char_length(z["hit"])).cast("long").alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + F.char_length(z["gap"])).cast("long").alias("start"), z["hit"].alias("value")))).alias("out")),
-        lambda acc: acc["out"])
+    both = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"))
+    lengths = F.transform(both, lambda z: (F.char_length(z["gap"]) + F.char_length(z["hit"])).cast("long"))
+    walked = F.transform(F.arrays_zip(both.alias("z"), running(lengths, lambda at, n: at + n).alias("at")), lambda x: F.struct(
+        (x["at"] + F.char_length(x["z"]["gap"])).cast("long").alias("start"), x["z"]["hit"].alias("value")))
     good = F.filter(walked, lambda x: valid(kind.name, x["value"]))
 
     def scored(x):
-        lo = F.greatest(F.lit(1), (x["start"] - CONTEXT + 1)).cast("int")
+        lo = F.greatest(F.lit(0), x["start"] - CONTEXT)
         end = x["start"] + F.char_length(x["value"])
-        before = F.lower(F.substr(text, lo, (x["start"] + 1 - lo).cast("int")))
-        after = F.lower(F.substr(text, (end + 1).cast("int"), F.lit(CONTEXT)))
         word = "(?:^|[^a-z])(?:" + "|".join(kind.words) + ")"
-        beside = before.rlike(word) | after.rlike(word) if kind.words else F.lit(False)
+        beside = F.lit(False)
+        if kind.words:
+            beside = F.lower(cut(pieces, lo, x["start"])).rlike(word) | F.lower(cut(pieces, end, end + CONTEXT)).rlike(word)
         score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(beside, kind.boost).otherwise(0.0))
         return F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"), (x["start"] + F.char_length(x["value"])).cast("long").alias("end"),
                         x["value"].alias("value"), score.alias("score"))
@@ -133,7 +170,8 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     start, end, value, score) by kind as in ``KINDS``, then start."""
     rows = doc_rows(docs, id_col, text_col)
     text = F.coalesce("text", F.lit(""))
-    each = [spans_of(k, text).alias(k.name) for k in KINDS]
+    rows = rows.select("doc_id", "text", "rest", pieces_of(text).alias("pieces"))
+    each = [spans_of(k, text, F.col("pieces")).alias(k.name) for k in KINDS]
     rows = rows.select("doc_id", "text", "rest", *each)
     return rows.select("doc_id", "text", "rest", F.concat(*[k.name for k in KINDS]).alias("spans"))
 
@@ -151,11 +189,10 @@ def masked(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in angle brackets; of
     overlapping spans the earliest (then the longest) is shown."""
     order = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
-    done = F.aggregate(
-        order, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda acc, x: F.struct(
-            F.greatest(acc["at"], -x["back"]).cast("long").alias("at"),
-            F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int")), F.lit("<"), F.upper(x["kind"]), F.lit(">")))
-            .otherwise(acc["out"]).alias("out")),
-        lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    ends = F.transform(order, lambda x: (-x["back"]).cast("long"))
+    pieces = pieces_of(text)
+    # each span with the largest end before it; one that starts ahead of that is not shown
+    shown = F.filter(F.arrays_zip(order.alias("x"), running(ends, F.greatest).alias("at")), lambda z: z["x"]["start"] >= z["at"])
+    parts = F.transform(shown, lambda z: F.concat(cut(pieces, z["at"], z["x"]["start"]), F.lit("<"), F.upper(z["x"]["kind"]), F.lit(">")))
+    rest = cut(pieces, F.array_max(ends), F.char_length(text).cast("long"))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(text)
