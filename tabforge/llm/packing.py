@@ -3,7 +3,8 @@
 ``tokenize`` turns documents into pieces of at most ``capacity`` tokens;
 ``pack`` assigns every piece a sequence and an offset.  Lengths alone decide
 the packing, so token ids never have to move: pieces are dealt at random into
-shards of bounded size and every shard is packed on its own.
+shards of bounded size, every shard is packed on its own, and what lies in
+sequences that are not full is dealt and packed again.
 
 Edge cases: a null or empty text is the end-of-text id alone (one piece of
 length 1); repeated rows are packed once for each row; no rows give no rows.
@@ -23,6 +24,8 @@ CAPACITY = 1024
 EOS = 2
 #: Pieces that one task packs together: bounds a task's memory and time.
 SHARD_PIECES = 2500
+#: Tokens that a full sequence may lack, and rounds at most (each is a small part of the one before).
+SLACK, MAX_ROUNDS = 8, 8
 #: Distinct text chunks whose ids a task remembers.
 CACHE_CHUNKS = 400_000
 
@@ -167,15 +170,11 @@ def sum_of_squares(lengths, capacity: int):
     return bins, offsets
 
 
-def pack(pieces: DataFrame, *, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """``pieces`` (needs doc_id, piece, length) with sequence_id and offset.
-
-    Pieces are dealt by a hash of (doc_id, piece) into as many shards as their
-    count asks for; within a shard longer pieces are placed first.
-    """
-    pieces = materialize(pieces, "pieces")
-    shards = max(1, -(-pieces.count() // shard_pieces))
-    out = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+def pack_shards(pieces: DataFrame, shards: int, round_: int, capacity: int) -> DataFrame:
+    """``pieces`` dealt by a hash of (doc_id, piece) and packed shard by shard, with
+    sequence_id, offset and ``full``: whether the sequence is full but for ``SLACK`` tokens."""
+    out = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
+                        T.StructField("full", T.BooleanType())])
 
     def run(key, group):
         import numpy as np
@@ -187,8 +186,32 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, shard_pieces: int = SHA
         b, o = sum_of_squares(lengths[order], capacity)
         bins, offsets = np.empty_like(b), np.empty_like(o)
         bins[order], offsets[order] = b, o
-        return (group.append_column("sequence_id", pa.array(bins * shards + key[0].as_py()))
-                .append_column("offset", pa.array(offsets)))
+        full = np.bincount(bins, lengths)[bins] >= capacity - SLACK
+        return (group.append_column("sequence_id", pa.array((bins * shards + key[0].as_py()) * MAX_ROUNDS + round_))
+                .append_column("offset", pa.array(offsets)).append_column("full", pa.array(full)))
 
-    shard = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).alias("shard")
+    shard = F.pmod(F.xxhash64("doc_id", "piece", F.lit(round_)), F.lit(shards)).alias("shard")
     return pieces.select("*", shard).groupBy("shard").applyInArrow(run, out)
+
+
+def pack(pieces: DataFrame, *, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
+    """``pieces`` (needs doc_id, piece, length) with sequence_id and offset.
+
+    Each round deals its pieces into as many shards as their count asks for and
+    places longer pieces of a shard first.  Only full sequences stay; the pieces
+    of the others, few of every shard, make up the next, much smaller round,
+    until one shard is left or a round fills less than half of what it gets.
+    """
+    pieces = materialize(pieces, "pieces")
+    n, done = pieces.count(), None
+    for round_ in range(MAX_ROUNDS):
+        shards = max(1, -(-n // shard_pieces))
+        packed = materialize(pack_shards(pieces, shards, round_, capacity), "packed")
+        open_ = packed.where("NOT full")
+        left = 0 if shards == 1 else open_.count()
+        last = left == 0 or 2 * left > n or round_ + 1 == MAX_ROUNDS
+        kept = (packed if last else packed.where("full")).drop("full")
+        done = kept if done is None else done.unionByName(kept)
+        if last:
+            return done
+        pieces, n = open_.drop("sequence_id", "offset", "full"), left
