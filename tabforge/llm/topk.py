@@ -5,7 +5,9 @@ for each dimension.  A query walks all sorted lists downwards in step (upwards
 where its component is negative), scores every vector it meets for the first
 time, and stops when the threshold, the score of a vector made of the current
 list values, is below its k-th best score: nothing unseen can then enter.
-Shards answer blocks of queries, and the k best over all shards are kept.
+Shards answer blocks of queries, and the k best over all shards are kept.  A
+block holds as many queries as ``QUERY_BYTES`` allow (about 100,000 of 64
+components), so a shard's vectors move and are sorted once for very many of them.
 
 Edge cases: vectors that are null or hold null or non-finite components take
 no part, nor do rows with a null id; repeated rows of an id count once (the
@@ -21,7 +23,8 @@ from .common import materialize
 
 SCALE = 256
 SHARD = 2048
-QUERY_BLOCK = 512
+#: Bytes of a block of queries, and queries whose thresholds are held at once.
+QUERY_BYTES, QUERY_SLICE = 48 << 20, 512
 FIRST_STEP = 16
 
 
@@ -89,7 +92,7 @@ class Lists:
 
 
 def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5,
-          shard: int = SHARD, query_block: int = QUERY_BLOCK) -> DataFrame:
+          shard: int = SHARD, query_block: int | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score for the rows chosen by ``is_query``
     (a predicate on ``vec_id``), against all other rows."""
     v = F.col(vector_col)
@@ -97,9 +100,9 @@ def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vecto
     rows = materialize(rows.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
     n = rows.count()
     queries = rows.where(is_query)
-    blocks = max(1, -(-queries.count() // query_block))
-    shards = max(1, -(-n // shard))
     dim = rows.agg(F.coalesce(F.max(F.size("v")), F.lit(0))).first()[0]
+    blocks = max(1, -(-queries.count() // (query_block or max(1, QUERY_BYTES // (8 * max(1, dim))))))
+    shards = max(1, -(-n // shard))
     mixed = F.xxhash64("vec_id")
 
     def upto(n):
@@ -124,9 +127,11 @@ def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vecto
         if len(shard_rows) and len(query_rows):
             lists = Lists(shard_rows["vec_id"].to_numpy(), matrix(shard_rows["v"]))
             qs = matrix(query_rows["v"])
-            limits = lists.thresholds(qs)
+            limits = None
             for j, own in enumerate(query_rows["vec_id"].to_pylist()):
-                i, s = lists.search(qs[j], own, k, limits[:, j])
+                if j % QUERY_SLICE == 0:
+                    limits = lists.thresholds(qs[j: j + QUERY_SLICE])
+                i, s = lists.search(qs[j], own, k, limits[:, j % QUERY_SLICE])
                 q_ids.append(np.full(len(i), own, np.int64))
                 ids.append(i)
                 scores.append(s.astype(np.int64))
