@@ -13,6 +13,27 @@ from tabforge.llm.queries import tokenizer
 
 from .corpus import TEXTS, frame, rows
 
+def test_many_matches_in_one_text(spark):
+    """Thousands of matches, long gaps, wide characters: starts, context and masks as in the short case."""
+    import time
+    unit = "é日 mail a{0}@x.org, ssn: 078-05-1120; "
+    sizes = [10, 1500, 5000]
+    texts = ["".join(unit.format(i) for i in range(n)) + "🙂" * 9000 + " the number 078-05-1121 is a social security number" for n in sizes]
+    took = []
+    for i, t in enumerate(texts):
+        at = time.time()
+        row = pii.find_pii(spark.createDataFrame([(i, t)], "doc_id long, text string")).first()
+        took.append(time.time() - at)
+        want = [(m.start(), m.end()) for m in re.finditer(r"a\d+@x\.org", t)]
+        assert [(s.start, s.end) for s in row.spans if s.kind == "email"] == want
+        ssn = [(m.start(), m.end()) for m in re.finditer(r"078-05-112\d", t)]
+        assert [(s.start, s.end) for s in row.spans if s.kind == "ssn"] == ssn
+        df = pii.find_pii(spark.createDataFrame([(i, t)], "doc_id long, text string"))
+        masked = df.select(pii.masked(F.col("text"), F.col("spans")).alias("m")).first().m
+        assert masked == re.sub(r"078-05-112\d", "<SSN>", re.sub(r"a\d+@x\.org", "<EMAIL>", t))
+    assert took[2] < 40
+
+
 SF = "/root/testdata/sf0.01"
 
 
@@ -156,6 +177,33 @@ def test_pack(spark):
     assert full[13][0].length == 1          # a null text: the end id alone
 
 
+def test_later_rounds_fill_what_shards_leave_open(spark):
+    r = np.random.default_rng(3)
+    lengths = np.minimum(r.lognormal(5.5, 1.0, 12_000).astype(int) + 1, 1024)
+    df = spark.createDataFrame([(i, 0, int(n)) for i, n in enumerate(lengths)], "doc_id long, piece int, length long")
+    df = df.unionByName(spark.createDataFrame([(None, 0, 5), (None, 0, 5), (None, 1, 1024)], df.schema))
+    got = packing.pack(df, shard_pieces=300).collect()
+    bins = {}
+    for x in got:
+        bins.setdefault(x.sequence_id, []).append((x.offset, x.length))
+    assert sorted((x.doc_id or -1, x.length) for x in got) == sorted((x.doc_id or -1, x.length) for x in df.collect())
+    for b in bins.values():
+        at = 0
+        for o, n in sorted(b):
+            assert o == at
+            at += n
+        assert at <= 1024
+    bound = -(-sum(x.length for x in got) // 1024)
+    one_round = packing.pack_shards(df, 40, 0, 1024).select("sequence_id").distinct().count()
+    assert len(bins) <= 1.006 * bound < one_round
+
+
+def test_pieces_that_fill_nothing_end(spark):
+    df = spark.createDataFrame([(i, 0, 600) for i in range(500)], "doc_id long, piece int, length long")
+    got = packing.pack(df, shard_pieces=20).collect()
+    assert len({x.sequence_id for x in got}) == 500 and {x.offset for x in got} == {0}
+
+
 def test_sum_of_squares_takes_the_best_gap():
     r = np.random.default_rng(4)
     lengths = r.integers(1, 33, 300)
@@ -232,6 +280,65 @@ def base_words(text):
     return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower())
 
 
+def longest_chain(auto, matches, k):
+    """Most words that any chain of matches covers, by trying all of them."""
+    def go(e, t_e, covered, rest):
+        best = covered
+        for i, (v, length, end) in enumerate(rest):
+            for kk, at in auto.ends[v]:
+                start, t_start = end - length + 1, at - length + 1
+                if kk != k:
+                    continue
+                if e is None:
+                    best = max(best, go(end, at, length, rest[i + 1:]))
+                else:
+                    fresh = min(length, end - e, at - t_e)
+                    if start - e <= licenses.GAP and t_start - t_e <= licenses.GAP and fresh > 0:
+                        best = max(best, go(end, at, covered + fresh, rest[i + 1:]))
+        return best
+    return go(None, None, 0, matches)
+
+
+def test_chains_against_all_chains(monkeypatch):
+    import random
+    monkeypatch.setattr(licenses, "MIN_MATCH", 2)
+    monkeypatch.setattr(licenses, "COVER", 0.4)
+    r = random.Random(6)
+    words = "a b c d e f g h".split()
+    template = " ".join(words)
+    auto = licenses.Automaton([("x y", "p")], [(template, "t")])
+    for _ in range(200):
+        t = []
+        for _ in range(r.randint(1, 4)):
+            lo = r.randint(0, 6)
+            t += words[lo:r.randint(lo + 1, 8)] + ["z"] * r.randint(0, 2)
+        _, _, matches = licenses.scan(auto, " ".join(t).encode())
+        best = longest_chain(auto, matches, 0)
+        got = licenses.chain(auto, matches).get(0, [])
+        assert bool(got) == (best >= 0.4 * 8)
+        assert all(c >= 0.4 * 8 for c, _, _ in got)
+        assert all(a[2] < b[1] for a, b in zip(got, got[1:]))                        # apart, in text order
+        assert not got or sum(c for c, _, _ in got) >= best
+
+
+def test_a_license_that_stands_twice_is_found_twice(spark):
+    mit = licenses.WHOLE[0][0]
+    texts = [mit + "\n\n" + "filler words here " * 50 + mit, mit, mit.split("THE SOFTWARE IS")[0], licenses.WHOLE[4][0] + " " + licenses.WHOLE[1][0], "nothing"]
+    df = frame(spark, texts, repeat=True, with_null_id=True)
+    got = licenses.scan_licenses(df, templates=licenses.WHOLE).collect()
+    assert len(got) == len(texts) * 2 + 3
+    want = {1: ["mit", "mit"], 4: ["mit"], 7: ["mit"], 10: ["apache-2", "isc"], 13: []}
+    for row in got:
+        if row.doc_id is not None:
+            assert sorted(s.label for s in row.spans) == want[row.doc_id]
+    whole = next(r for r in got if r.doc_id == 1)
+    first, second = sorted((s.start, s.end, s.cover) for s in whole.spans)
+    assert first[1] <= second[0] and first[2] == second[2] == 1.0
+    table = spark.createDataFrame([(mit, "own", 1), (None, "x", 2), (mit, "own", 3)], "text string, label string, n int")
+    own = licenses.scan_licenses(df, templates=licenses.templates_of(table)).where("doc_id = 4").first()
+    assert [s.label for s in own.spans] == ["own"]
+
+
 def test_license_places(spark):
     got = {r.doc_id: r for r in licenses.scan_licenses(frame(spark)).collect()}
     for i, text, *_ in rows():
