@@ -319,7 +319,7 @@ def preprocess(df: DataFrame, spec: FeatureSpec, test_size: float = 0.2, seed: i
         raise ValueError(f"unknown scaling method {scaling!r}")
     cleaned, info = clean_with_levels(df, spec, exact=exact)   # one pass: fills + levels
     encoded, info = encode(cleaned, spec, info)
-    split = add_split(materialize(encoded, "encoded"), spec, test_size=test_size, seed=seed)
+    split = add_split(encoded, spec, test_size=test_size, seed=seed)       # a projection of the coerced table, which is written
     fit_rows = split if cap_fit_on == "all" else split.filter(F.col("split") == "train")
     bounds = fit_iqr_bounds(fit_rows, list(spec.numeric), exact=exact)
     capped = cap_iqr(split, spec, bounds)

@@ -203,7 +203,9 @@ def silhouettes(df: DataFrame, key: str, vector: str, cluster: str, queries=None
 
             norm = (q * q).sum(1)
             total: dict = {}
+            kind_ = None
             for b in batches:
+                kind_ = b.schema.field(1).type
                 if not b.num_rows:
                     continue
                 x = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
@@ -214,7 +216,6 @@ def silhouettes(df: DataFrame, key: str, vector: str, cluster: str, queries=None
                     on = labels == c
                     s, n = total.get(c, (0.0, 0))
                     total[c] = s + d[:, on].sum(1), n + int(on.sum())
-            kind_ = pa.array(list(total)).type if total else pa.int32()
             for c, (s, n) in total.items():
                 m = len(q)
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(m, dtype=np.int32)), pa.array([c] * m, kind_), pa.array(s), pa.array([n] * m, pa.int64())],

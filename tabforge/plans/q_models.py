@@ -46,8 +46,8 @@ def ml_frame(spark, sf_dir) -> tuple[DataFrame, object]:
     a copy of it (``line_key``) that is not scaled."""
     raw, spec = orderlines(spark, sf_dir)
     cl, levels = C.clean_with_levels(raw, spec)
-    enc = materialize(C.encode(cl, spec, levels)[0], "ml-encoded")
-    df = S.add_folds(S.add_split(enc, spec), spec)
+    # a projection of the coerced table, which is written: split, folds and scaler read that
+    df = S.add_folds(S.add_split(C.encode(cl, spec, levels)[0], spec), spec)
     stats = C.fit_scaler(df.filter("split = 'train'"), OL_FEATS)
     df = C.scale(df.withColumn("line_key", F.col("l_linenumber")), OL_FEATS, stats)
     df = M.assemble(df, OL_FEATS).withColumn("label", F.col(spec.target).cast("double"))
@@ -245,9 +245,9 @@ def q_kmeans_rule(spark, sf_dir):
     pairs = [(r["c"], r["centre"]) for r in centres.orderBy("c").collect()]
 
     def square(centre):
-        return sum((F.col("v")[j] - F.lit(float(x))) ** 2 for j, x in enumerate(centre))
+        return F.aggregate(F.zip_with("v", centre, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda x, y: x + y)
 
-    table = F.array(*[square(c) for _, c in pairs])
+    table = F.transform(F.array(*[F.array(*[F.lit(float(x)) for x in c]) for _, c in pairs]), square)
     means = rows.groupBy("cluster").agg(F.array(*[F.avg(F.col("v")[j]) for j in range(len(pairs[0][1]))]).alias("mean")).collect()
     settled = {m["cluster"]: max(abs(a - b) for a, b in zip(m["mean"], dict(pairs)[m["cluster"]])) < 1e-4 for m in means}
     flags = F.create_map(*[x for c, ok in settled.items() for x in (F.lit(c), F.lit(ok))])
