@@ -181,6 +181,22 @@ def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLE["op12_minhash"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g
+  FROM (SELECT doc_id, w, UNNEST(range(1, CAST(greatest(len(w), 2) AS BIGINT))) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS MATERIALIZED (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+e AS MATERIALIZED (SELECT x AS u, y AS v FROM l UNION SELECT y, x FROM l),
+r(u, v) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u),
+c AS (SELECT u AS doc_id, MIN(v) AS component_id FROM r GROUP BY u)
+SELECT c.doc_id, COALESCE(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n ON c.doc_id = n.doc_id
+"""
+
+
 @query
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
