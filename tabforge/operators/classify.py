@@ -57,9 +57,9 @@ def logistic_regression(n_train: int, C: float = 1.0, penalty: str = "l2", max_i
 
 
 # M3 ------------------------------------------------------------------------
-#: Deep trees: rows keep their node (instead of passing every tree again), and
-#: the statistics of many nodes are gathered in one pass.
-DEEP = {"cacheNodeIds": True, "maxMemoryInMB": 1024, "checkpointInterval": 10}
+#: Deep trees: rows keep their node instead of passing every tree again.  (More
+#: memory for statistics than Spark's 256 MB only costs time to clear it.)
+DEEP = {"cacheNodeIds": True, "checkpointInterval": 10}
 
 
 def decision_tree(max_depth: int | None = None, min_samples_leaf: int = 1, criterion: str = "gini", max_bins: int = 64,
