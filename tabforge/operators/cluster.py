@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .cfeatures import nearest_centre, summarise
-from .common import held, parallel_map
+from .common import parallel_map
 
 
 # K2 ------------------------------------------------------------------------
@@ -30,22 +30,23 @@ def kmeans_sweep(df: DataFrame, ks=range(2, 11), n_init: int = 10, seed: int = 4
                  parallelism: int = 4) -> tuple[DataFrame, dict]:
     """(k, inertia, silhouette) per k, best of ``n_init`` seeds by inertia; also
     the fitted models.  The k x seed fits are independent jobs run
-    ``parallelism`` at a time on the vectors, kept until the last is done."""
+    ``parallelism`` at a time.  ``df`` should not be cached: each fit then keeps
+    its own vectors and norms, which is faster than reading cached rows."""
     spark = df.sparkSession
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
     grid = [(k, s) for k in ks for s in range(n_init)]
-    with held(df.select(features)) as rows:
-        def fit(ks_):
-            k, s = ks_
-            return KMeans(k=k, seed=seed + s, featuresCol=features, predictionCol="cluster",
-                          maxIter=max_iter, tol=1e-6).fit(rows)
-
-        fitted = parallel_map(fit, grid, parallelism)
-        models = {}
-        for (k, _), m in zip(grid, fitted):
-            if k not in models or m.summary.trainingCost < models[k].summary.trainingCost:
-                models[k] = m
-        sils = parallel_map(lambda k: ev.evaluate(models[k].transform(rows)), list(models), parallelism)
+
+    def fit(ks_):
+        k, s = ks_
+        return KMeans(k=k, seed=seed + s, featuresCol=features, predictionCol="cluster",
+                      maxIter=max_iter, tol=1e-6).fit(df)
+
+    fitted = parallel_map(fit, grid, parallelism)
+    models = {}
+    for (k, _), m in zip(grid, fitted):
+        if k not in models or m.summary.trainingCost < models[k].summary.trainingCost:
+            models[k] = m
+    sils = parallel_map(lambda k: ev.evaluate(models[k].transform(df)), list(models), parallelism)
     rows = [(int(k), float(models[k].summary.trainingCost), float(s)) for k, s in zip(models, sils)]
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double"), models
 

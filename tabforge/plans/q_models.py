@@ -200,11 +200,16 @@ def q_pca_covariance(spark, sf_dir):
 
 
 # Clustering ----------------------------------------------------------------
+VECTORS_A_PART = 4096
+
+
 def _vec_frame(spark, sf_dir):
     df, spec = vectors(spark, sf_dir)
     st = C.fit_scaler(df, list(spec.numeric))
     z = M.assemble(C.scale(df, list(spec.numeric), st), list(spec.numeric))
-    z = z.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *spec.key)
+    # as many parts as the rows are worth: a pass over few thousand vectors costs more to spread than to run
+    most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    z = z.repartition(max(1, min(most, -(-df.count() // VECTORS_A_PART))), *spec.key)
     return materialize(z, "vectors"), spec
 
 
