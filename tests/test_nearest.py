@@ -109,3 +109,34 @@ def test_silhouettes(spark, block):
     every = K.silhouettes(df, "id", "v", "c")
     assert {s["id"] for s in every.collect()} == {0, 20, 40, 60, 80, 100}
     assert K.silhouettes(df.limit(0), "id", "v", "c").count() == 0
+
+
+def test_silhouettes_hold_a_tile_of_distances(spark):
+    """A task's memory does not grow with the block of queries times the batch of rows."""
+    import tracemalloc
+
+    n = 6000
+    x = np.random.default_rng(4).normal(size=(n, 2))
+    df = spark.createDataFrame([(i, i % 2, v.tolist()) for i, v in enumerate(x)], "id long, c int, v array<double>").coalesce(1)
+    peaks = []
+
+    class Kept:
+        """The frame whose tasks run here, in this process."""
+
+        def __init__(self, of):
+            self.of = of
+
+        def mapInArrow(self, run, schema):
+            batches = self.of.toArrow().combine_chunks().to_batches()
+            tracemalloc.start()
+            out = list(run(iter(batches)))
+            peaks.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+            return spark.createDataFrame([r for b in out for r in zip(*b.to_pydict().values())], schema)
+
+    whole = type(df).repartition
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(df), "repartition", lambda self, *a: Kept(whole(self, *a)))
+        got = K.silhouettes(df, "id", "v", "c", queries="id % 2 = 0")
+        assert got.count() == n // 2
+    assert peaks and max(peaks) < 100 * 2 ** 20                # 3000 x 6000 distances are 144 MB, and were held several times
