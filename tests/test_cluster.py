@@ -145,3 +145,27 @@ def test_features_add_up():
     inside = (whole.q - (whole.s ** 2).sum(1) / whole.n).sum()
     assert inside < 0.2 * ((x - x.mean(0)) ** 2).sum()           # what the summary loses
     assert len(CF.merge([], 5).n) == 0
+
+
+def test_kmeans_fits_share_their_passes(spark):
+    """Settled fits as good as Spark's own, with far fewer jobs than one fit after the other."""
+    from pyspark.ml.clustering import KMeans
+    from tabforge.operators.classify import assemble
+    r = np.random.default_rng(8)
+    x = np.vstack([r.normal(c, 1.0, size=(60, 3)) for c in ((0, 0, 0), (4, 0, 1), (0, 5, 0), (3, 3, 3))])
+    df = assemble(spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], ["id", "a", "b", "c"]).repartition(3, "id"), ["a", "b", "c"])
+    ks, n_init = range(2, 8), 5
+    spark.sparkContext.setJobGroup("sweep", "sweep")
+    sweep, models = K.kmeans_sweep(df, ks=ks, n_init=n_init, parallelism=1)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("sweep"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs < 40 * len(ks) + 60                             # n_init x len(ks) fits of Spark take over 500
+    for row in sweep.collect():
+        c = np.array(models[row["k"]].clusterCenters())
+        d = ((x[:, None] - c[None]) ** 2).sum(2)
+        assert row["inertia"] == pytest.approx(d.min(1).sum(), rel=1e-9)
+        assert all(np.abs(x[d.argmin(1) == j].mean(0) - c[j]).max() < 1e-5 for j in range(len(c)))      # settled
+        own = min(KMeans(k=row["k"], seed=42 + s, maxIter=300, tol=1e-6).fit(df).summary.trainingCost for s in range(n_init))
+        assert row["inertia"] <= own * 1.03
+    few = assemble(spark.createDataFrame([(1.0,), (2.0,), (2.0,)], ["a"]), ["a"])
+    assert K.kmeans_sweep(few, ks=[2], n_init=1)[0].first()["inertia"] == 0.0
