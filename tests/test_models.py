@@ -132,3 +132,30 @@ def test_helpers_p1_p2_f14_h5_h6(spark, frame, tmp_path):
                                    "l_linestatus", "l_linenumber"])
     assert set(saved) == {"decision_tree"}
     assert reg.load("decision_tree").transform(test.drop("features")).count() == test.count()
+
+
+def test_svm_keeps_no_kernel_features(spark, monkeypatch):
+    """What is kept while an SVM is fitted is as wide as its input; the coefficients minimise LinearSVC's objective."""
+    import numpy as np
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.functions import vector_to_array
+
+    r = np.random.default_rng(6)
+    x = r.normal(size=(500, 3)) * [1.0, 3.0, 0.2] + [0.0, 5.0, 1.0]
+    y = (x[:, 0] ** 2 + x[:, 1] / 4 + r.normal(size=500) > 2.2).astype(float)
+    df = M.assemble(spark.createDataFrame([(i, float(t), *map(float, v)) for i, (t, v) in enumerate(zip(y, x))], ["id", "label", "a", "b", "c"]).repartition(3, "id"), ["a", "b", "c"])
+    kept, whole = [], M.held
+    monkeypatch.setattr(M, "held", lambda rows: (kept.append(rows.first()), whole(rows))[1])
+    model = M.train_svm(df, ["id"], n_landmarks=20, C=0.5, max_iter=60)
+    assert kept and max(len(v) for row in kept for v in row if hasattr(v, "__len__")) == 3
+    for kernel, fitted in (("rbf", model), ("linear", M.train_svm(df, ["id"], kernel="linear", C=0.5, max_iter=60))):
+        mapped, svc = fitted.stages[0].transform(df) if kernel == "rbf" else df, fitted.stages[-3]
+        own = LinearSVC(featuresCol=svc.getFeaturesCol(), labelCol="label", regParam=1.0 / (0.5 * 500), maxIter=60).fit(mapped)
+        z = np.array([v["z"] for v in mapped.select(vector_to_array(svc.getFeaturesCol()).alias("z"), "id").orderBy("id").collect()])
+
+        def objective(m):
+            w = m.coefficients.toArray()
+            return np.maximum(0, 1 - (2 * y - 1) * (z @ w + m.intercept)).mean() + 0.5 / 250 * ((w * z.std(0, ddof=1)) ** 2).sum()
+
+        assert objective(svc) <= objective(own) * 1.01
+    assert fitted.transform(df).select("prediction", "probability").count() == 500
