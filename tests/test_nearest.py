@@ -62,6 +62,22 @@ def test_mutual_information_of_neighbours(spark, block_rows, k):
     assert got["shifted"] > 0.1 and got["gaps"] < 0.1
 
 
+def test_values_of_a_feature_travel_in_chunks(spark, monkeypatch):
+    """Only the first table has a row for each row; what is sorted and asked is far fewer."""
+    n, written = 3000, {}
+    plain = MI.materialize
+
+    def noted(df, name):
+        out = plain(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(MI, "materialize", noted)
+    df = spark.range(n).select("id", (F.col("id") % 2).alias("y"), F.sin("id").alias("a"), F.cos("id").alias("b"))
+    MI.knn_mutual_info(df, ["a", "b"], "y", ["id"], block_rows=1000).collect()
+    assert max(written.values()) <= n and sorted(written.values())[-2] < n / 10, written
+
+
 def test_digamma(spark):
     got = spark.createDataFrame([(x,) for x in (1.0, 2.0, 3.0, 10.0, 1e6)], "x double").select("x", digamma("x").alias("d")).collect()
     assert all(r["d"] == pytest.approx(psi(r["x"]), abs=1e-11) for r in got)
