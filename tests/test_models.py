@@ -5,6 +5,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabforge.operators import classify as M
+from tabforge.operators import metrics as V
 from tabforge.operators import pca as X
 from tabforge.operators import tune as H
 from tabforge.operators.registry import ModelRegistry
@@ -33,6 +34,21 @@ def test_models_probabilities_and_cv(spark, frame):
     assert all(0 <= r["accuracy"] <= 1 for r in cv)
 
 
+def test_folds_of_a_logistic_regression_share_their_passes(spark, frame, monkeypatch):
+    """The figures are those of separate fits of Spark, and no fold is fitted by itself."""
+    df, spec = frame
+    df = df.withColumn("label", (F.col("l_quantity") + F.rand(5) * 3 > 1).cast("double")).cache()
+    one = M.fit_model("logistic_regression", df.filter("fold <> 3"), list(spec.key)).model
+    told = M.predictions(one, df.filter("fold = 3"))
+    want = V.binary_metrics(told, "y", "pred").first().asDict() | V.auc_ap(told, "y", "s").first().asDict()
+    monkeypatch.setattr(M, "fit_model", lambda *a, **k: pytest.fail("a fit of one fold"))
+    got = {r["fold"]: r for r in M.cross_validate(df, "logistic_regression", list(spec.key)).collect()}
+    assert sorted(got) == [0, 1, 2, 3, 4]
+    for m in ("accuracy", "precision", "recall", "f1", "roc_auc"):
+        assert got[3][m] == pytest.approx(want[m], abs=2e-3), m
+    df.unpersist()
+
+
 def test_search_isolates_failures(spark, frame):
     df, spec = frame
     train, test = df.filter("split = 'train'"), df.filter("split = 'test'")
