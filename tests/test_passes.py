@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tabforge.operators import clean as C
 from tabforge.operators import logit as L
+from tabforge.operators import select as SEL
 from tabforge.operators import split as S
 from tabforge.operators.quantiles import at_ranks
 from tabforge.spec import FeatureSpec
@@ -71,6 +72,44 @@ def test_elimination_takes_few_passes(spark, monkeypatch):
             assert np.allclose(a, b, atol=1e-8)
 
 
+def test_selections_are_evaluated_together(spark, monkeypatch):
+    """The fits of all selections share their passes; equal ones are fitted once."""
+    r = random.Random(5)
+    rows = [(i % 5, float(r.random() < 0.5 + 0.02 * (i % 3)), *[r.gauss(0, 1) + 0.2 * (i % 3) for _ in range(4)]) for i in range(2000)]
+    cols = [f"x{j}" for j in range(4)]
+    df = spark.createDataFrame(rows, ["fold", "label", *cols])
+    picks = {"anova_f": ["x0", "x1"], "chi2_scores": ["x0", "x1"], "mutual_info_knn": ["x2"], "rfe": ["x3", "x1"], "rf_importance": ["x1"], "corr_filter": cols}
+
+    def pick(name):
+        t = spark.createDataFrame([(f, True, False) for f in picks[name]], "feature string, selected boolean, removed boolean")
+        return lambda *a, **kw: (t, {}) if name == "rfe" else t
+
+    alone = {tuple(v): SEL.subset_eval(df, v, "label") for v in picks.values()}
+    for name in picks:
+        monkeypatch.setattr(SEL, name, pick(name))
+    passes, inner = [], L.sums_of
+    monkeypatch.setattr(L, "sums_of", lambda *a: passes.append(a[2]) or inner(*a))
+    sel, comp = SEL.compare_selectors(df, cols, [], "label", key=["fold"])
+    assert len(passes) <= 8 and max(passes) == 6 * 5
+    for (name, fs), row in zip(picks.items(), comp.orderBy("ord").collect()):
+        e = alone[tuple(fs)]
+        assert (row["n_features"], row["error"]) == (len(fs), None)
+        assert (row["cv_mean"], row["cv_std"], row["train_accuracy"]) == pytest.approx((e["cv_mean"], e["cv_std"], e["train_accuracy"]))
+    assert sel.count() == sum(map(len, picks.values()))
+
+    one = SEL.subset_evals
+
+    def fails(df, subsets, *a, **kw):
+        if ["x2"] in subsets:
+            raise ValueError("no fit of x2")
+        return one(df, subsets, *a, **kw)
+
+    monkeypatch.setattr(SEL, "subset_evals", fails)
+    sel, comp = SEL.compare_selectors(df, cols, [], "label", key=["fold"])
+    assert [r["error"] for r in comp.orderBy("ord").collect()] == [None, None, "ValueError: no fit of x2", None, None, None]
+    assert {r["feature"] for r in sel.filter("method = 'mutual_information'").collect()} == set()
+
+
 @pytest.mark.parametrize("name", ["registry_roundtrip", "stream_score"])
 def test_rows_are_cleaned_once(spark, monkeypatch, name):
     from __spark_entry__ import queries
