@@ -166,7 +166,7 @@ VOTES_BASE = with_(
 def selections(spark, sf_dir):
     """(method, feature) for the top-K features of each univariate selector."""
     from pyspark.sql import functions as F
-    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=MI_DISCRETE)
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=OL_NUM, categorical=MI_DISCRETE, keyed=False)
     runs = {"univariate": ST.anova_f(cl, OL_NUM, spec.target, k=K_SELECT),
             "chi_square": ST.chi2_scores(cl, OL_NUM, spec.target, k=K_SELECT),
             "mutual_information": ST.mutual_info(cl, OL_NUM, ["l_linenumber", "l_returnflag"], spec.target,

@@ -10,6 +10,7 @@ from tabforge.operators import clean as C
 from tabforge.operators import logit as L
 from tabforge.operators import select as SEL
 from tabforge.operators import split as S
+from tabforge.operators import stats as ST
 from tabforge.operators.quantiles import at_ranks
 from tabforge.spec import FeatureSpec
 
@@ -110,6 +111,63 @@ def test_selections_are_evaluated_together(spark, monkeypatch):
     assert {r["feature"] for r in sel.filter("method = 'mutual_information'").collect()} == set()
 
 
+@pytest.mark.parametrize("votes, chosen", [({"a": ["x", "y"], "b": ["x"]}, ["x"]), ({"a": ["x"], "b": ["y"], "c": ["z"]}, ["x", "y"])])
+def test_votes_run_the_selectors_once(spark, votes, chosen):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    pairs = [(m, f) for m, fs in votes.items() for f in fs]
+    sel = spark.createDataFrame(pairs, "method string, feature string").mapInArrow(look, "method string, feature string")
+    got = SEL.vote_ensemble(sel, fallback=2).orderBy("rank").collect()
+    assert [r["feature"] for r in got] == chosen and [r["rank"] for r in got] == list(range(1, len(chosen) + 1))
+    assert seen.value == len(pairs)
+    all_of = set.intersection(*map(set, votes.values()))
+    assert [r["feature"] for r in SEL.vote_intersection(sel).collect()] == sorted(all_of)
+    assert seen.value == 2 * len(pairs)
+
+
+def test_mutual_information_from_counts(spark):
+    """Bins and joint counts come from values counted per class: the rows are read once for either kind of feature."""
+    r = random.Random(6)
+    rows = [(r.choice([0, 1, 1, None]), r.choice([None, float(r.randint(0, 30))]), r.choice(["p", "q", None])) for _ in range(900)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "y int, x double, c string").repartition(3).mapInArrow(look, "y int, x double, c string")
+    cuts = np.quantile([x for _, x, _ in rows if x is not None], [i / 10 for i in range(1, 10)])
+
+    def information(pairs):
+        pairs = [(b, y) for b, y in pairs if b is not None and y is not None]
+        n = len(pairs)
+        p = {k: sum(a == k for a in pairs) / n for k in set(pairs)}
+        pb, py = ({k: sum(v for a, v in p.items() if a[i] == k) for k in {a[i] for a in p}} for i in (0, 1))
+        return sum(v * np.log(v / (pb[b] * py[y])) for (b, y), v in p.items())
+
+    want = {"x": information([(None if x is None else int((x > cuts).sum()), y) for y, x, _ in rows]), "c": information([(c, y) for y, _, c in rows])}
+    for numeric, discrete in ((["x"], ["c"]), (["x"], []), ([], ["c"])):
+        seen.value = 0
+        got = {t["feature"]: t["score"] for t in ST.mutual_info(df, numeric, discrete, "y").collect()}
+        assert got == pytest.approx({f: want[f] for f in numeric + discrete})
+        assert seen.value == 900 * (len(numeric) + len(discrete))
+
+
+@pytest.mark.parametrize("name", ["vote_ensemble"])
+def test_written_rows_have_no_unused_key(spark, monkeypatch, name):
+    from __spark_entry__ import queries
+    written, inner = [], C.materialize
+    monkeypatch.setattr(C, "materialize", lambda df, what: written.append(df.columns) or inner(df, what))
+    assert queries()[name](spark, SF_SMALL).count() > 0
+    assert len(written) == 1 and "l_orderkey" not in written[0]
+
+
 @pytest.mark.parametrize("name", ["registry_roundtrip", "stream_score"])
 def test_rows_are_cleaned_once(spark, monkeypatch, name):
     from __spark_entry__ import queries
