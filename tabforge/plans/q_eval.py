@@ -26,7 +26,7 @@ def scored(spark, sf_dir, only: tuple | None = None) -> DataFrame:
     """Long (model, y, s, pred) over every cleaned row and every rule model
     (or only the models in ``only``; the cleaning fit then covers just their columns)."""
     chosen = {m: v for m, v in RULE_MODELS.items() if only is None or m in only}
-    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=tuple(c for c, _ in chosen.values()), categorical=())
+    cl, spec = cleaned_orderlines(spark, sf_dir, numeric=tuple(c for c, _ in chosen.values()), categorical=(), keyed=False)
     models = F.array(*[F.struct(F.lit(m).alias("model"), (F.col(c) / F.lit(d)).alias("s"))
                        for m, (c, d) in chosen.items()])
     return (cl.select(F.col(spec.target).alias("y"), F.explode(models).alias("m"))

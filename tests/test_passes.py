@@ -159,7 +159,7 @@ def test_mutual_information_from_counts(spark):
         assert seen.value == 900 * (len(numeric) + len(discrete))
 
 
-@pytest.mark.parametrize("name", ["vote_ensemble"])
+@pytest.mark.parametrize("name", ["binary_metrics", "vote_ensemble"])
 def test_written_rows_have_no_unused_key(spark, monkeypatch, name):
     from __spark_entry__ import queries
     written, inner = [], C.materialize
