@@ -58,3 +58,13 @@ def test_tails():
     # F(1, n) tends to the chi-square tail
     assert f_sf(3.841458820694124, 1, 6e11) == pytest.approx(0.05, rel=1e-9)
     assert f_sf(100.0, 3, 1e12) == pytest.approx(chi2_sf(300.0, 3), rel=1e-7)
+
+
+def test_ranges_by_two_looks_at_the_cuts(spark):
+    """The number of cuts below a value, for any number of cuts, without a lambda over the array."""
+    rows = [(n, float(v), [float(2 * i) for i in range(n)]) for n in (0, 1, 5, 16, 62, 63) for v in (-1, 0, 1, 2, 7, 31, 32, 33, 64, 122, 123, 124, 200)]
+    got = spark.createDataFrame(rows, "n int, value double, cuts array<double>").withColumn("range", Q.range_of(F.col("value"), "cuts", 63))
+    assert all(r["range"] == sum(c < r["value"] for c in r["cuts"]) for r in got.collect())
+    counts = spark.range(500).select(F.lit("a").alias("column"), F.col("id").cast("double").alias("value"), F.lit(1).cast("long").alias("cnt"))
+    plan = Q.quantiles(counts, ["column"], [0.5])._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
