@@ -175,3 +175,45 @@ def test_rows_are_cleaned_once(spark, monkeypatch, name):
     monkeypatch.setattr(C, "fit_fill_values", lambda *a, **kw: fits.append(1) or inner(*a, **kw))
     assert queries()[name](spark, SF_SMALL).count() > 0
     assert len(fits) == 1
+
+
+def test_svm_needs_few_passes(monkeypatch):
+    """Kernel features of very unequal spread do not slow the search; single
+    precision serves where the projection allows it, and equal landmarks do not."""
+    import numpy as np
+    from tabforge.operators import classify as M
+    from tabforge.operators import hinge as HG
+
+    r = np.random.default_rng(4)
+    n = 20000
+    x = r.normal(size=(n, 4))
+    y = (x[:, 0] ** 2 + x[:, 1] * x[:, 2] + r.normal(size=n) > 1.0).astype(float)
+    L = x[:60]
+    w, U = np.linalg.eigh(M.kernel_matrix(L, L, "rbf", 0.25))
+    proj = U / np.sqrt(w) @ U.T
+    kernel, single = (lambda v: M.kernel_matrix(v, L, "rbf", 0.25)), M.rbf_values(L, 0.25)
+    assert single(x).dtype == np.float32 and np.abs(single(x) - kernel(x)).max() < 1e-5
+    assert M.rounds_well("rbf", proj) and not M.rounds_well("rbf", np.eye(2) * 1e6) and not M.rounds_well("poly", proj)
+    passes = []
+
+    def local(rows, per_batch, models, read):                  # the task's part of a pass, here
+        passes.append(models)
+        return dict(enumerate(per_batch(iter(rows))))
+
+    monkeypatch.setattr(HG, "sums_of", local)
+    fold = np.arange(n, dtype=np.int32) % 2
+    blocks = [([fold[i:i + 5000].tobytes(), y[i:i + 5000].tobytes()], [c[i:i + 5000].tobytes() for c in x.T.copy()]) for i in range(0, n, 5000)]
+    (w, b), left_out = HG.fit_hinge(blocks, [None, 0], single, proj, [1 / n, 2 / n], 2)
+    assert len(passes) < 100                                   # some 200 in the plain directions
+    z = kernel(x) @ proj
+
+    def objective(w, b, on=slice(None)):
+        rows = z[on]
+        return np.maximum(0, 1 - (2 * y[on] - 1) * (rows @ w + b)).mean() + 0.5 / len(rows) * ((w * rows.std(0, ddof=1)) ** 2).sum()
+
+    # no worse than the points around it along its subgradient, and each is the best of its own rows
+    sign, sd = 2 * y - 1, z.std(0, ddof=1)
+    on = (1 - sign * (z @ w + b) > 0) * -sign
+    for t in (1e-4, 1e-3, 1e-2):
+        assert objective(w, b) <= objective(w - t * (z.T @ on / n + w * sd ** 2 / n) / sd ** 2, b - t * on.mean()) * (1 + 1e-4)
+    assert objective(w, b) < objective(*left_out) and objective(*left_out, on=fold == 1) < objective(w, b, on=fold == 1)
