@@ -175,3 +175,23 @@ def test_svm_keeps_no_kernel_features(spark, monkeypatch):
 
         assert objective(svc) <= objective(own) * 1.01
     assert fitted.transform(df).select("prediction", "probability").count() == 500
+
+
+def test_kernel_map_takes_rows_in_tiles(spark, monkeypatch):
+    """The mapped features of a batch are written as one array; no more rows than a tile meet the landmarks at once."""
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    L, P, x = r.normal(size=(9, 2)), r.normal(size=(9, 9)), r.normal(size=(700, 2))
+    kmap = M.NystroemMap.of(L, P, "rbf", 0.5)
+    df = M.assemble(spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id long, a double, b double").coalesce(1), ["a", "b"])
+    most = spark.sparkContext.accumulator(0)
+
+    def values(X):
+        most.add(int(len(X) > 256))
+        return M.kernel_matrix(X, L, "rbf", 0.5)
+
+    monkeypatch.setattr(kmap, "parts", lambda: (values, P), raising=False)
+    got = np.array([v["kfeatures"].toArray() for v in kmap.transform(df).orderBy("id").collect()])
+    assert np.allclose(got, M.kernel_matrix(x, L, "rbf", 0.5) @ P) and most.value == 0
+    assert kmap.transform(df.limit(0)).collect() == []
